@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from candlemill.schema import MISSING_TEXT
 
 # Decimal text, or an infinity; what a cast alone would also take (1.5d, NaN) is left out.
-NUMBER = r"\s*[+-]?(?:\d+\.?\d*(?:[eE][+-]?\d+)?|\.\d+(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*"
+# Every quantifier keeps what it took, so a mismatch is found in one pass.
+NUMBER = r"\s*+[+-]?+(?:(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+|(?i:inf(?:inity)?+))\s*+"
 _UNDERSCORED = (
     r"^\s*[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
 )
@@ -24,11 +25,6 @@ def csv_number(text: Column) -> Column:
     return F.when(text.rlike(f"^{NUMBER}$"), text.try_cast("double"))
 
 
-def csv_long(text: Column) -> Column:
-    """Numeric text as a long; a fraction is cut off; NULL for anything else."""
-    return F.coalesce(text.try_cast("long"), csv_number(text).try_cast("long"))
-
-
 def written_number(column: Column, dtype: T.DataType) -> Column:
     """A value handed in for writing, as a double; NULL unless convertible and finite."""
     if isinstance(dtype, T.StringType):

@@ -1,6 +1,7 @@
 """Time arguments given by a caller, and the same conversions for columns of data.
 
-Everything is UTC. The column functions do not depend on the session time zone.
+Everything is UTC. Text without an offset is read in the session time zone, which the
+engine sets to UTC (``session.use_utc``); nothing else here depends on it.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ MAX_MS = 253_402_300_799_999
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _INT_TEXT = re.compile(r"\s*[+-]?\d+(_\d+)*\s*")
 
-_ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-_ISO_LOCAL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?$"
-_NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])"
-_ISO_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}(:?\d{2})?)$"
+# ISO date or date-time text; seconds and offset may be absent.
+_ISO = (
+    r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+)
+_NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=Z|[+-])"
 
 
 def _instant(value: str | int | datetime) -> int | datetime:
@@ -102,14 +104,10 @@ def from_seconds_or_millis(number: Column) -> Column:
 
 
 def from_iso_text(text: Column) -> Column:
-    """ISO date or date-time text as a timestamp; without an offset it is UTC."""
-    full = F.regexp_replace(text, _NO_SECONDS, "$1:00")
-    zoned = (
-        F.when(text.rlike(_ISO_ZONED), full)
-        .when(text.rlike(_ISO_LOCAL), F.concat(full, F.lit("Z")))
-        .when(text.rlike(_ISO_DATE), F.concat(text, F.lit("T00:00:00Z")))
-    )
-    return zoned.try_cast("timestamp")
+    """ISO date or date-time text as a timestamp; without an offset it is in session time, UTC."""
+    iso = F.when(text.rlike(_ISO), text)
+    with_seconds = F.regexp_replace(iso, _NO_SECONDS, "$1:00")
+    return F.coalesce(iso.try_cast("timestamp"), with_seconds.try_cast("timestamp"))
 
 
 def data_time(column: Column, dtype: T.DataType) -> Column:
@@ -117,7 +115,7 @@ def data_time(column: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         return column
     if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return from_iso_text(column.cast("string"))
+        return column.cast("timestamp")
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return from_seconds_or_millis(column.cast("long"))
     if isinstance(dtype, T.StringType):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.functions.numbers import csv_number, is_missing_text, written_number
+from candlemill.functions.numbers import csv_number, written_number
 from candlemill.functions.times import (
     data_time,
     factor_time_s,
@@ -28,30 +28,36 @@ WRITE_COLUMNS = ("symbol", "datetime", "factor_name", "factor_value")
 # ------------------------------------------------------------------ reshaping
 
 def unpivot_factors(wide: DataFrame, ids: Sequence[str], time: str = "time") -> DataFrame:
-    """Every column that is neither an id nor the time becomes (factor_name, factor_value)."""
+    """Every column that is neither an id nor the time becomes (factor_name, raw_value).
+
+    Times are read before the rows multiply.
+    """
     if time not in wide.columns:
         raise ValueError(f"missing required '{time}' column")
-    keys = [*ids, time]
-    metrics = [c for c in wide.columns if c not in keys]
+    metrics = [c for c in wide.columns if c not in (*ids, time)]
+    moment = data_time(F.col(time), wide.schema[time].dataType)
+    timed = wide.select(*ids, moment.alias("datetime"), *metrics)
     if not metrics:
-        empty = wide.select(*keys).filter(F.lit(False))
-        return empty.withColumn("factor_name", F.lit("")).withColumn(
-            "factor_value", F.lit(None).cast("double")
+        return timed.filter(F.lit(False)).withColumns(
+            {"factor_name": F.lit(""), "raw_value": F.lit(None).cast("double")}
         )
-    return wide.unpivot(keys, metrics, "factor_name", "factor_value")
+    return timed.unpivot([*ids, "datetime"], metrics, "factor_name", "raw_value")
+
 
+def factor_time(text: Column) -> Column:
+    """Time text of a factor file; NULL where it cannot be read."""
+    return from_iso_text(F.trim(text))
 
-def coerce_factors(raw: DataFrame, time: str = "time", value: str = "raw_value") -> DataFrame:
-    """Text cells as ``datetime`` and ``factor_value``; unreadable ones become NULL.
+
+def coerce_factors(raw: DataFrame) -> DataFrame:
+    """Cells in ``raw_value`` as ``factor_value``; unreadable ones become NULL.
 
     Infinite values are kept. Other columns pass through.
     """
-    number = F.when(~is_missing_text(F.col(value)), csv_number(F.col(value)))
-    return (
-        raw.withColumn("datetime", from_iso_text(F.trim(F.col(time))))
-        .withColumn("factor_value", number)
-        .drop(time, value)
-    )
+    value = F.col("raw_value")
+    if isinstance(raw.schema["raw_value"].dataType, T.StringType):
+        value = csv_number(value)
+    return raw.withColumn("factor_value", value.cast("double")).drop("raw_value")
 
 
 def is_dropped() -> Column:

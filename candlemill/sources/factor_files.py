@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.functions.names import stem
+from candlemill.operators.factors import factor_time
 from candlemill.sources.paths import require_folder
 
 TIME = "time"
@@ -20,7 +21,8 @@ _COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 def factor_files(spark: SparkSession, folder: str, symbols: list[str] | None = None) -> DataFrame:
     """CSV files below ``csv/`` with their symbol, which is the file stem.
 
-    Wanted symbols are lowered before they are compared; stems are not.
+    Wanted symbols are lowered before they are compared; stems are not. Spark does not
+    list files of zero bytes.
     """
     root = require_folder(spark, f"{folder.rstrip('/')}/csv")
     files = (
@@ -80,9 +82,10 @@ def rejected_factor_files(lines: DataFrame) -> DataFrame:
 
 
 def factor_cells(lines: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
-    """One row per cell outside the time column: (src_path, symbol, time, factor_name, raw_value).
+    """One row per cell outside the time column: (src_path, symbol, datetime, factor_name, raw_value).
 
-    A file is left out as a whole when it is in ``rejected``.
+    Times are read once per line, NULL where unreadable. A file is left out as a whole
+    when it is in ``rejected``.
     """
     heads = headers(lines)
     if rejected is not None:
@@ -93,11 +96,14 @@ def factor_cells(lines: DataFrame, rejected: DataFrame | None = None) -> DataFra
         lines.join(heads, "src_path")
         .filter((F.col("block") != 0) | (F.col("line_no") != F.col("header_no")))
         .withColumn("_values", _cells(F.col("line")))
-        .withColumn("time", F.get(values, place))
-        .select("src_path", "symbol", "time", F.posexplode(names).alias("_pos", "factor_name"), "_values")
+        .withColumn("datetime", factor_time(F.get(values, place)))
+        .select(
+            "src_path", "symbol", "datetime", "_values",
+            F.posexplode(names).alias("_pos", "factor_name"),
+        )
     )
     return cells.filter(F.col("factor_name") != TIME).select(
-        "src_path", "symbol", "time", "factor_name",
+        "src_path", "symbol", "datetime", "factor_name",
         F.get(values, F.col("_pos")).alias("raw_value"),
     )
 

@@ -15,10 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.functions.numbers import NUMBER, csv_long, csv_number
+from candlemill.functions.numbers import NUMBER
 from candlemill.operators.existing import described_files, filter_files
 from candlemill.schema import CSV_FIELDS, KLINE, LONG_FIELDS, MISSING_TEXT
-from candlemill.sources.paths import exists, glob_regex, last_segment, require_folder
+from candlemill.sources.paths import below_regex, exists, last_segment, require_folder
 
 LINES = "src_path string, symbol string, interval string, line_no long, line string, error string"
 # Lines handed to Spark at a time.
@@ -34,14 +34,13 @@ def archive_files(spark: SparkSession, folder: str, pattern: str = "**/*.zip") -
     it, decides which files Spark opens, and without ``content`` none is opened.
     """
     root = require_folder(spark, folder)
-    relative = F.substring(F.col("src_path"), len(root) + 2, 1 << 20)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", last_segment(pattern))
         .load(root)
         .select(F.col("_metadata.file_path").alias("src_path"), "content")
-        .filter(relative.rlike(glob_regex(pattern)))
+        .filter(F.col("src_path").rlike(below_regex(root, pattern)))
     )
 
 
@@ -114,6 +113,8 @@ def _numbered_chunks(content: bytes) -> Iterator[tuple[int, list[str]]]:
 
 _MISSING = "|".join(re.escape(text) for text in MISSING_TEXT)
 _NUMBER_OR_MISSING = f"(?:{NUMBER}|{_MISSING})"
+# Numbers that fit a long; a fraction is cut off later.
+_LONG = r"\s*+[+-]?+(?:\d(?:\.\d*+)?+[eE]\+?+(?:1[0-7]|\d)|\d{1,18}+(?:\.\d*+)?+)\s*+"
 
 
 def _line_pattern() -> str:
@@ -127,7 +128,7 @@ def _line_pattern() -> str:
         if name == "ignore":
             cell = "[^,]*"
         else:
-            cell = NUMBER if name in LONG_FIELDS else _NUMBER_OR_MISSING
+            cell = _LONG if name in LONG_FIELDS else _NUMBER_OR_MISSING
         if place <= needed:
             pattern += cell if place == 0 else f",{cell}"
         else:
@@ -136,37 +137,37 @@ def _line_pattern() -> str:
 
 
 KLINE_LINE = _line_pattern()
+# A first line that does not start like this is a header.
+_NUMBER_FIRST = f'^"?{_NUMBER_OR_MISSING}"?(?:,|$)'
 
 
 def typed_lines(lines: DataFrame) -> DataFrame:
     """Twelve fields by position, typed, with ``bad`` for a line that spoils its file.
 
     A leading header line is left out. Empty or NA-like cells are missing: NaN in the
-    double columns, bad in the long ones. Other columns pass through.
+    double columns, bad in the long ones. One pattern judges the line as a whole, so the
+    cells are cast without further checks. Other columns pass through.
     """
-    line, cells = F.regexp_replace("line", '"', ""), F.col("_cells")
-    values, overflow = [], F.lit(False)
+    line = F.regexp_replace("line", '"', "")
+    readable = F.col("error").isNull() & F.coalesce(F.col("_line").rlike(KLINE_LINE), F.lit(False))
+    values = []
     for field in KLINE.fields:
         if field.name not in CSV_FIELDS:
             continue
-        text = F.get(cells, F.lit(CSV_FIELDS.index(field.name)))
+        text = F.get(F.col("_cells"), F.lit(CSV_FIELDS.index(field.name)))
+        number = text.try_cast("double")
         if field.name in LONG_FIELDS:
-            values.append(csv_long(text).alias(field.name))
-            overflow = overflow | F.col(field.name).isNull()
+            value = F.coalesce(text.try_cast("long"), number.try_cast("long"))
         else:
-            values.append(F.coalesce(csv_number(text), F.lit(float("nan"))).alias(field.name))
-    header = (F.col("line_no") == 0) & line.rlike(r"^[^,]") & ~line.rlike(f"^{NUMBER}(?:,|$)")
+            value = F.coalesce(number, F.lit(float("nan")))
+        values.append(value.alias(field.name))
     kept = [c for c in lines.columns if c != "line"]
+    header = (F.col("line_no") == 0) & ~F.col("line").rlike(_NUMBER_FIRST)
     return (
-        lines.filter(~F.coalesce(header & ~line.rlike(f"^(?:{_MISSING})(?:,|$)"), F.lit(False)))
-        .select(*kept, line.alias("_line"), F.split(line, ",").alias("_cells"))
-        .select(*kept, "_line", *values)
-        .withColumn(
-            "bad",
-            F.col("error").isNotNull() | ~F.coalesce(F.col("_line").rlike(KLINE_LINE), F.lit(False))
-            | overflow,
-        )
-        .drop("_line")
+        lines.filter(~F.coalesce(header, F.lit(False)))
+        .select(*kept, line.alias("_line"))
+        .select(*kept, F.split("_line", ",").alias("_cells"), (~readable).alias("bad"))
+        .select(*kept, *values, "bad")
     )
 
 

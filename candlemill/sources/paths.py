@@ -61,7 +61,16 @@ def glob_regex(pattern: str) -> str:
             out += "[^" + part[2:] if part.startswith("[!") else part
         else:
             out += re.escape(part)
-    return f"^{out}$"
+    return out
+
+
+def below_regex(root: str, pattern: str) -> str:
+    """Full paths below a root folder that match a file pattern.
+
+    Only the path part of the root counts: its scheme has more than one spelling.
+    """
+    path = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root)
+    return f"^(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?{re.escape(path)}/{glob_regex(pattern)}$"
 
 
 def last_segment(pattern: str) -> str:

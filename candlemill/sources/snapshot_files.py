@@ -27,8 +27,7 @@ def landed_snapshots(
     documents = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .option("wholetext", True)
-        .text(root)
+        .text(root, wholetext=True)
         .select(
             F.timestamp_millis(F.unix_millis(taken.cast("timestamp"))).alias("pulled_at"),
             F.element_at(F.split("_metadata.file_path", "/"), -2).alias("market"),

@@ -20,6 +20,7 @@ from candlemill.sources.paths import require_folder
 
 
 FILES_PER_BATCH = 5_000
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def landing_files(
@@ -33,6 +34,7 @@ def landing_files(
     """The unbounded table of archives below a folder, oldest first; none is opened."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema(_BINARY_FILE)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_filter)
         .option("maxFilesPerTrigger", files_per_batch)

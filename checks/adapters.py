@@ -167,7 +167,7 @@ def ingested(spark: SparkSession, folder: str) -> DataFrame:
 def factor_wide(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "lineitem").selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as symbol",
-        "cast(l_shipdate as string) as time",
+        "l_shipdate as time",
         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
     )
 

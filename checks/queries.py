@@ -66,11 +66,9 @@ def queries() -> dict[str, Query]:
         "marker_files": _marker_files,
         "factor_unpivot": _unpivot,
         "factor_coerce": lambda s, d: _plain(
-            factors.factor_rows(factors.coerce_factors(adapters.factor_text(s, d)))
-        ),
-        "factor_drop_stats": lambda s, d: factors.drop_stats(
-            factors.coerce_factors(adapters.factor_text(s, d))
+            factors.factor_rows(_text_cells(s, d))
         ),
+        "factor_drop_stats": lambda s, d: factors.drop_stats(_text_cells(s, d)),
         "factor_write_rows": _write_rows,
         "factor_write_faults": lambda s, d: factors.judged_write_rows(
             adapters.factor_write_input(s, d)
@@ -172,8 +170,13 @@ def _marker_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _unpivot(spark: SparkSession, folder: str) -> DataFrame:
     long = factors.unpivot_factors(adapters.factor_wide(spark, folder), ["symbol"])
-    raw = long.withColumn("raw_value", F.col("factor_value").cast("string")).drop("factor_value")
-    return _plain(factors.factor_rows(factors.coerce_factors(raw)))
+    return _plain(factors.factor_rows(factors.coerce_factors(long)))
+
+
+def _text_cells(spark: SparkSession, folder: str) -> DataFrame:
+    texts = adapters.factor_text(spark, folder)
+    timed = texts.withColumn("datetime", factors.factor_time(F.col("time"))).drop("time")
+    return factors.coerce_factors(timed)
 
 
 def _write_rows(spark: SparkSession, folder: str) -> DataFrame:
