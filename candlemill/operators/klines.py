@@ -59,7 +59,8 @@ def select_klines(
     reach the scan; the month bounds prune partitions.
     """
     names = distinct_names(symbols, "symbols")
-    rows = select_interval(klines, interval).filter(F.col("symbol").isin(names))
+    symbol = F.col("symbol")
+    rows = select_interval(klines, interval).filter(symbol.isNotNull() & symbol.isin(names))
     has_month = "month" in klines.columns
     if start is not None:
         low = kline_time_ms(start)

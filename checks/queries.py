@@ -26,7 +26,7 @@ def queries() -> dict[str, Query]:
         "clean_valid": lambda s, d: clean.keep_valid(clean.keep_first(adapters.kline_feed(s, d))),
         "clean_invalid_report": _invalid_report,
         "clean_gap_fill": _gap_rows,
-        "clean_full": lambda s, d: clean.clean(adapters.kline_feed(s, d)),
+        "clean_full": lambda s, d: _numbered(clean.clean(adapters.kline_feed(s, d))),
         "clean_stats": lambda s, d: clean.cleaning_stats(adapters.kline_feed(s, d)),
         "ingest_totals": lambda s, d: reports.run_totals(
             clean.cleaning_stats(adapters.kline_feed(s, d))
@@ -53,7 +53,8 @@ def queries() -> dict[str, Query]:
         "file_name_fields": lambda s, d: existing.described_files(adapters.file_names(s, d)),
         "file_filter": _file_filter,
         "interval_ms": lambda s, d: existing.described_files(adapters.file_names(s, d)).select(
-            "event_id", "interval", interval_ms(F.col("interval")).alias("step_ms")
+            "event_id", "interval",
+            F.coalesce(interval_ms(F.col("interval")), F.lit(0)).cast("long").alias("step_ms"),
         ),
         "has_data_day": lambda s, d: _has_data(s, d, monthly=False),
         "has_data_month": lambda s, d: _has_data(s, d, monthly=True),
@@ -111,6 +112,11 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
+def _numbered(cleaned: DataFrame) -> DataFrame:
+    """Filled candles have no line; -1 keeps the column a whole number everywhere."""
+    return cleaned.withColumn("line_no", F.coalesce("line_no", F.lit(-1)))
+
+
 def _invalid_report(spark: SparkSession, folder: str) -> DataFrame:
     report = clean.invalid_report(adapters.kline_feed(spark, folder))
     return report.withColumn("reasons", F.array_join("reasons", "; "))

@@ -359,7 +359,8 @@ per_file AS (
         "clean_gap_fill": _with(GRID, """
             SELECT src_path, open_time, close_time, close_price, trades_count FROM filled
             WHERE line_no IS NULL"""),
-        "clean_full": _with(GRID, "SELECT * FROM filled"),
+        "clean_full": _with(
+            GRID, "SELECT * REPLACE (coalesce(line_no, -1) AS line_no) FROM filled"),
         "clean_stats": _with(stats, "SELECT * FROM per_file"),
         "ingest_totals": _with(stats, """
             SELECT count(*) AS files_processed, count(DISTINCT symbol) AS symbols_processed,
@@ -400,7 +401,7 @@ per_file AS (
             WHERE "interval" IN ('1m', '1h') AND own_symbol IN ('SYM1', 'SYM2', 'SYM3', '')"""),
         "interval_ms": _with(FILE_NAMES, f"""
             SELECT event_id, "interval", CASE "interval" WHEN '1m' THEN 60000 WHEN '1h' THEN {_HOUR}
-              WHEN '1d' THEN {_DAY} END AS step_ms FROM described"""),
+              WHEN '1d' THEN {_DAY} ELSE 0 END::BIGINT AS step_ms FROM described"""),
         "has_data_day": _with(STORED, f"""
             SELECT src_path, symbol, "interval", date FROM files f
             WHERE date IS NOT NULL AND NOT monthly AND {_STORED_DAY}"""),
