@@ -51,10 +51,14 @@ def fill_gaps(df: DataFrame, step_ms: int | None = None) -> DataFrame:
     missing = F.when(F.col("_whole"), F.lit(0)).otherwise(
         F.call_function("div", F.col("_until") - F.col("open_time"), F.col("_step")) - 1
     )
+    # In two steps, so that not even a very long gap is held as one array.
+    block_end = F.least(F.col("_missing"), F.col("_block") + (STRETCH - 1))
     filled = (
         rows.join(neighbours, _STRETCH_KEY)
         .withColumn("_until", until)
-        .withColumn("_slot", F.explode(F.sequence(F.lit(0).cast("long"), missing.cast("long"))))
+        .withColumn("_missing", missing.cast("long"))
+        .withColumn("_block", F.explode(F.sequence(_long(0), F.col("_missing"), _long(STRETCH))))
+        .withColumn("_slot", F.explode(F.sequence("_block", block_end)))
     )
     return filled.select(*[_filled(c).alias(c) for c in df.columns])
 
@@ -105,9 +109,13 @@ def invalid_report(df: DataFrame, per_file: int = REPORTED_PER_FILE) -> DataFram
     )
 
 
+def _long(number: int) -> Column:
+    return F.lit(number).cast("long")
+
+
 def _step(step_ms: int | None) -> Column:
     if step_ms is not None:
-        return F.lit(int(step_ms)).cast("long")
+        return _long(step_ms)
     unknown = F.raise_error(F.concat(F.lit("unknown interval: "), F.col("interval")))
     return F.coalesce(interval_ms(F.col("interval")).cast("long"), unknown.cast("long"))
 

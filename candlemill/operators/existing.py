@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.functions.names import date_of, interval_of, is_monthly, symbol_of
-from candlemill.functions.times import utc_day
+from candlemill.functions.times import day_bounds_ms, month_bounds_ms, month_of, utc_day
+from candlemill.schema import is_valid_interval
 
 _PERIOD = ["symbol", "interval", "period"]
 
@@ -80,7 +83,7 @@ def _period(kind: Column, first_day: Column) -> Column:
 def has_data(described: DataFrame, klines: DataFrame) -> DataFrame:
     """Files whose day (or month, for a monthly name) is already stored."""
     wanted = with_period(described)
-    return wanted.join(_relevant_periods(wanted, klines), _PERIOD, "left_semi").drop("period")
+    return wanted.join(stored_periods(klines), _PERIOD, "left_semi").drop("period")
 
 
 def skip_existing(described: DataFrame, klines: DataFrame, force: bool = False) -> DataFrame:
@@ -88,18 +91,29 @@ def skip_existing(described: DataFrame, klines: DataFrame, force: bool = False)
     if force:
         return described
     wanted = with_period(described)
-    return wanted.join(_relevant_periods(wanted, klines), _PERIOD, "left_anti").drop("period")
-
-
-def _relevant_periods(wanted: DataFrame, klines: DataFrame) -> DataFrame:
-    """Stored periods, reading only the table months that the files are about."""
-    if "month" not in klines.columns:
-        return stored_periods(klines)
-    day = F.col("date").cast("date")
-    months = wanted.filter(F.col("date").isNotNull()).select(
-        "interval", (F.year(day) * 100 + F.month(day)).cast("int").alias("month")
-    ).distinct()
-    return stored_periods(klines.join(months, ["interval", "month"], "left_semi"))
+    return wanted.join(stored_periods(klines), _PERIOD, "left_anti").drop("period")
+
+
+def has_data_for_day(klines: DataFrame, symbol: str, interval: str, day: date) -> bool:
+    """Is any candle stored in the UTC day; False for an unknown interval."""
+    return _has_rows(klines, symbol, interval, day_bounds_ms(day))
+
+
+def has_data_for_month(klines: DataFrame, symbol: str, interval: str, year: int, month: int) -> bool:
+    return _has_rows(klines, symbol, interval, month_bounds_ms(year, month))
+
+
+def _has_rows(klines: DataFrame, symbol: str, interval: str, bounds: tuple[int, int]) -> bool:
+    if not is_valid_interval(interval):
+        return False
+    start, end = bounds
+    rows = klines.filter(
+        (F.col("symbol") == symbol) & (F.col("interval") == interval)
+        & (F.col("open_time") >= start) & (F.col("open_time") < end)
+    )
+    if "month" in klines.columns:
+        rows = rows.filter(F.col("month") == month_of(start))
+    return not rows.select("symbol").isEmpty()
 
 
 def path_order(path: Column) -> Column:

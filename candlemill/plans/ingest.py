@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from candlemill.functions.times import utc_day
 from candlemill.operators.clean import clean, cleaning_stats
 from candlemill.operators.existing import (
+    has_data,
     marker_files,
     path_order,
     pending_markers,
-    skip_existing,
     skipped_in_run,
 )
 from candlemill.operators.reports import run_totals
@@ -94,10 +94,10 @@ def _ingest(
     if "place" not in archives.columns:
         archives = archives.withColumn("place", path_order(F.col("src_path")))
     listed = staging(archives.drop("content"), "files")
-    stored = skipped_already = None
+    skipped_already = None
     if not force:
-        stored = kline_table(spark, table)
-        skipped_already = staging(_already_stored(listed, stored), "stored")
+        stored = _months_of(listed, kline_table(spark, table))
+        skipped_already = staging(has_data(listed, stored).select("src_path"), "stored")
         archives = _without(archives, skipped_already)
 
     typed = staging(typed_lines(unzip_lines(archives)), "typed")
@@ -133,9 +133,19 @@ def _ingest(
     )
 
 
-def _already_stored(listed: DataFrame, stored: DataFrame) -> DataFrame:
-    remaining = skip_existing(listed, stored).select("src_path")
-    return listed.select("src_path").join(remaining, "src_path", "left_anti")
+def _months_of(listed: DataFrame, stored: DataFrame) -> DataFrame:
+    """The part of the table the files are about, by partition.
+
+    The months and intervals in file names are few (a calendar's worth), so they become
+    literals and prune partitions before anything is read.
+    """
+    day = F.col("date").cast("date")
+    month = (F.year(day) * 100 + F.month(day)).alias("month")
+    named = listed.filter(F.col("date").isNotNull()).select("interval", month).distinct().collect()
+    months, intervals = {row["month"] for row in named}, {row["interval"] for row in named}
+    return stored.filter(
+        F.col("month").isin(sorted(months)) & F.col("interval").isin(sorted(intervals))
+    )
 
 
 def _without(archives: DataFrame, skipped: DataFrame) -> DataFrame:

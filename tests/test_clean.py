@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from conftest import kline_rows
@@ -170,3 +171,56 @@ def test_time_range_is_first_and_last_line(spark):
     rows = kline_rows(spark, [dict(open_time=t) for t in (5, 1, 9, 3)])
     row = reports.file_time_range(rows).first()
     assert (row["first_time"], row["last_time"]) == (5, 3)
+
+
+def cleaned_by_hand(rows, step):
+    """The cleaning rules row by row over one file, for comparison."""
+    seen, kept = set(), []
+    for row in rows:
+        if row["open_time"] in seen:
+            continue
+        seen.add(row["open_time"])
+        o, h, l, c, v = (row[k] for k in ("open_price", "high_price", "low_price", "close_price", "volume"))
+        if min(o, h, l, c) > 0 and h >= max(o, c) and l <= min(o, c) and v >= 0:
+            kept.append(row)
+    kept.sort(key=lambda r: r["open_time"])
+    if len(kept) < 2:
+        return [(r["open_time"], r["close_price"], r["volume"]) for r in kept]
+    start, end = kept[0]["open_time"], kept[-1]["open_time"]
+    if (end - start) // step + 1 == len(kept):
+        return [(r["open_time"], r["close_price"], r["volume"]) for r in kept]
+    by_time, out = {r["open_time"]: r for r in kept}, []
+    for t in range(start, end + 1, step):
+        row = by_time.get(t)
+        out.append((t, row["close_price"], row["volume"]) if row else (t, out[-1][1], 0.0))
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_random_files_equal_a_row_by_row_pass(spark, monkeypatch, seed):
+    """Files of every size; one of them holds a third of all rows, mostly copies."""
+    monkeypatch.setattr(clean, "STRETCH", 8)
+    rng = random.Random(seed)
+    files = {}
+    for number in range(40):
+        size = 400 if number == 0 else rng.randrange(1, 20)
+        grid = rng.choice([1, 1, 1, 2, 10])
+        files[f"f{number}"] = [
+            dict(
+                open_time=rng.randrange(60 if number else 90) * 1000 + (rng.randrange(grid) * 100),
+                open_price=float(rng.randrange(-1, 30)), high_price=float(rng.randrange(10, 60)),
+                low_price=float(rng.randrange(0, 8)), close_price=float(rng.randrange(1, 40)),
+                volume=float(rng.randrange(-1, 50)),
+            )
+            for _ in range(size)
+        ]
+    rows = kline_rows(spark, [
+        {**row, "src_path": path, "line_no": i} for path, rs in files.items() for i, row in enumerate(rs)
+    ])
+    found = {}
+    for r in clean.clean(rows, 1000).select("src_path", "open_time", "close_price", "volume").collect():
+        found.setdefault(r[0], []).append(tuple(r)[1:])
+    expected = {path: cleaned_by_hand(rs, 1000) for path, rs in files.items()}
+    assert {p: sorted(v) for p, v in found.items()} == {p: v for p, v in expected.items() if v}
+    out = clean.cleaning_stats(rows, 1000).select("src_path", "rows_out").collect()
+    assert dict(map(tuple, out)) == {p: len(v) for p, v in expected.items()}

@@ -11,6 +11,7 @@ from candlemill.operators import existing
 from candlemill.plans import ingest as ingest_plan
 from candlemill.session import Staging
 from candlemill.sinks.tables import compact_klines
+from candlemill.sources.markers import is_ingested
 from candlemill.sources.tables import kline_table
 
 DAY = 86_400_000
@@ -41,6 +42,14 @@ def test_ingest_cleans_writes_and_reports(spark, tmp_path, zipped):
     assert [r["open_time"] for r in rows] == [JAN_1 + h * 3_600_000 for h in range(10)]
     assert rows[4]["volume"] == 0 and rows[4]["open"] == rows[3]["close"]
 
+    stored = kline_table(spark, store.klines_path)
+    assert existing.has_data_for_day(stored, "BTCUSDT", "1h", date(2024, 1, 1))
+    assert not existing.has_data_for_day(stored, "BTCUSDT", "1h", date(2024, 1, 2))
+    assert not existing.has_data_for_day(stored, "BTCUSDT", "1m", date(2024, 1, 1))
+    assert not existing.has_data_for_day(stored, "BTCUSDT", "2m", date(2024, 1, 1))
+    assert existing.has_data_for_month(stored, "ETHUSDT", "1h", 2024, 1)
+    assert not existing.has_data_for_month(stored, "ETHUSDT", "1h", 2023, 12)
+
     again = store.ingest_klines(str(tmp_path / "source"))
     assert (again.records_written, again.files_skipped) == (0, 2)
     forced = store.ingest_klines(str(tmp_path / "source"), symbols=["ETHUSDT"], force=True)
@@ -128,6 +137,8 @@ def test_markers(spark, tmp_path, zipped):
     names, stats = store.ingest_pending(str(data))
     assert names == ["_SUCCESS__2024-01-01__cm__1h", "_SUCCESS__2024-01-01__um__1h"]
     assert (stats.records_written, stats.files_processed) == (24, 1)
+    assert is_ingested(spark, store.ingested_path, names[0])
+    assert not is_ingested(spark, store.ingested_path, "_SUCCESS__2024-01-02__um__1h")
     assert store.ingest_pending(str(data)) == ([], ingest_plan.IngestStats())
     (data / "_SUCCESS__2024-01-02__um__1h").touch()
     names, stats = store.ingest_pending(str(data))
