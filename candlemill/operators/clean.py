@@ -2,8 +2,10 @@
 
 Rows carry ``src_path`` (the file), ``line_no`` (position in it) and the kline columns.
 
-The work is spread over (file, open_time) and then (file, stretch of the grid), never
-over whole files, so one very large file is shared between tasks:
+A file is one symbol, interval and period, at most some ten thousand rows, so whole files
+fit a task: one shuffle by file and one sort serve the complete chain. That is checked
+first. Rows of files above ``ROWS_PER_FILE`` take the other way, which gives the same
+result but never brings a file together:
 
 * duplicates collapse in the map tasks (see ``keyed``);
 * a file's extent is an aggregate of one row per file;
@@ -21,10 +23,15 @@ from candlemill.functions.times import floor_div
 from candlemill.operators.keyed import first_per_key
 from candlemill.schema import VOLUMES, interval_ms
 
+# Rows of one file that a task may hold; the window operator spills beyond memory.
+ROWS_PER_FILE = 1_000_000
+# Above this many names of large files a join takes the place of a list.
+LISTED_FILES = 1_000
 # Grid slots per stretch: bounds the rows one window group can hold.
 STRETCH = 1024
 REPORTED_PER_FILE = 10
 
+_CHECKED = ("open_price", "high_price", "low_price", "close_price", "volume")
 _STRETCH_KEY = ["src_path", "_step", "_stretch", "_phase"]
 
 
@@ -45,53 +52,57 @@ def fill_gaps(df: DataFrame, step_ms: int | None = None) -> DataFrame:
     as it is; in any other file rows off the grid are dropped. Needs unique open_times.
     """
     rows = _on_stretches(df, step_ms)
-    neighbours = _neighbours(rows)
     slot = Window.partitionBy(*_STRETCH_KEY).orderBy("open_time")
     until = F.coalesce(F.lead("open_time").over(slot), F.col("_stretch_until"))
-    missing = F.when(F.col("_whole"), F.lit(0)).otherwise(
-        F.call_function("div", F.col("_until") - F.col("open_time"), F.col("_step")) - 1
-    )
-    # In two steps, so that not even a very long gap is held as one array.
-    block_end = F.least(F.col("_missing"), F.col("_block") + (STRETCH - 1))
-    filled = (
-        rows.join(neighbours, _STRETCH_KEY)
-        .withColumn("_until", until)
-        .withColumn("_missing", missing.cast("long"))
-        .withColumn("_block", F.explode(F.sequence(_long(0), F.col("_missing"), _long(STRETCH))))
-        .withColumn("_slot", F.explode(F.sequence("_block", block_end)))
-    )
-    return filled.select(*[_filled(c).alias(c) for c in df.columns])
+    return _fill(rows.join(_neighbours(rows), _STRETCH_KEY).withColumn("_until", until), df.columns)
 
 
 def clean(df: DataFrame, step_ms: int | None = None) -> DataFrame:
-    """The whole chain; the order of the three steps matters."""
-    return fill_gaps(keep_valid(keep_first(df)), step_ms)
+    """First occurrence, validity, gap filling; the order of the three steps matters."""
+    ordinary, large = by_file_size(df)
+    cleaned = _clean_files(ordinary, step_ms)
+    if large is None:
+        return cleaned
+    return cleaned.unionByName(fill_gaps(keep_valid(keep_first(large)), step_ms))
+
+
+def by_file_size(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary files, and rows of large ones if there are any.
+
+    Counts the rows of each file, a job over one narrow column.
+    """
+    sizes = df.groupBy("src_path").agg(F.count(F.lit(1)).alias("_rows"))
+    large = sizes.filter(F.col("_rows") > ROWS_PER_FILE).select("src_path")
+    names = [row["src_path"] for row in large.limit(LISTED_FILES + 1).collect()]
+    if not names:
+        return df, None
+    if len(names) <= LISTED_FILES:
+        is_large = F.col("src_path").isin(names)
+        return df.filter(~is_large), df.filter(is_large)
+    return df.join(large, "src_path", "left_anti"), df.join(large, "src_path", "left_semi")
 
 
 def cleaning_stats(df: DataFrame, step_ms: int | None = None) -> DataFrame:
     """Per file: rows in, duplicates, invalid rows, net gap count and rows out."""
-    checked = ["open_price", "high_price", "low_price", "close_price", "volume"]
-    first = (
-        df.groupBy("src_path", "symbol", "interval", "open_time")
-        .agg(
-            F.min_by(F.struct(*checked), "line_no").alias("_row"),
-            F.count(F.lit(1)).alias("_copies"),
-        )
-        .select("src_path", "symbol", "interval", "open_time", "_copies", "_row.*")
-        .withColumn("_valid", is_valid_candle())
+    ordinary, large = by_file_size(
+        df.select("src_path", "symbol", "interval", "line_no", "open_time", *_CHECKED)
     )
-    valid_time = F.when(F.col("_valid"), F.col("open_time"))
-    per_file = first.groupBy("src_path", "symbol", "interval").agg(
+    marked = _marked(ordinary).withColumn("_copies", F.lit(1))
+    if large is not None:
+        marked = marked.unionByName(_collapsed(large))
+    file = ["src_path", "symbol", "interval"]
+    valid_time = F.when(F.col("_valid") & F.col("_first"), F.col("open_time"))
+    per_file = marked.groupBy(*file).agg(
         F.sum("_copies").alias("rows_in"),
-        (F.sum("_copies") - F.count(F.lit(1))).alias("duplicates_removed"),
-        F.count_if(~F.col("_valid")).alias("invalid_removed"),
-        F.count_if("_valid").alias("_n"),
+        (F.sum("_copies") - F.count_if("_first")).alias("duplicates_removed"),
+        F.count_if(F.col("_first") & ~F.col("_valid")).alias("invalid_removed"),
+        F.count(valid_time).alias("_n"),
         F.min(valid_time).alias("_start"),
         F.max(valid_time).alias("_end"),
     ).withColumn("_step", _step(step_ms))
     whole = _is_whole("_n", "_start", "_end")
     return per_file.select(
-        "src_path", "symbol", "interval", "rows_in", "duplicates_removed", "invalid_removed",
+        *file, "rows_in", "duplicates_removed", "invalid_removed",
         F.when(whole, F.lit(0)).otherwise(_slots() - F.col("_n")).cast("long").alias("gaps_filled"),
         F.when(whole, F.col("_n")).otherwise(_slots()).cast("long").alias("rows_out"),
     )
@@ -109,6 +120,67 @@ def invalid_report(df: DataFrame, per_file: int = REPORTED_PER_FILE) -> DataFram
     )
 
 
+def _marked(df: DataFrame) -> DataFrame:
+    """Rows in file and time order, with ``_first`` occurrence and ``_valid``."""
+    order = Window.partitionBy("src_path").orderBy("open_time", "line_no")
+    before = F.lag("open_time").over(order)
+    return df.withColumn("_before", before).select(
+        *df.columns,
+        F.coalesce(F.col("_before") != F.col("open_time"), F.lit(True)).alias("_first"),
+        is_valid_candle().alias("_valid"),
+    )
+
+
+def _collapsed(df: DataFrame) -> DataFrame:
+    """First occurrences with the number of their copies, in the columns of ``_marked``."""
+    rest = ["symbol", "interval", "line_no", *_CHECKED]
+    return (
+        df.groupBy("src_path", "open_time")
+        .agg(
+            F.min_by(F.struct(*rest), "line_no").alias("_row"),
+            F.count(F.lit(1)).alias("_copies"),
+        )
+        .select("src_path", "open_time", "_copies", "_row.*")
+        .withColumns({"_first": F.lit(True), "_valid": is_valid_candle()})
+    )
+
+
+def _clean_files(df: DataFrame, step_ms: int | None) -> DataFrame:
+    """The chain over whole files: windows that share one shuffle and one sort."""
+    file = Window.partitionBy("src_path")
+    kept = _marked(df).filter(F.col("_first") & F.col("_valid"))
+    sized = kept.withColumn("_step", _step(step_ms)).select(
+        "*",
+        F.min("open_time").over(file).alias("_start"),
+        F.max("open_time").over(file).alias("_end"),
+        F.count(F.lit(1)).over(file).alias("_n"),
+    )
+    on_grid = F.pmod(F.col("open_time") - F.col("_start"), F.col("_step")) == 0
+    rows = sized.withColumn("_whole", _is_whole("_n", "_start", "_end")).filter(
+        F.col("_whole") | on_grid
+    )
+    following = F.lead("open_time").over(file.orderBy("open_time"))
+    past_end = F.col("_start") + _slots() * F.col("_step")
+    return _fill(rows.withColumn("_until", F.coalesce(following, past_end)), df.columns)
+
+
+def _fill(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Repeat each row for the empty slots before ``_until``.
+
+    In two steps, so that not even a very long gap is held as one array.
+    """
+    missing = F.when(F.col("_whole"), F.lit(0)).otherwise(
+        F.call_function("div", F.col("_until") - F.col("open_time"), F.col("_step")) - 1
+    )
+    block_end = F.least(F.col("_missing"), F.col("_block") + (STRETCH - 1))
+    filled = (
+        rows.withColumn("_missing", missing.cast("long"))
+        .withColumn("_block", F.explode(F.sequence(_long(0), F.col("_missing"), _long(STRETCH))))
+        .withColumn("_slot", F.explode(F.sequence("_block", block_end)))
+    )
+    return filled.select(*[_filled(c).alias(c) for c in columns])
+
+
 def _long(number: int) -> Column:
     return F.lit(number).cast("long")
 
