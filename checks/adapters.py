@@ -13,8 +13,20 @@ from candlemill.session import use_utc
 _MS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000"
 
 
+_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+              " props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+                " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+                " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{folder}/{name}.parquet")
+    """A driver table; naming its columns spares the job that would infer them."""
+    return use_utc(spark).read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,43 +59,35 @@ def kline_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _candles(interval: str, step: int) -> str:
+    return f"""
+        select event_type as symbol, ms div {step} * {step} as open_time,
+          min_by(value, event_id) as open_price, max(value) as high_price,
+          min(value) as low_price, max_by(value, event_id) as close_price,
+          cast(count(*) as double) as volume,
+          cast(sum(cast(value as decimal(18,2))) as double) as quote_volume,
+          count(*) as trades_count,
+          cast(count_if(user_id % 2 = 0) as double) as taker_buy_volume,
+          cast(sum(if(user_id % 2 = 0, cast(value as decimal(18,2)), 0)) as double)
+            as taker_buy_quote_volume,
+          '{interval}' as interval, {step}L as step
+        from {{events}} group by 1, 2"""
+
+
 def klines(spark: SparkSession, folder: str) -> DataFrame:
     """A kline table with hourly and daily candles; some have an older version, too."""
-    events = _events(spark, folder)
-
-    def candles(interval: str, step: int) -> DataFrame:
-        return (
-            events.withColumn("open_time", F.expr(f"ms div {step} * {step}"))
-            .withColumnRenamed("event_type", "symbol")
-            .groupBy("symbol", "open_time")
-            .agg(
-                F.min_by("value", "event_id").alias("open_price"),
-                F.max("value").alias("high_price"),
-                F.min("value").alias("low_price"),
-                F.max_by("value", "event_id").alias("close_price"),
-                F.count(F.lit(1)).cast("double").alias("volume"),
-                F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("quote_volume"),
-                F.count(F.lit(1)).alias("trades_count"),
-                F.expr("cast(count_if(user_id % 2 = 0) as double)").alias("taker_buy_volume"),
-                F.expr(
-                    "cast(sum(if(user_id % 2 = 0, cast(value as decimal(18,2)), 0)) as double)"
-                ).alias("taker_buy_quote_volume"),
-            )
-            .withColumn("interval", F.lit(interval))
-            .withColumn("close_time", F.col("open_time") + step - 1)
-            .withColumn("line_no", F.expr(f"open_time div {step}"))
-        )
-
-    both = candles("1h", 3_600_000).unionByName(candles("1d", 86_400_000))
-    versions = F.expr("explode(if(line_no % 3 = 0, array(0, 1), array(1)))")
-    return both.withColumn("version", versions).selectExpr(
-        "symbol", "open_time", "close_time", "open_price", "high_price", "low_price",
-        "if(version = 0, 0.0D, close_price) as close_price",
-        "volume", "quote_volume", "trades_count", "taker_buy_volume", "taker_buy_quote_volume",
-        "interval", "timestamp_seconds(version) as ingested_at",
-        "concat(symbol, '-', interval) as src_path", "line_no",
-        "year(date_from_unix_date(cast(open_time div 86400000 as int))) * 100"
-        " + month(date_from_unix_date(cast(open_time div 86400000 as int))) as month",
+    return spark.sql(
+        f"""
+        select symbol, open_time, open_time + step - 1 as close_time, open_price, high_price,
+          low_price, if(version = 0, 0.0D, close_price) as close_price, volume, quote_volume,
+          trades_count, taker_buy_volume, taker_buy_quote_volume, interval,
+          timestamp_seconds(version) as ingested_at, concat(symbol, '-', interval) as src_path,
+          open_time div step as line_no,
+          year(date_from_unix_date(cast(open_time div 86400000 as int))) * 100
+            + month(date_from_unix_date(cast(open_time div 86400000 as int))) as month
+        from ({_candles("1h", 3_600_000)} union all {_candles("1d", 86_400_000)})
+        lateral view explode(if(open_time div step % 3 = 0, array(0, 1), array(1))) as version""",
+        events=_events(spark, folder),
     )
 
 
