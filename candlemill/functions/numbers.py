@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.schema import MISSING_TEXT
-
 # Decimal text, or an infinity; what a cast alone would also take (1.5d, NaN) is left out.
 # Every quantifier keeps what it took, so a mismatch is found in one pass.
 NUMBER = r"\s*+[+-]?+(?:(?:\d++(?:\.\d*+)?+|\.\d++)(?:[eE][+-]?+\d++)?+|(?i:inf(?:inity)?+))\s*+"
@@ -16,10 +14,6 @@ _UNDERSCORED = (
 )
 
 
-def is_missing_text(text: Column) -> Column:
-    return text.isNull() | text.isin(*MISSING_TEXT)
-
-
 def csv_number(text: Column) -> Column:
     """Numeric text as a double, infinities included; NULL for anything else."""
     return F.when(text.rlike(f"^{NUMBER}$"), text.try_cast("double"))

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from candlemill.functions.numbers import or_null
 
-_CHECKED = ("open_price", "high_price", "low_price", "close_price", "volume")
-
-
-def _checked() -> tuple[Column, ...]:
-    return tuple(or_null(F.col(c)) for c in _CHECKED)
+_VALID = """coalesce(
+    open_price > 0 and high_price > 0 and low_price > 0 and close_price > 0
+    and high_price >= greatest(open_price, close_price)
+    and low_price <= least(open_price, close_price)
+    and high_price >= low_price and volume >= 0
+    and not (isnan(open_price) or isnan(high_price) or isnan(low_price)
+             or isnan(close_price) or isnan(volume)),
+    false)"""
 
 
 def is_valid_candle() -> Column:
@@ -19,16 +22,7 @@ def is_valid_candle() -> Column:
 
     A missing value (NULL or NaN) in any of the five columns makes the row invalid.
     """
-    o, h, l, c, v = _checked()
-    holds = (
-        (o > 0) & (h > 0) & (l > 0) & (c > 0)
-        & (h >= F.greatest(o, c))
-        & (l <= F.least(o, c))
-        & (h >= l)
-        & (v >= 0)
-    )
-    complete = o.isNotNull() & c.isNotNull()
-    return F.coalesce(holds & complete, F.lit(False))
+    return F.expr(_VALID)
 
 
 def invalid_reasons() -> Column:
@@ -36,7 +30,10 @@ def invalid_reasons() -> Column:
 
     A missing value breaks no rule by itself, so the array may be empty.
     """
-    o, h, l, c, v = _checked()
+    o, h, l, c, v = (
+        or_null(F.col(name))
+        for name in ("open_price", "high_price", "low_price", "close_price", "volume")
+    )
     top = F.when(c > o, c).otherwise(o)
     bottom = F.when(c < o, c).otherwise(o)
     rules = [

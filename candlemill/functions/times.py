@@ -91,10 +91,6 @@ def utc_month(ms: Column) -> Column:
     return F.year(day) * 100 + F.month(day)
 
 
-def day_start_ms(day: Column) -> Column:
-    return F.unix_date(day).cast("long") * DAY_MS
-
-
 def from_seconds_or_millis(number: Column) -> Column:
     moment = (
         F.when(number > MILLIS_ABOVE, F.timestamp_millis(number))

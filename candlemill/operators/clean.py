@@ -31,6 +31,18 @@ LISTED_FILES = 1_000
 STRETCH = 1024
 REPORTED_PER_FILE = 10
 
+# Each column of the candle ``_slot`` steps behind a row; in slot 0 that is the row itself.
+_FILLED = {
+    "open_time": "open_time + _slot * _step",
+    "close_time": "if(_slot > 0, open_time + (_slot + 1) * _step - 1, close_time)",
+    **{c: f"if(_slot > 0, close_price, {c})" for c in ("open_price", "high_price", "low_price")},
+    **{
+        c: f"if(_whole, {c}, if(_slot > 0, 0D, coalesce(nanvl({c}, 0D), 0D)))" for c in VOLUMES
+    },
+    "trades_count": "if(_whole, trades_count, if(_slot > 0, 0L, coalesce(trades_count, 0L)))",
+    "line_no": "if(_slot > 0, null, line_no)",
+}
+
 _CHECKED = ("open_price", "high_price", "low_price", "close_price", "volume")
 _STRETCH_KEY = ["src_path", "_step", "_stretch", "_phase"]
 
@@ -100,7 +112,7 @@ def cleaning_stats(df: DataFrame, step_ms: int | None = None) -> DataFrame:
         F.min(valid_time).alias("_start"),
         F.max(valid_time).alias("_end"),
     ).withColumn("_step", _step(step_ms))
-    whole = _is_whole("_n", "_start", "_end")
+    whole = _is_whole()
     return per_file.select(
         *file, "rows_in", "duplicates_removed", "invalid_removed",
         F.when(whole, F.lit(0)).otherwise(_slots() - F.col("_n")).cast("long").alias("gaps_filled"),
@@ -156,7 +168,7 @@ def _clean_files(df: DataFrame, step_ms: int | None) -> DataFrame:
         F.count(F.lit(1)).over(file).alias("_n"),
     )
     on_grid = F.pmod(F.col("open_time") - F.col("_start"), F.col("_step")) == 0
-    rows = sized.withColumn("_whole", _is_whole("_n", "_start", "_end")).filter(
+    rows = sized.withColumn("_whole", _is_whole()).filter(
         F.col("_whole") | on_grid
     )
     following = F.lead("open_time").over(file.orderBy("open_time"))
@@ -169,25 +181,19 @@ def _fill(rows: DataFrame, columns: list[str]) -> DataFrame:
 
     In two steps, so that not even a very long gap is held as one array.
     """
-    missing = F.when(F.col("_whole"), F.lit(0)).otherwise(
-        F.call_function("div", F.col("_until") - F.col("open_time"), F.col("_step")) - 1
-    )
-    block_end = F.least(F.col("_missing"), F.col("_block") + (STRETCH - 1))
     filled = (
-        rows.withColumn("_missing", missing.cast("long"))
-        .withColumn("_block", F.explode(F.sequence(_long(0), F.col("_missing"), _long(STRETCH))))
-        .withColumn("_slot", F.explode(F.sequence("_block", block_end)))
+        rows.selectExpr("*", "if(_whole, 0L, (_until - open_time) div _step - 1) as _missing")
+        .selectExpr("*", f"explode(sequence(0L, _missing, {STRETCH}L)) as _block")
+        .selectExpr("*", f"explode(sequence(_block, least(_missing, _block + {STRETCH - 1}))) as _slot")
     )
-    return filled.select(*[_filled(c).alias(c) for c in columns])
-
-
-def _long(number: int) -> Column:
-    return F.lit(number).cast("long")
+    return filled.select(*[
+        F.expr(_FILLED[c]).alias(c) if c in _FILLED else F.col(c) for c in columns
+    ])
 
 
 def _step(step_ms: int | None) -> Column:
     if step_ms is not None:
-        return _long(step_ms)
+        return F.lit(step_ms).cast("long")
     unknown = F.raise_error(F.concat(F.lit("unknown interval: "), F.col("interval")))
     return F.coalesce(interval_ms(F.col("interval")).cast("long"), unknown.cast("long"))
 
@@ -202,11 +208,12 @@ def _on_stretches(df: DataFrame, step_ms: int | None) -> DataFrame:
 
 
 def _slots() -> Column:
-    return F.call_function("div", F.col("_end") - F.col("_start"), F.col("_step")) + 1
+    return F.expr("(_end - _start) div _step + 1")
 
 
-def _is_whole(n: str, start: str, end: str) -> Column:
-    return F.coalesce((F.col(n) < 2) | (F.col(n) == _slots()), F.lit(True))
+def _is_whole() -> Column:
+    """Fewer than two rows (``_n``), or as many as slots from ``_start`` to ``_end``."""
+    return F.expr("coalesce(_n < 2 or _n = (_end - _start) div _step + 1, true)")
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
@@ -225,27 +232,8 @@ def _neighbours(rows: DataFrame) -> DataFrame:
     past_end = F.col("_start") + _slots() * F.col("_step")
     return (
         stretches.join(files, "src_path")
-        .withColumn("_whole", _is_whole("_n", "_start", "_end"))
+        .withColumn("_whole", _is_whole())
         .filter(F.col("_whole") | (F.col("_phase") == F.pmod("_start", F.col("_step"))))
         .withColumn("_stretch_until", F.coalesce(F.lead("_first").over(following), past_end))
         .select(*_STRETCH_KEY, "_whole", "_stretch_until")
     )
-
-
-def _filled(name: str) -> Column:
-    """A column of the row itself, or of the flat candle ``_slot`` steps after it."""
-    column, is_new = F.col(name), F.col("_slot") > 0
-    time = F.col("open_time") + F.col("_slot") * F.col("_step")
-    if name == "open_time":
-        return time
-    if name == "close_time":
-        return F.when(is_new, time + F.col("_step") - 1).otherwise(column)
-    if name in ("open_price", "high_price", "low_price"):
-        return F.when(is_new, F.col("close_price")).otherwise(column)
-    if name in VOLUMES or name == "trades_count":
-        known = column if name == "trades_count" else F.nanvl(column, F.lit(None).cast("double"))
-        zeroed = F.when(is_new, F.lit(0)).otherwise(F.coalesce(known, F.lit(0)))
-        return F.when(F.col("_whole"), column).otherwise(zeroed)
-    if name == "line_no":
-        return F.when(~is_new, column)
-    return column

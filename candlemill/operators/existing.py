@@ -50,14 +50,6 @@ def stored_days(klines: DataFrame) -> DataFrame:
     return klines.select("symbol", "interval", utc_day(F.col("open_time")).alias("day")).distinct()
 
 
-def stored_months(klines: DataFrame) -> DataFrame:
-    return (
-        klines.select(
-            "symbol", "interval", F.trunc(utc_day(F.col("open_time")), "month").alias("month_start")
-        ).distinct()
-    )
-
-
 def stored_periods(klines: DataFrame) -> DataFrame:
     """Every stored day and every stored month as one set of period keys."""
     return stored_days(klines).select("symbol", "interval", _periods_of_day()).distinct()

@@ -205,7 +205,7 @@ def test_coverage(versions):
 
 
 def test_month_is_pruned(spark, versions, tmp_path):
-    from candlemill.sinks.tables import write_factors
+    from candlemill.sinks.tables import compact_factors, write_factors
 
     later = versions.withColumn("datetime", F.expr("datetime + interval 60 days"))
     write_factors(versions.unionByName(later), str(tmp_path / "f"))
@@ -213,4 +213,6 @@ def test_month_is_pruned(spark, versions, tmp_path):
         factor_table(spark, str(tmp_path / "f")), "BTCUSDT", ["price_usd", "volume"], "2024-02-01"
     )
     assert rows.count() == 2
+    compact_factors(spark, str(tmp_path / "f"))
+    assert factor_table(spark, str(tmp_path / "f")).count() == 8
     assert "month" in rows._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
