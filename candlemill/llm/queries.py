@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import packing, token_count
+from candlemill.llm import packing, quality, token_count, warc
 from candlemill.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,15 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn_chain(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_count.count_tokens(
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
@@ -34,6 +43,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_warc": op2_warc,
+        "op4_quality_rules": op4_quality_rules,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
     }
