@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import packing, quality, token_count, warc
+from candlemill.llm import near_dup, packing, quality, token_count, warc
 from candlemill.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, quality.learn_chain(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_count.count_tokens(
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
@@ -45,6 +49,7 @@ def queries() -> dict[str, Query]:
     return {
         "op2_warc": op2_warc,
         "op4_quality_rules": op4_quality_rules,
+        "op5_near_duplicates": op5_near_duplicates,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
     }
