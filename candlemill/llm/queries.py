@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import near_dup, packing, quality, token_count, warc
+from candlemill.llm import decontaminate, near_dup, packing, quality, token_count, warc
 from candlemill.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.passages(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).drop("row")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_warc": op2_warc,
@@ -52,6 +58,7 @@ def queries() -> dict[str, Query]:
         "op5_near_duplicates": op5_near_duplicates,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
+        "op9_benchmark_passages": op9_benchmark_passages,
     }
 
 
