@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import decontaminate, near_dup, packing, quality, token_count, warc
+from candlemill.llm import decontaminate, near_dup, packing, pii, quality, token_count, warc
 from candlemill.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.learn_chain(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ def op9_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op2_warc": op2_warc,
+        "op3_personal_data": op3_personal_data,
         "op4_quality_rules": op4_quality_rules,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_token_counts": op6_token_counts,
