@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import decontaminate, near_dup, packing, pii, quality, token_count, warc
+from candlemill.llm import chat, decontaminate, near_dup, packing, pii, quality, sharding, token_count, warc
 from candlemill.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -55,8 +59,13 @@ def op9_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("row")
 
 
+def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_shards": op1_shards,
         "op2_warc": op2_warc,
         "op3_personal_data": op3_personal_data,
         "op4_quality_rules": op4_quality_rules,
@@ -64,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
         "op9_benchmark_passages": op9_benchmark_passages,
+        "op10_perspectives": op10_perspectives,
     }
 
 
