@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import chat, decontaminate, near_dup, packing, pii, quality, sharding, token_count, warc
+from candlemill.llm import chat, decontaminate, near_dup, packing, pii, quality, rules, sharding, token_count, warc
 from candlemill.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), 0.7)
+
+
 def op9_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.passages(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -72,6 +76,7 @@ def queries() -> dict[str, Query]:
         "op5_near_duplicates": op5_near_duplicates,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
+        "op8_quality_scores": op8_quality_scores,
         "op9_benchmark_passages": op9_benchmark_passages,
         "op10_perspectives": op10_perspectives,
     }
