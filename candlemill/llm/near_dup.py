@@ -266,6 +266,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents of one per group, all columns; of rows that repeat a kept doc_id, one stays."""
-    gone = near_duplicates(docs, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One document of every group, with all its columns.
+
+    Rows that repeat a kept doc_id are the same document: one of them stays. Rows without id stay.
+    """
+    verdicts = staged(near_duplicates(docs, percent), "verdicts")
+    gone = verdicts.where("NOT kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    twice = (
+        verdicts.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+        .where("n > 1").select("doc_id")
+    )
+    if twice.isEmpty():
+        return left
+    single = left.join(twice, "doc_id", "left_anti").select(docs.columns)
+    return single.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))

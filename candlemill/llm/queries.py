@@ -6,19 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from candlemill.llm import chat, decontaminate, near_dup, packing, pii, quality, rules, sharding, token_count, warc
-from candlemill.llm.shared import table
+from candlemill.llm.shared import table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_file(name: str) -> str:
-    """The place of a public tokenizer's file; the operators take any path."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
 
@@ -79,8 +73,39 @@ def queries() -> dict[str, Query]:
         "op8_quality_scores": op8_quality_scores,
         "op9_benchmark_passages": op9_benchmark_passages,
         "op10_perspectives": op10_perspectives,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    sql = {"op10_perspectives": PERSPECTIVES}
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
+PERSPECTIVES = """
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+  FROM conversations),
+speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'),
+views AS (
+  SELECT s.*, p.speaker,
+         CASE WHEN role = 'system' THEN 'system' WHEN role = speaker THEN 'assistant' ELSE 'user' END
+           AS spoken_as
+  FROM said s JOIN speakers p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+heads AS (
+  SELECT *, '<|im_start|>' || spoken_as
+    || CASE WHEN spoken_as = 'user' THEN ' name=' || replace(role, '<|im_', '< |im_') ELSE '' END
+    || chr(10) AS head FROM views),
+segments AS (
+  SELECT *, head || replace(text, '<|im_', '< |im_') || '<|im_end|>' || chr(10) AS segment FROM heads),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS place,
+         CAST(sum(length(segment)) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS finish
+  FROM segments
+  WINDOW w AS (PARTITION BY conv_id, speaker ORDER BY turn NULLS LAST, role, text))
+SELECT conv_id, speaker, place, turn, role, spoken_as, segment, finish - length(segment) AS start, finish,
+       CASE WHEN spoken_as = 'assistant' THEN finish - length(segment) + length(head) END AS trained_from
+FROM placed
+"""
