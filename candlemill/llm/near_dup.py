@@ -6,8 +6,10 @@
    meets most others is the hub and is paired with the rest: pairs grow with members, not squares.
 4. Pairs whose registers make the similarity implausible go; the others are confirmed on full sets.
 5. A bucket whose members are then one component can hide no link. In every other bucket those
-   outside its largest component are compared with all of it, in blocks of bounded size, by their
-   registers; only plausible pairs leave a block and are confirmed. So no link of a bucket is lost.
+   outside its largest component are held against all of it. In buckets of up to ``FEW`` members
+   these are few pairs per member, which take the way of step 4. Larger ones are cut into blocks of
+   bounded size that carry the full sets: pairs are estimated and confirmed inside a block, and one
+   link per outsider and component leaves it. So no link of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from candlemill.llm.graph import components
 from candlemill.llm.shared import fields, map_rows, staged, text_rows
 
 WIDTH = 5
+FEW = 64
+"""Members of a bucket whose pairs are written out; larger buckets are compared in blocks."""
 BLOCK = 512
-"""Members and outsiders of a bucket that one task compares at a time."""
+"""Members and outsiders of a large bucket that one task compares at a time."""
 FLAT = 1 << 17
 """Shingles sketched at a time."""
 
@@ -114,35 +118,60 @@ def _confirmed(columns: dict, percent: int) -> Iterator[tuple]:
             yield a, b
 
 
-def _block_pairs(percent: int):
+def _block_links(percent: int):
+    least = percent / 100
+    # Fewer equal registers than this are beyond all doubt (nine standard deviations).
+    floor = S.REGISTERS * least - 9 * (S.REGISTERS * least * (1 - least)) ** 0.5
+
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         inside, outside = block[~block["outer"]], block[block["outer"]]
         found: list[tuple] = []
         if len(inside) and len(outside):
             registers = _matrix(inside["registers"].tolist())
             keys = S.band_keys(registers)
-            ids, parts = inside["rep"].to_numpy(), inside["component"].to_numpy()
+            ids, parts = inside["rep"].to_numpy(), inside["component"].to_numpy().copy()
             sizes = inside["n_shingles"].to_numpy(np.float64)
+            sets = [np.frombuffer(x, np.uint64) for x in inside["members"]]
             band = int(block["band"].iloc[0])
+            joined: dict[int, int] = {}
             for row in outside.itertuples(index=False):
-                own = np.frombuffer(row.registers, "<u2")[None, :]
-                # Pairs that met in an earlier band are compared there.
-                new = (parts != row.component) & ~(
-                    (keys[:, :band] == S.band_keys(own)[:, :band]).any(1)
-                )
-                if not new.any():
+                own = np.frombuffer(row.registers, "<u2")
+                n = float(row.n_shingles)
+                part = joined.get(row.component, row.component)
+                fits = (parts != part) & (np.minimum(sizes, n) >= least * np.maximum(sizes, n) - 1e-9)
+                fits &= (registers == own).sum(1) >= floor
+                if band and fits.any():
+                    # Pairs that met in an earlier band are compared there.
+                    fits &= ~(keys[:, :band] == S.band_keys(own)[:band]).any(1)
+                at = np.flatnonzero(fits)
+                if not len(at):
+                    continue
+                other = registers[at]
+                at = at[S.plausible(
+                    (own > other).sum(1), (own < other).sum(1), np.full(len(at), n), sizes[at], least
+                )]
+                if not len(at):
                     continue
-                other = registers[new]
-                ok = S.plausible(
-                    (own > other).sum(1), (own < other).sum(1),
-                    np.full(len(other), float(row.n_shingles)), sizes[new], percent / 100,
-                )
-                found += [(min(row.rep, i), max(row.rep, i)) for i in ids[new][ok].tolist()]
+                members = np.frombuffer(row.members, np.uint64)
+                both = common(members, [sets[i] for i in at])
+                for i in at[100 * both >= percent * (n + sizes[at] - both)].tolist():
+                    if parts[i] != part:
+                        found.append((min(row.rep, int(ids[i])), max(row.rep, int(ids[i]))))
+                        joined = {k: part if v == parts[i] else v for k, v in joined.items()}
+                        joined[int(parts[i])] = part
+                        parts[parts == parts[i]] = part
         return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
 
     return compare
 
 
+def common(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many members each of the other sets shares with one; all sets are sorted."""
+    flat = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    return np.add.reduceat((own[place] == flat).astype(np.int64), np.cumsum([0, *map(len, others[:-1])]))
+
+
 class _Job:
     """The steps over one collection; everything between them is staged."""
 
@@ -189,13 +218,14 @@ class _Job:
             self.percent / 100, most_chars=4 << 20,
         )
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
+    def full_sets(self, buckets: DataFrame) -> DataFrame:
+        """The full sets of all that stand in a bucket, by the one pass that moves texts."""
+        wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+        sets = map_rows(self.texts.join(wanted, "doc_id", "left_semi"), _sets, SETS, rows=256)
+        return staged(sets.withColumnRenamed("doc_id", "rep"), "sets")
+
+    def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs whose full sets reach the similarity, staged."""
-        pairs = staged(pairs, "plausible")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = staged(
-            map_rows(self.texts.join(wanted, "doc_id", "left_semi"), _sets, SETS, rows=256), "sets"
-        )
         ready = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         return staged(
             map_rows(ready, _confirmed, PLAUSIBLE, self.percent, most_chars=16 << 20).distinct(), "links"
@@ -210,8 +240,8 @@ class _Job:
             F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")
         ).distinct()
 
-    def missed_pairs(self, buckets: DataFrame, labels: DataFrame) -> DataFrame:
-        """Plausible pairs between different components of a bucket."""
+    def missed_links(self, buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between different components of a bucket."""
         parted = staged(
             buckets.join(labels.toDF("rep", "found"), "rep", "left")
             .select("band", "key", "rep", F.coalesce("found", "rep").alias("component")), "parted",
@@ -221,26 +251,38 @@ class _Job:
             F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main"),
             F.count("*").alias("parts"),
         ).where("parts > 1").select(
-            "band", "key",
-            F.ceil(F.col("all") / BLOCK).cast("int").alias("wide"),
-            F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("high"),
+            "band", "key", "all", (F.col("all") - F.col("main.n")).alias("outside"),
             F.col("main.component").alias("main"),
         )
-        rows = parted.join(open_, ["band", "key"]).join(self.reps, "rep")
+        rows = staged(parted.join(open_, ["band", "key"]), "open")
+        few = rows.where(F.col("all") <= FEW)
+        inner = few.select("band", "key", F.col("rep").alias("b"), F.col("component").alias("theirs"))
+        pairs = few.where("component <> main").join(inner, ["band", "key"]).where(
+            "component <> theirs"
+        ).select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")).distinct()
+        return self.confirmed(self.estimated(pairs), sets).union(self._large(rows, sets))
+
+    def _large(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
+        rows = rows.where(F.col("all") > FEW)
+        if rows.isEmpty():
+            return rows.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+        full = rows.join(self.reps, "rep").join(sets, "rep").withColumn(
+            "wide", F.ceil(F.col("all") / BLOCK).cast("int")
+        ).withColumn("high", F.ceil(F.col("outside") / BLOCK).cast("int"))
         column = F.pmod(F.xxhash64("rep"), F.col("wide")).cast("int")
         line = F.pmod(F.xxhash64("rep"), F.col("high")).cast("int")
-        kept = ("band", "key", "rep", "component", "n_shingles", "registers")
-        inside = rows.select(
+        kept = ("band", "key", "rep", "component", "n_shingles", "registers", "members")
+        inside = full.select(
             *kept, F.lit(False).alias("outer"), column.alias("x"),
             F.explode(F.sequence(F.lit(0), F.col("high") - 1)).alias("y"),
         )
-        outside = rows.where("component <> main").select(
+        outside = full.where("component <> main").select(
             *kept, F.lit(True).alias("outer"),
             F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("x"), line.alias("y"),
         )
-        return (
+        return staged(
             inside.unionByName(outside).groupBy("band", "key", "x", "y")
-            .applyInPandas(_block_pairs(self.percent), PLAUSIBLE).distinct()
+            .applyInPandas(_block_links(self.percent), PLAUSIBLE), "links",
         )
 
 
@@ -254,9 +296,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     job = _Job(docs, percent)
     buckets = job.buckets()
-    links = job.confirmed(job.estimated(job.hub_pairs(buckets)))
-    labels = components(links)
-    missed = job.confirmed(job.missed_pairs(buckets, labels))
+    sets = job.full_sets(buckets)
+    links = job.confirmed(job.estimated(job.hub_pairs(buckets)), sets)
+    missed = job.missed_links(buckets, components(links), sets)
     labels = components(links.union(missed))
     return (
         job.rows.join(labels.toDF("rep", "found"), "rep", "left")
