@@ -2,7 +2,7 @@
 
 Documents that share a link value (here: equal texts) are neighbours. Every document starts in a
 shard by hash. In each round a join gives every linked document the shard where most of its
-neighbours are and room is left; as many follow as that shard's quota admits, whole groups first.
+neighbours are and room is left, if that is better than its own; as many follow as that shard's quota admits, whole groups first.
 At the end documents beyond a shard's quota, unlinked ones first, fill the places others lack, so
 sizes are exactly even. Nodes carry their shard themselves; joins and sums go by link value, with
 copies combined before the shuffle, and no edge is ever written out.
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from candlemill.llm.shared import staged, utf8_bytes
 
-ROUNDS = 4
+ROUNDS = 8
 LAW = "rows"
 GRAIN = 1 << 30
 """Hash steps that a quota is measured in."""
@@ -51,31 +51,30 @@ def shard_nodes(nodes: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> Data
     quota = [total // shards + (j < total % shards) for j in range(shards)]
     loose = begun.where("members IS NULL")
     linked = begun.where("members IS NOT NULL")
-    for _ in range(rounds):
-        moved = _round(linked, shards, quota)
+    for number in range(rounds):
+        moved = _round(linked, shards, quota, number)
         if moved is None:
             break
         linked = moved
     return _even(linked.unionByName(loose), shards, quota, total)
 
 
-def _round(linked: DataFrame, shards: int, quota: list[int]) -> DataFrame | None:
+def _round(linked: DataFrame, shards: int, quota: list[int], number: int) -> DataFrame | None:
     """One round of moves; None if nobody wants to move."""
     votes = staged(linked.groupBy("link", "shard").agg(F.count("*").alias("votes")), "votes")
     load = {r.shard: r.load for r in votes.groupBy("shard").agg(F.sum("votes").alias("load")).collect()}
     room = [max(0, quota[j] - load.get(j, 0)) for j in range(shards)]
-    # A shard that a group has filled by itself is no target; the group goes on to the next best.
+    # A full shard draws nobody: members elsewhere gather at the group's next best one, and between
+    # equals those in the full one come over.
     tie = F.pmod(F.xxhash64("link", "shard"), F.lit(1 << 30))
-    open_ = F.col("votes") < _by_shard(F.col("shard"), [max(1, q * 63 // 64) for q in quota])
-    target = (
-        votes.where(open_).groupBy("link")
-        .agg(F.max(F.struct("votes", tie.alias("tie"), "shard")).alias("best"))
-        .select("link", F.col("best.shard").alias("target"))
+    open_ = _by_shard(F.col("shard"), [int(16 * r > q) for r, q in zip(room, quota, strict=True)]) > 0
+    rated = votes.withColumn("here", F.struct("votes", open_.alias("open"), tie.alias("tie"), "shard"))
+    best = rated.where(open_).groupBy("link").agg(F.max("here").alias("best"))
+    moves = staged(
+        rated.join(best, "link").where(F.col("here") < F.col("best"))
+        .select("link", "shard", "votes", F.col("best.shard").alias("target")), "moves",
     )
-    wanting = votes.join(target, "link").where("shard <> target")
-    demand = {
-        r.target: r.n for r in wanting.groupBy("target").agg(F.sum("votes").alias("n")).collect()
-    }
+    demand = {r.target: r.n for r in moves.groupBy("target").agg(F.sum("votes").alias("n")).collect()}
     if not demand:
         return None
     admitted = [
@@ -84,12 +83,12 @@ def _round(linked: DataFrame, shards: int, quota: list[int]) -> DataFrame | None
     # Small groups follow as a whole, members of large ones one by one.
     large = F.col("members") > max(1, min(quota) // 64)
     chance = F.pmod(
-        F.when(large, F.xxhash64("link", "doc_id")).otherwise(F.xxhash64("link", F.lit("move"))),
+        F.when(large, F.xxhash64("link", "doc_id", F.lit(number))).otherwise(F.xxhash64("link", F.lit(number))),
         F.lit(GRAIN),
     )
     follows = F.col("target").isNotNull() & (chance < _by_shard(F.col("target"), admitted))
     return staged(
-        linked.join(target, "link", "left").withColumn(
+        linked.join(moves.drop("votes"), ["link", "shard"], "left").withColumn(
             "shard", F.when(follows, F.col("target")).otherwise(F.col("shard"))
         ).drop("target"), "moved",
     )

@@ -1,0 +1,102 @@
+import random
+
+from candlemill.llm import decontaminate as D
+from candlemill.llm.shared import table
+
+from .conftest import ODD
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
+def within(item, text):
+    """Least edits of the item against any stretch, by the full table."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def edited(text, edits, source):
+    letters = list(text)
+    for _ in range(edits):
+        at = source.randrange(len(letters))
+        kind = source.random()
+        if kind < 0.4:
+            letters[at] = source.choice("abcdefgh")
+        elif kind < 0.7:
+            del letters[at]
+        else:
+            letters.insert(at, source.choice("abcdefgh"))
+    return "".join(letters)
+
+
+def prose(n, source):
+    return " ".join("".join(source.choice("abcdefgh") for _ in range(source.randint(2, 7))) for _ in range(n))
+
+
+def test_edited_passages_match_brute_force(spark, documents):
+    source = random.Random(6)
+    items = [(i, prose(source.randint(6, 40), source)) for i in range(12)] + [(98, "short"), (99, None), (5, "")]
+    rows = list(ODD)
+    for k in range(60):
+        _, item = items[k % 12]
+        budget = D.edits_of(len(item))
+        text = edited(item, source.choice([0, 1, budget, budget + 1, 3 * budget + 2]), source)
+        rows.append((1000 + k, f"{prose(k % 7 * 9, source)}\n{text.upper()}; {prose(k % 5, source)}"))
+    benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, row string")
+    got = {(r.doc_id, r.item_id): r for r in D.passages(documents(rows), benchmark).collect()}
+    want = {}
+    for key, text in rows:
+        form = D.plain(text or "")
+        if key is not None and key >= 1000:
+            for item, passage in items:
+                goal = D.plain(passage or "")
+                if len(goal) >= D.Q and (n := within(goal, form)) <= D.edits_of(len(goal)):
+                    want[key, item] = n, form, goal
+    assert 20 < len(want) < 60
+    assert got.keys() == want.keys()
+    for pair, (n, form, goal) in want.items():
+        r = got[pair]
+        assert r.edits == n == distance(goal, form[r.start : r.finish])
+
+
+def test_whole_items_are_found_wherever_they_stand(spark):
+    docs, items = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "benchmark"))
+    got = {(r.doc_id, r.item_id) for r in D.passages(docs, items).collect()}
+    forms = {r.doc_id: D.plain(r.text) for r in docs.collect()}
+    want = {(d, r.item_id) for r in items.collect() for d, t in forms.items() if D.plain(r.text) in t}
+    assert want and got == want
+    kept = D.keep_clean(docs, items)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == forms.keys() - {d for d, _ in want}
+
+
+def test_rows_without_id_and_empty_tables(spark, documents, odd, none):
+    item = "a passage that is long enough to be told from chance"
+    benchmark = spark.createDataFrame([(1, item), (None, item)], "item_id long, text string")
+    docs = documents([(None, f"see: {item}!"), (None, "other"), (1, item), (1, item)])
+    got = sorted(((r.doc_id, r.item_id) for r in D.passages(docs, benchmark).collect()), key=repr)
+    assert got == [(1, 1), (1, None), (None, 1), (None, None)]
+    assert [r.text for r in D.keep_clean(docs, benchmark).collect()] == ["other"]
+    assert D.passages(none, benchmark).count() == 0
+    assert D.keep_clean(odd, benchmark.where("item_id > 1")).count() == len(ODD)
+
+
+def test_two_passages_in_one_long_text(spark, documents):
+    source = random.Random(8)
+    one, two = prose(30, source), prose(45, source)
+    text = prose(20_000, source) + one + prose(3000, source) + two
+    benchmark = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
+    got = D.passages(documents([(5, text)]), benchmark).collect()
+    assert {(r.item_id, r.edits) for r in got} == {(1, 0), (2, 0)}
