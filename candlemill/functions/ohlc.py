@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from candlemill.functions.numbers import or_null
+from candlemill.schema import CANDLE_FAULTS
 
 _VALID = """coalesce(
     open_price > 0 and high_price > 0 and low_price > 0 and close_price > 0
@@ -36,15 +37,12 @@ def invalid_reasons() -> Column:
     )
     top = F.when(c > o, c).otherwise(o)
     bottom = F.when(c < o, c).otherwise(o)
-    rules = [
-        ("non-positive price", (o <= 0) | (h <= 0) | (l <= 0) | (c <= 0)),
-        ("high < max(open, close)", h < top),
-        ("low > min(open, close)", l > bottom),
-        ("high < low", h < l),
-        ("negative volume", v < 0),
-    ]
+    broken = {
+        "price": (o <= 0) | (h <= 0) | (l <= 0) | (c <= 0), "top": h < top, "bottom": l > bottom,
+        "range": h < l, "volume": v < 0,
+    }
     texts = [
-        F.when(broken, F.concat(F.lit(f"{text} at "), F.col("open_time").cast("string")))
-        for text, broken in rules
+        F.when(broken[rule], F.concat(F.lit(f"{text} at "), F.col("open_time").cast("string")))
+        for rule, text in CANDLE_FAULTS.items()
     ]
     return F.array_compact(F.array(*texts))

@@ -22,9 +22,10 @@ MAX_MS = 253_402_300_799_999
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 _INT_TEXT = re.compile(r"\s*[+-]?\d+(_\d+)*\s*")
 
-# ISO date or date-time text; seconds and offset may be absent.
+# Date or date-time text; dashes or slashes, any fraction; seconds and offset may be absent.
 _ISO = (
-    r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+    r"^\d{4}([-/])\d{2}\1\d{2}"
+    r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 )
 _NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=Z|[+-])"
 
@@ -100,8 +101,12 @@ def from_seconds_or_millis(number: Column) -> Column:
 
 
 def from_iso_text(text: Column) -> Column:
-    """ISO date or date-time text as a timestamp; without an offset it is in session time, UTC."""
-    iso = F.when(text.rlike(_ISO), text)
+    """ISO date or date-time text as a timestamp; without an offset it is in session time, UTC.
+
+    Slashes may part the date; a fraction is cut to microseconds.
+    """
+    iso = F.when(text.rlike(_ISO), F.regexp_replace(text, r"^(\d{4})/(\d{2})/", "$1-$2-"))
+    iso = F.regexp_replace(iso, r"(\.\d{6})\d+", "$1")
     with_seconds = F.regexp_replace(iso, _NO_SECONDS, "$1:00")
     return F.coalesce(iso.try_cast("timestamp"), with_seconds.try_cast("timestamp"))
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlemill.functions.arguments import as_names, one_of, require
 from candlemill.functions.numbers import csv_number, written_number
 from candlemill.functions.times import (
     data_time,
@@ -18,10 +19,11 @@ from candlemill.functions.times import (
     to_millisecond,
 )
 from candlemill.operators.keyed import FACTOR_VERSION, latest_factors
-from candlemill.operators.klines import distinct_names
 from candlemill.schema import FACTOR, FACTOR_INGEST_SOURCE, FACTOR_WRITE_SOURCE
 
 Moment = str | int | datetime
+# Faults of a row that bar the whole write.
+BARRING = ("symbol", "factor_name", "datetime")
 WRITE_COLUMNS = ("symbol", "datetime", "factor_name", "factor_value")
 
 
@@ -85,17 +87,6 @@ def drop_stats(coerced: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame
 
 # ---------------------------------------------------------------- write-back
 
-def check_write_input(data: DataFrame, source: str) -> None:
-    """Argument checks, in the order a caller sees them."""
-    if not isinstance(data, DataFrame) or data.isEmpty():
-        raise ValueError("data must be a non-empty DataFrame")
-    if not isinstance(source, str) or not source.strip():
-        raise ValueError("source must be a non-empty string")
-    missing = sorted(set(WRITE_COLUMNS) - set(data.columns))
-    if missing:
-        raise ValueError(f"missing required columns: {', '.join(missing)}")
-
-
 def judged_write_rows(data: DataFrame) -> DataFrame:
     """Each input row with its converted fields and its ``fault``.
 
@@ -133,36 +124,41 @@ def accepted_write_rows(
 
 
 def check_write_rows(judged: DataFrame) -> int:
-    """Raise for rows that make the write fail; otherwise the number of rows to write.
+    """The number of rows to write; an error where there is no row, or one that bars the write.
 
-    One pass over the data. Rows of a frame have no order, so faulty keys are reported
-    before faulty times, and with their number in place of a row position.
+    One pass over the data. Rows of a frame have no order, so faults are told by their number.
     """
-    counts = judged.agg(
-        F.count_if(F.col("fault").isNull()).alias("accepted"),
-        *[
-            F.count_if(F.col("fault") == kind).alias(kind)
-            for kind in ("symbol", "factor_name", "datetime")
-        ],
-    ).first()
-    for kind in ("symbol", "factor_name", "datetime"):
-        if counts[kind]:
-            raise ValueError(f"invalid {kind} at {counts[kind]} row(s)")
-    return counts["accepted"]
+    seen = {row["fault"]: row["rows"] for row in judged.groupBy("fault").agg(
+        F.count(F.lit(1)).alias("rows")
+    ).collect()}
+    require(seen, "there are no rows to write")
+    barred = [f"{seen[kind]} with an unusable {kind}" for kind in BARRING if kind in seen]
+    require(not barred, f"rows that cannot be written: {', '.join(barred)}")
+    return seen.get(None, 0)
 
 
 def write_rows(
-    data: DataFrame, source: str = FACTOR_WRITE_SOURCE, update_time: datetime | None = None
+    data: DataFrame,
+    source: str = FACTOR_WRITE_SOURCE,
+    update_time: datetime | None = None,
+    materialise: Callable[[DataFrame, str], DataFrame] = lambda rows, name: rows,
 ) -> tuple[DataFrame, int]:
-    """Checked rows ready to append, and how many there are."""
-    check_write_input(data, source)
-    judged = judged_write_rows(data)
+    """Checked rows ready to append, and how many there are.
+
+    ``materialise(rows, name)`` stores the judged rows, so that what is written is what was
+    checked even if the frame doesn't repeat itself.
+    """
+    require(isinstance(source, str) and source.strip(), "rows need a named source")
+    absent = [c for c in WRITE_COLUMNS if c not in getattr(data, "columns", ())]
+    require(not absent, f"columns that are needed but absent: {', '.join(absent)}")
+    judged = materialise(judged_write_rows(data), "judged")
     accepted = check_write_rows(judged)
     return accepted_write_rows(judged, source, update_time), accepted
 
 
 def _is_blank(name: str) -> Column:
-    return F.coalesce(~F.col(name).rlike(r"\S"), F.lit(True))
+    """No character but white space, that of Unicode included."""
+    return F.coalesce(~F.col(name).rlike(r"(?U)\S"), F.lit(True))
 
 
 # -------------------------------------------------------------------- queries
@@ -176,8 +172,8 @@ def select_factors(
 ) -> DataFrame:
     """Stored rows of the symbols, names and time range (whole seconds, inclusive)."""
     rows = factors.filter(
-        F.col("symbol").isin(distinct_names(symbols, "symbols"))
-        & F.col("factor_name").isin(distinct_names(factor_names, "factor_names"))
+        F.col("symbol").isin(*as_names(symbols, "symbols"))
+        & F.col("factor_name").isin(*as_names(factor_names, "factor names"))
     )
     has_month = "month" in factors.columns
     if start is not None:
@@ -201,10 +197,11 @@ def query_factors(
     end: Moment | None = None,
     format: str = "long",
 ) -> DataFrame:
-    names = distinct_names(factor_names, "factor_names")
+    names = as_names(factor_names, "factor names")
     rows = select_factors(factors, symbols, names, start, end)
-    if _checked_format(format) == "wide":
-        return _latest_wide(rows, names).orderBy("symbol", "datetime")
+    if one_of(format.lower(), ("long", "wide"), "format") == "wide":
+        columns = [n for i, n in enumerate(names) if n not in names[:i]]
+        return _latest_wide(rows, columns).orderBy("symbol", "datetime")
     return (
         latest_factors(rows).select(*WRITE_COLUMNS).orderBy("symbol", "datetime", "factor_name")
     )
@@ -235,21 +232,14 @@ def coverage(factors: DataFrame) -> DataFrame:
     )
 
 
-def _checked_format(value: str) -> str:
-    chosen = value.lower()
-    if chosen not in ("long", "wide"):
-        raise ValueError(f"format must be 'long' or 'wide', got '{value}'")
-    return chosen
-
-
 def as_frame(spark, data) -> DataFrame:
     """A Spark frame as it is; a pandas frame converted; anything else is an error."""
     if isinstance(data, DataFrame):
         return data
     import pandas as pd
 
-    if not isinstance(data, pd.DataFrame) or data.empty:
-        raise ValueError("data must be a non-empty DataFrame")
+    require(isinstance(data, pd.DataFrame), "rows come as a Spark or pandas frame")
+    require(len(data), "there are no rows to write")
     columns = {c: _portable(data[c]) for c in data.columns}
     schema = T.StructType([T.StructField(str(c), t) for c, (_, t) in columns.items()])
     rows = list(zip(*[values for values, _ in columns.values()], strict=True))
@@ -268,6 +258,7 @@ def _portable(series) -> tuple[list, T.DataType]:
     if pd.api.types.is_float_dtype(series):
         return [None if v is pd.NA else float(v) for v in values], T.DoubleType()
     if pd.api.types.is_datetime64_any_dtype(series):
-        texts = [None if pd.isna(v) else pd.Timestamp(v).isoformat() for v in values]
-        return texts, T.StringType()
+        times = series.dt.floor("us")
+        times = times.dt.tz_localize("UTC") if times.dt.tz is None else times
+        return [None if pd.isna(v) else v.to_pydatetime() for v in times], T.TimestampType()
     return [None if v is None or v is pd.NA else str(v) for v in values], T.StringType()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from datetime import datetime
 
@@ -10,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlemill.functions.arguments import as_names, one_of, require
 from candlemill.functions.times import floor_div, kline_time_ms, month_or_edge
 from candlemill.operators.keyed import latest_klines
 from candlemill.schema import INTERVAL_MS
@@ -30,20 +30,8 @@ _RETURNED = (
 )
 
 
-def distinct_names(values: str | Iterable[str], what: str) -> list[str]:
-    """One name or several, without repeats, in the order given; none is an error."""
-    names = [values] if isinstance(values, str) else list(values or [])
-    if not names:
-        raise ValueError(f"{what} must be a non-empty string or list of strings")
-    return list(dict.fromkeys(names))
-
-
 def select_interval(klines: DataFrame, interval: str) -> DataFrame:
-    if not re.fullmatch(r"\d+[a-zA-Z]+", interval):
-        raise ValueError(f"invalid interval: {interval}")
-    if interval not in INTERVAL_MS:
-        raise ValueError(f"no klines are kept for interval: {interval}")
-    return klines.filter(F.col("interval") == interval)
+    return klines.filter(F.col("interval") == one_of(interval, INTERVAL_MS, "interval"))
 
 
 def select_klines(
@@ -58,9 +46,9 @@ def select_klines(
     All filters are on key columns, so they run before old versions are resolved and
     reach the scan; the month bounds prune partitions.
     """
-    names = distinct_names(symbols, "symbols")
     symbol = F.col("symbol")
-    rows = select_interval(klines, interval).filter(symbol.isNotNull() & symbol.isin(names))
+    wanted = symbol.isNotNull() & symbol.isin(*as_names(symbols, "symbols"))
+    rows = select_interval(klines, interval).filter(wanted)
     has_month = "month" in klines.columns
     if start is not None:
         low = kline_time_ms(start)
@@ -87,9 +75,10 @@ def query_klines(
     end: Moment | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    names = distinct_names(symbols, "symbols")
+    names = as_names(symbols, "symbols")
     rows = returned_columns(select_klines(klines, names, interval, start, end))
-    ordered = rows.orderBy("open_time") if len(names) == 1 else rows.orderBy("symbol", "open_time")
+    several = len(set(names)) > 1
+    ordered = rows.orderBy("symbol", "open_time") if several else rows.orderBy("open_time")
     return ordered if limit is None else ordered.limit(limit)
 
 
@@ -183,5 +172,4 @@ def _behind(symbol: str, open_time: int) -> Column:
 
 
 def _check_batch_size(size: int) -> None:
-    if size <= 0:
-        raise ValueError("batch_size must be positive")
+    require(size > 0, f"a batch of {size} rows holds nothing")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
@@ -10,27 +9,20 @@ from pyspark.sql import functions as F
 
 from candlemill.functions.times import to_millisecond
 from candlemill.operators.factors import coerce_factors, drop_stats, factor_rows
+from candlemill.plans.report import LandingReport
 from candlemill.session import Staging, use_utc
 from candlemill.sinks.tables import write_factors
 from candlemill.sources.factor_files import (
     factor_cells,
     factor_files,
     factor_lines,
+    read_truths,
     rejected_factor_files,
 )
 
 ROWS_PER_FILE = 5_000_000
 
 
-@dataclass(frozen=True)
-class FactorStats:
-    files_total: int = 0
-    files_ok: int = 0
-    rows_written: int = 0
-    errors: int = 0
-    dropped_non_numeric: int = 0
-
-
 def ingest_factors(
     spark: SparkSession,
     folder: str,
@@ -38,7 +30,7 @@ def ingest_factors(
     symbols: list[str] | None = None,
     dry_run: bool = False,
     rows_per_file: int = ROWS_PER_FILE,
-) -> FactorStats:
+) -> LandingReport:
     """Ingest all CSVs below ``csv/``; a file that cannot be read is counted and left out.
 
     All rows of a run carry the same update time.
@@ -48,7 +40,7 @@ def ingest_factors(
     try:
         lines = factor_lines(spark, folder, symbols)
         rejected = staging(rejected_factor_files(lines), "rejected")
-        coerced = staging(coerce_factors(factor_cells(lines, rejected)), "cells")
+        coerced = staging(coerce_factors(read_truths(factor_cells(lines, rejected))), "cells")
         counts = drop_stats(coerced, by=()).first()
         if not dry_run and counts["rows_kept"]:
             stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
@@ -58,12 +50,11 @@ def ingest_factors(
         # A file without any line has no header either.
         empty = total - lines.select("src_path").distinct().count()
         errors = rejected.count() + empty
-        return FactorStats(
-            files_total=total,
-            files_ok=total - errors,
-            rows_written=0 if dry_run else counts["rows_kept"],
-            errors=errors,
-            dropped_non_numeric=counts["dropped_non_numeric"],
+        return LandingReport(
+            read=total - errors,
+            refused=errors,
+            stored=0 if dry_run else counts["rows_kept"],
+            left_out=counts["dropped_non_numeric"],
         )
     finally:
         staging.drop()

@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.operators.snapshots import is_json, snapshot_rows
+from candlemill.plans.report import LandingReport
 from candlemill.session import use_utc
 from candlemill.sinks.tables import write_snapshots
 from candlemill.sources.snapshot_files import landed_snapshots
 
 
-@dataclass(frozen=True)
-class SnapshotStats:
-    files_total: int = 0
-    files_ok: int = 0
-    rows_written: int = 0
-    errors: int = 0
-
-
 def ingest_snapshots(
     spark: SparkSession,
     folder: str,
@@ -29,7 +21,7 @@ def ingest_snapshots(
     markets: list[str] | None = None,
     pulled_at: datetime | None = None,
     dry_run: bool = False,
-) -> SnapshotStats:
+) -> LandingReport:
     """Append all landed documents, or none if one of them is not JSON."""
     use_utc(spark)
     landed = landed_snapshots(spark, folder, markets, pulled_at)
@@ -41,8 +33,4 @@ def ingest_snapshots(
         raise ValueError(f"{counts['broken']} snapshot document(s) are not valid JSON")
     if not dry_run and counts["files"]:
         write_snapshots(snapshot_rows(landed), table)
-    return SnapshotStats(
-        files_total=counts["files"],
-        files_ok=counts["files"],
-        rows_written=0 if dry_run else counts["files"],
-    )
+    return LandingReport(read=counts["files"], stored=0 if dry_run else counts["files"])

@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from candlemill.operators import factors, klines, snapshots
-from candlemill.plans.factor_ingest import FactorStats, ingest_factors
+from candlemill.plans.factor_ingest import ingest_factors
 from candlemill.plans.ingest import IngestStats, ingest_directory, ingest_pending
-from candlemill.plans.snapshot_ingest import SnapshotStats, ingest_snapshots
+from candlemill.plans.report import LandingReport
+from candlemill.plans.snapshot_ingest import ingest_snapshots
 from candlemill.schema import FACTOR_WRITE_SOURCE
-from candlemill.session import use_utc
+from candlemill.session import Staging, use_utc
 from candlemill.sinks.tables import write_factors
 from candlemill.sources.tables import factor_table, kline_table, snapshot_table
 from candlemill.streaming.landing import stream_archives
@@ -94,10 +95,15 @@ class MarketStore:
 
     def write_factors(self, data, source: str = FACTOR_WRITE_SOURCE) -> int:
         """Append checked factor rows; all of them are checked before any is written."""
-        rows, accepted = factors.write_rows(factors.as_frame(self.spark, data), source)
-        if accepted:
-            write_factors(rows, self.factors_path)
-        return accepted
+        staging = Staging(self.spark, "factor-write")
+        try:
+            frame = factors.as_frame(self.spark, data)
+            rows, accepted = factors.write_rows(frame, source, materialise=staging)
+            if accepted:
+                write_factors(rows, self.factors_path)
+            return accepted
+        finally:
+            staging.drop()
 
     def ingest_klines(self, source: str, **options) -> IngestStats:
         return ingest_directory(self.spark, source, self.klines_path, **options)
@@ -105,10 +111,10 @@ class MarketStore:
     def ingest_pending(self, data: str) -> tuple[list[str], IngestStats]:
         return ingest_pending(self.spark, data, self.ingested_path, self.klines_path)
 
-    def ingest_factors(self, folder: str, **options) -> FactorStats:
+    def ingest_factors(self, folder: str, **options) -> LandingReport:
         return ingest_factors(self.spark, folder, self.factors_path, **options)
 
-    def ingest_snapshots(self, folder: str, **options) -> SnapshotStats:
+    def ingest_snapshots(self, folder: str, **options) -> LandingReport:
         return ingest_snapshots(self.spark, folder, self.snapshots_path, **options)
 
     def stream_ingest(self, source: str, checkpoint: str, **options):

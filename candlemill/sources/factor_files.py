@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from candlemill.functions.names import stem
 from candlemill.operators.factors import factor_time
+from candlemill.schema import MISSING_TEXT
 from candlemill.sources.paths import require_folder
 
 TIME = "time"
@@ -60,7 +61,8 @@ def headers(lines: DataFrame) -> DataFrame:
         .groupBy("src_path")
         .agg(F.min("line_no").alias("header_no"), F.min_by("line", "line_no").alias("_header"))
         .withColumn("_names", _cells(F.col("_header")))
-        .select("src_path", "header_no", F.transform("_names", _column_name).alias("names"))
+        .withColumn("_names", F.transform("_names", _column_name))
+        .select("src_path", "header_no", F.transform("_names", _numbered).alias("names"))
     )
 
 
@@ -112,6 +114,30 @@ def _column_name(cell: Column, place: Column) -> Column:
     return F.when(cell == "", F.concat(F.lit("Unnamed: "), place.cast("string"))).otherwise(cell)
 
 
+def _numbered(name: Column, place: Column) -> Column:
+    """A name that stood before gets the number of its repeat: A, A.1, A.2."""
+    before = F.filter(F.slice("_names", F.lit(1), place), lambda other: other == name)
+    return F.when(F.size(before) > 0, F.concat(name, F.lit("."), F.size(before).cast("string"))).otherwise(name)
+
+
+def read_truths(cells: DataFrame) -> DataFrame:
+    """Cells of columns that say only True and False, as 1 and 0; blank cells don't count."""
+    said = F.lower(F.trim("raw_value"))
+    truth = said.isin("true", "false")
+    columns = (
+        cells.groupBy("src_path", "factor_name")
+        .agg(
+            F.bool_and(truth | F.col("raw_value").isin(*MISSING_TEXT) | said.isNull()).alias("_only"),
+            F.bool_or(F.coalesce(truth, F.lit(False))).alias("_any"),
+        )
+        .where("_only AND _any").select("src_path", "factor_name", F.lit(True).alias("_truths"))
+    )
+    number = F.when(said == "true", "1").when(said == "false", "0")
+    return cells.join(columns, ["src_path", "factor_name"], "left").withColumn(
+        "raw_value", F.when(F.col("_truths"), number).otherwise(F.col("raw_value"))
+    ).select(cells.columns)
+
+
 def _cells(line: Column) -> Column:
     parts = F.when(line.contains('"'), F.split(line, _COMMA)).otherwise(F.split(line, ","))
     return F.when(

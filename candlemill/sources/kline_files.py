@@ -9,10 +9,11 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from functools import reduce
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.functions.numbers import NUMBER
@@ -113,8 +114,6 @@ def _numbered_chunks(content: bytes) -> Iterator[tuple[int, list[str]]]:
 
 _MISSING = "|".join(re.escape(text) for text in MISSING_TEXT)
 _NUMBER_OR_MISSING = f"(?:{NUMBER}|{_MISSING})"
-# Numbers that fit a long; a fraction is cut off later.
-_LONG = r"\s*+[+-]?+(?:\d(?:\.\d*+)?+[eE]\+?+(?:1[0-7]|\d)|\d{1,18}+(?:\.\d*+)?+)\s*+"
 
 
 def _line_pattern() -> str:
@@ -128,7 +127,7 @@ def _line_pattern() -> str:
         if name == "ignore":
             cell = "[^,]*"
         else:
-            cell = _LONG if name in LONG_FIELDS else _NUMBER_OR_MISSING
+            cell = NUMBER if name in LONG_FIELDS else _NUMBER_OR_MISSING
         if place <= needed:
             pattern += cell if place == 0 else f",{cell}"
         else:
@@ -145,12 +144,12 @@ def typed_lines(lines: DataFrame) -> DataFrame:
     """Twelve fields by position, typed, with ``bad`` for a line that spoils its file.
 
     A leading header line is left out. Empty or NA-like cells are missing: NaN in the
-    double columns, bad in the long ones. One pattern judges the line as a whole, so the
-    cells are cast without further checks. Other columns pass through.
+    double columns, bad in the long ones, and so is a number that fits no long; a fraction is
+    cut off. One pattern judges the line as a whole. Other columns pass through.
     """
     line = F.regexp_replace("line", '"', "")
     readable = F.col("error").isNull() & F.coalesce(F.col("_line").rlike(KLINE_LINE), F.lit(False))
-    values = []
+    values, unfit = [], []
     for field in KLINE.fields:
         if field.name not in CSV_FIELDS:
             continue
@@ -158,6 +157,7 @@ def typed_lines(lines: DataFrame) -> DataFrame:
         number = text.try_cast("double")
         if field.name in LONG_FIELDS:
             value = F.coalesce(text.try_cast("long"), number.try_cast("long"))
+            unfit.append(value.isNull())
         else:
             value = F.coalesce(number, F.lit(float("nan")))
         values.append(value.alias(field.name))
@@ -167,7 +167,7 @@ def typed_lines(lines: DataFrame) -> DataFrame:
         lines.filter(~F.coalesce(header, F.lit(False)))
         .select(*kept, line.alias("_line"))
         .select(*kept, F.split("_line", ",").alias("_cells"), (~readable).alias("bad"))
-        .select(*kept, *values, "bad")
+        .select(*kept, *values, reduce(Column.__or__, unfit, F.col("bad")).alias("bad"))
     )
 
 
@@ -204,16 +204,16 @@ def read_archive(
     ``interval`` overrides the one in the name.
     """
     if not exists(spark, path):
-        raise FileNotFoundError(f"Zip file not found: {path}")
+        raise FileNotFoundError(f"there is no archive {path}")
     archive = described_files(
         spark.read.format("binaryFile").load(path).select(F.col("path").alias("src_path"), "content")
     ).withColumn("symbol", F.lit(symbol))
     if interval is not None:
         archive = archive.withColumn("interval", F.lit(interval))
     elif archive.filter(F.col("interval").isNotNull()).select("src_path").isEmpty():
-        raise ValueError(f"Cannot extract valid interval from filename: {path}")
+        raise ValueError(f"the name {path} holds no known interval, and none is given")
     typed = typed_lines(unzip_lines(archive))
     problem = rejected_files(typed).first()
     if problem is not None:
-        raise ValueError(f"Invalid zip file: {path} ({problem['reason']})")
+        raise ValueError(f"{path} cannot be used: {problem['reason']}")
     return good_rows(typed)

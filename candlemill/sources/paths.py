@@ -21,10 +21,10 @@ def require_folder(spark: SparkSession, folder: str) -> str:
     """The folder's full URI without a trailing slash; an error if it is none."""
     fs, path = _file_system(spark, folder)
     if not fs.exists(path):
-        raise FileNotFoundError(f"Directory not found: {folder}")
+        raise FileNotFoundError(f"there is no folder {folder}")
     status = fs.getFileStatus(path)
     if not status.isDirectory():
-        raise ValueError(f"Path is not a directory: {folder}")
+        raise ValueError(f"{folder} is a file where a folder is needed")
     return status.getPath().toUri().toString().rstrip("/")
 
 

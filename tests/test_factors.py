@@ -54,18 +54,18 @@ def test_ingest_isolates_bad_files(spark, tree, tmp_path):
     )
     path = str(tmp_path / "factors")
     dry = ingest_factors(spark, folder, path, dry_run=True)
-    assert (dry.files_total, dry.rows_written, dry.errors) == (7, 0, 3)
+    assert (dry.read, dry.stored, dry.refused) == (4, 0, 3)
     assert factor_table(spark, path).count() == 0
     done = ingest_factors(spark, folder, path)
     assert done == type(done)(
-        files_total=7, files_ok=4, rows_written=7, errors=3, dropped_non_numeric=7
+        read=4, refused=3, stored=7, left_out=7
     )
     stored = factor_table(spark, path)
     assert stored.select("update_time").distinct().count() == 1
     eth = {r["factor_name"]: r["factor_value"] for r in stored.filter("symbol = 'eth'").collect()}
     assert eth == {"A": float("inf"), "B, C": 2.0}
     one = ingest_factors(spark, folder, str(tmp_path / "one"), symbols=["BTC", "ETH"])
-    assert one.files_total == 2 and one.rows_written == 6
+    assert one.read + one.refused == 2 and one.stored == 6
 
 
 def test_unpivot_checks_its_columns(spark):
@@ -103,15 +103,15 @@ def test_write_back_errors_write_nothing(spark, tmp_path):
         return spark.createDataFrame([good, *rows], "symbol string, datetime string, factor_name string, factor_value string")
 
     for data, source, text in [
-        ([1], "sdk", "non-empty DataFrame"),
-        (frame().filter("false"), "sdk", "non-empty DataFrame"),
-        (frame(), " ", "source must be"),
-        (frame().drop("factor_value", "datetime"), "sdk", "missing required columns: datetime, factor_value"),
-        (frame((" ", "2024-01-01", "p", "1")), "sdk", "invalid symbol"),
-        (frame((None, "2024-01-01", "p", "abc")), "sdk", "invalid symbol"),
-        (frame(("B", "2024-01-01", "", "1")), "sdk", "invalid factor_name"),
-        (frame(("B", "soon", "p", "1")), "sdk", "invalid datetime"),
-        (frame(("B", None, "p", "1")), "sdk", "invalid datetime"),
+        ([1], "sdk", "Spark or pandas frame"),
+        (frame().filter("false"), "sdk", "no rows to write"),
+        (frame(), " ", "named source"),
+        (frame().drop("factor_value", "datetime"), "sdk", "absent: datetime, factor_value"),
+        (frame((" ", "2024-01-01", "p", "1")), "sdk", "unusable symbol"),
+        (frame((None, "2024-01-01", "p", "abc")), "sdk", "unusable symbol"),
+        (frame(("B", "2024-01-01", "", "1")), "sdk", "unusable factor_name"),
+        (frame(("B", "soon", "p", "1")), "sdk", "unusable datetime"),
+        (frame(("B", None, "p", "1")), "sdk", "unusable datetime"),
     ]:
         with pytest.raises(ValueError, match=text):
             store.write_factors(data, source)
@@ -193,7 +193,7 @@ def test_wide_query_has_the_requested_columns(versions):
 
 def test_query_argument_errors(versions):
     for symbols, names, form, text in [
-        ([], "p", "long", "symbols must"), ("B", [], "long", "factor_names must"), ("B", "p", "tall", "format must"),
+        ([], "p", "long", "no symbols"), ("B", [], "long", "no factor names"), ("B", "p", "tall", "format 'tall'"),
     ]:
         with pytest.raises(ValueError, match=text):
             factors.query_factors(versions, symbols, names, format=form)
@@ -216,3 +216,51 @@ def test_month_is_pruned(spark, versions, tmp_path):
     compact_factors(spark, str(tmp_path / "f"))
     assert factor_table(spark, str(tmp_path / "f")).count() == 8
     assert "month" in rows._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_times_with_any_fraction_and_slashes(spark):
+    from candlemill.functions.times import from_iso_text
+
+    texts = {
+        "2024-01-01T00:00:00.000000000Z": "2024-01-01 00:00:00", "2024/01/03": "2024-01-03 00:00:00",
+        "2024-01-01 00:00:00.1234567": "2024-01-01 00:00:00.123456", "2024/01-03": None, "2024-1-3": None,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["m"] for r in frame.select("t", from_iso_text(F.col("t")).cast("string").alias("m")).collect()}
+    assert got == texts
+
+
+def test_truths_and_repeated_headers_of_a_file(spark, tree, tmp_path):
+    folder = tree(
+        a="time,A,A,B,C,A\n2024-01-01T00:00:00.000000000Z,1,2,True,True,3\n2024/01/02,4,5,,x,6\n"
+          "2024-01-03,7,8,False,False,9\n"
+    )
+    path = str(tmp_path / "f")
+    ingest_factors(spark, folder, path)
+    got = {(r["datetime"].day, r["factor_name"]): r["factor_value"] for r in factor_table(spark, path).collect()}
+    assert got == {
+        (1, "A"): 1, (1, "A.1"): 2, (1, "A.2"): 3, (1, "B"): 1, (2, "A"): 4, (2, "A.1"): 5, (2, "A.2"): 6,
+        (3, "A"): 7, (3, "A.1"): 8, (3, "A.2"): 9, (3, "B"): 0,
+    }
+
+
+def test_write_back_of_nanosecond_times_and_unicode_blanks(spark, tmp_path):
+    import pandas as pd
+
+    store = MarketStore(spark, str(tmp_path))
+    times = pd.to_datetime(["2024-01-01T00:00:00.123456789", "2024-01-02"], format="ISO8601")
+    frame = pd.DataFrame({"symbol": "B", "datetime": times, "factor_name": "p", "factor_value": [1.0, 2.0]})
+    assert store.write_factors(frame) == 2
+    assert factor_table(spark, store.factors_path).agg(F.min("datetime")).first()[0] == datetime(2024, 1, 1, 0, 0, 0, 123000)
+    blank = spark.createDataFrame([(" ", "2024-01-01", "p", "1")], list(WRITE))
+    with pytest.raises(ValueError, match="unusable symbol"):
+        store.write_factors(blank)
+
+
+def test_what_is_written_is_what_was_checked(spark, tmp_path):
+    store = MarketStore(spark, str(tmp_path))
+    frame = spark.range(400).select(
+        F.lit("B").alias("symbol"), F.col("id").alias("datetime"), F.lit("p").alias("factor_name"),
+        F.when(F.rand() < 0.5, F.lit("1")).otherwise("none").alias("factor_value"),
+    )
+    assert store.write_factors(frame) == factor_table(spark, store.factors_path).count()

@@ -90,7 +90,7 @@ def test_corrupt_archive_is_skipped_in_a_scan_and_an_error_alone(spark, tmp_path
     broken = tmp_path / "BTCUSDT-1m-2024-01-01.zip"
     broken.write_text("not a zip")
     assert {r["symbol"] for r in read(spark, tmp_path).collect()} == {"ETHUSDT"}
-    with pytest.raises(ValueError, match="Invalid zip file"):
+    with pytest.raises(ValueError, match="cannot be used"):
         files.read_archive(spark, str(broken), "BTCUSDT")
     with pytest.raises(FileNotFoundError):
         files.read_archive(spark, str(tmp_path / "none-1m-2024-01-01.zip"), "BTCUSDT")
@@ -136,7 +136,7 @@ def test_filters_and_unknown_intervals(spark, tmp_path, zipped):
 def test_folder_errors(spark, tmp_path, zipped):
     with pytest.raises(FileNotFoundError):
         read(spark, tmp_path / "none")
-    with pytest.raises(ValueError, match="not a directory"):
+    with pytest.raises(ValueError, match="a folder is needed"):
         read(spark, zipped(tmp_path, "BTCUSDT-1m-2024-01-01", [LINE_1]))
 
 
@@ -191,3 +191,11 @@ def test_patterns(pattern, path, matches):
     assert bool(expected.search(f"file:/data/{path}")) is matches
     assert bool(expected.search(f"/data/{path}")) is matches
     assert not expected.search(f"/elsewhere/{path}")
+
+
+def test_long_cells_of_any_length_are_judged_by_the_cast(spark, tmp_path, zipped):
+    wide = LINE_1.replace(",1500,", ",1234567890123456789,")
+    zipped(tmp_path, "BTCUSDT-1m-2024-01-01", [wide, LINE_2])
+    zipped(tmp_path, "ETHUSDT-1m-2024-01-01", [LINE_1.replace(",1500,", ",12345678901234567890,")])
+    rows = read(spark, tmp_path).collect()
+    assert sorted(r["trades_count"] for r in rows) == [1800, 1234567890123456789]

@@ -56,15 +56,15 @@ def test_limit_is_a_top_k_plan(table):
 
 def test_argument_errors(table):
     for symbols in ([], None):
-        with pytest.raises(ValueError, match="symbols must be"):
+        with pytest.raises(ValueError, match="no symbols"):
             klines.query_klines(table, symbols)
     for interval in ("1h;DROP TABLE", "h1", "2m"):
         with pytest.raises(ValueError, match="interval"):
             klines.query_klines(table, "BTCUSDT", interval)
-    with pytest.raises(ValueError, match="batch_size must be positive"):
+    with pytest.raises(ValueError, match="holds nothing"):
         klines.query_batches(table, "BTCUSDT", batch_size=0)
     stream = klines.stream_batches(table, "BTCUSDT", batch_size=0)
-    with pytest.raises(ValueError, match="batch_size must be positive"):
+    with pytest.raises(ValueError, match="holds nothing"):
         next(stream)
 
 
@@ -155,9 +155,7 @@ def test_period_bounds():
 
 
 def test_interval_table():
-    from candlemill.schema import INTERVALS, interval_to_ms, is_valid_interval
+    from candlemill.schema import INTERVAL_MS, INTERVALS
 
-    assert len(INTERVALS) == 12 and interval_to_ms("12h") == 43_200_000
-    assert not is_valid_interval(None) and not is_valid_interval("2m")
-    with pytest.raises(ValueError):
-        interval_to_ms("2m")
+    assert len(INTERVALS) == 12 and INTERVAL_MS["12h"] == 43_200_000
+    assert None not in INTERVAL_MS and "2m" not in INTERVAL_MS
