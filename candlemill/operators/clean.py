@@ -2,15 +2,15 @@
 
 Rows carry ``src_path`` (the file), ``line_no`` (position in it) and the kline columns.
 
-A file is one symbol, interval and period, at most some ten thousand rows, so whole files
-fit a task: one shuffle by file and one sort serve the complete chain. That is checked
-first. Rows of files above ``ROWS_PER_FILE`` take the other way, which gives the same
-result but never brings a file together:
+One way serves files of every size, and no step needs a whole file in a task:
 
 * duplicates collapse in the map tasks (see ``keyed``);
 * a file's extent is an aggregate of one row per file;
 * the neighbour of a row is looked up inside a stretch of ``STRETCH`` grid slots, and
   across stretches through a table that holds one row per stretch.
+
+A file whose rows span far more slots than the period in its name (times in another unit, say) would
+fill a huge grid; ``oversized_grids`` tells such files, and a run rejects them.
 """
 
 from __future__ import annotations
@@ -18,18 +18,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlemill.functions.names import date_of, is_monthly
 from candlemill.functions.ohlc import invalid_reasons, is_valid_candle
-from candlemill.functions.times import floor_div
+from candlemill.functions.times import DAY_MS, floor_div
 from candlemill.operators.keyed import first_per_key
 from candlemill.schema import VOLUMES, interval_ms
 
-# Rows of one file that a task may hold; the window operator spills beyond memory.
-ROWS_PER_FILE = 1_000_000
-# Above this many names of large files a join takes the place of a list.
-LISTED_FILES = 1_000
 # Grid slots per stretch: bounds the rows one window group can hold.
 STRETCH = 1024
 REPORTED_PER_FILE = 10
+# A grid may be so many times as long as the period in the file's name.
+GRID_SLACK = 2
 
 # Each column of the candle ``_slot`` steps behind a row; in slot 0 that is the row itself.
 _FILLED = {
@@ -71,43 +70,37 @@ def fill_gaps(df: DataFrame, step_ms: int | None = None) -> DataFrame:
 
 def clean(df: DataFrame, step_ms: int | None = None) -> DataFrame:
     """First occurrence, validity, gap filling; the order of the three steps matters."""
-    ordinary, large = by_file_size(df)
-    cleaned = _clean_files(ordinary, step_ms)
-    if large is None:
-        return cleaned
-    return cleaned.unionByName(fill_gaps(keep_valid(keep_first(large)), step_ms))
+    return fill_gaps(keep_valid(keep_first(df)), step_ms)
 
 
-def by_file_size(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary files, and rows of large ones if there are any.
+def oversized_grids(df: DataFrame) -> DataFrame:
+    """Files whose valid rows span more than ``GRID_SLACK`` times the slots of their named period.
 
-    Counts the rows of each file, a job over one narrow column.
+    The period is the name's day, or its month; a name without a date counts as a month.
     """
-    sizes = df.groupBy("src_path").agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.filter(F.col("_rows") > ROWS_PER_FILE).select("src_path")
-    names = [row["src_path"] for row in large.limit(LISTED_FILES + 1).collect()]
-    if not names:
-        return df, None
-    if len(names) <= LISTED_FILES:
-        is_large = F.col("src_path").isin(names)
-        return df.filter(~is_large), df.filter(is_large)
-    return df.join(large, "src_path", "left_anti"), df.join(large, "src_path", "left_semi")
+    extent = keep_valid(df).groupBy("src_path", "interval").agg(
+        F.min("open_time").alias("_start"), F.max("open_time").alias("_end")
+    )
+    path = F.col("src_path")
+    daily = date_of(path).isNotNull() & ~is_monthly(path)
+    period = F.when(F.coalesce(daily, F.lit(False)), DAY_MS).otherwise(31 * DAY_MS)
+    wide = extent.withColumn("_step", interval_ms(F.col("interval"))).where(
+        _slots() > GRID_SLACK * F.ceil(period / F.col("_step"))
+    )
+    reason = F.concat(F.lit("times span "), _slots().cast("string"), F.lit(" slots, beyond the named period"))
+    return wide.select("src_path", reason.alias("reason"))
 
 
 def cleaning_stats(df: DataFrame, step_ms: int | None = None) -> DataFrame:
     """Per file: rows in, duplicates, invalid rows, net gap count and rows out."""
-    ordinary, large = by_file_size(
-        df.select("src_path", "symbol", "interval", "line_no", "open_time", *_CHECKED)
-    )
-    marked = _marked(ordinary).withColumn("_copies", F.lit(1))
-    if large is not None:
-        marked = marked.unionByName(_collapsed(large))
+    narrow = df.select("src_path", "symbol", "interval", "line_no", "open_time", *_CHECKED)
+    marked = _collapsed(narrow)
     file = ["src_path", "symbol", "interval"]
-    valid_time = F.when(F.col("_valid") & F.col("_first"), F.col("open_time"))
+    valid_time = F.when(F.col("_valid"), F.col("open_time"))
     per_file = marked.groupBy(*file).agg(
         F.sum("_copies").alias("rows_in"),
-        (F.sum("_copies") - F.count_if("_first")).alias("duplicates_removed"),
-        F.count_if(F.col("_first") & ~F.col("_valid")).alias("invalid_removed"),
+        (F.sum("_copies") - F.count(F.lit(1))).alias("duplicates_removed"),
+        F.count_if(~F.col("_valid")).alias("invalid_removed"),
         F.count(valid_time).alias("_n"),
         F.min(valid_time).alias("_start"),
         F.max(valid_time).alias("_end"),
@@ -132,19 +125,8 @@ def invalid_report(df: DataFrame, per_file: int = REPORTED_PER_FILE) -> DataFram
     )
 
 
-def _marked(df: DataFrame) -> DataFrame:
-    """Rows in file and time order, with ``_first`` occurrence and ``_valid``."""
-    order = Window.partitionBy("src_path").orderBy("open_time", "line_no")
-    before = F.lag("open_time").over(order)
-    return df.withColumn("_before", before).select(
-        *df.columns,
-        F.coalesce(F.col("_before") != F.col("open_time"), F.lit(True)).alias("_first"),
-        is_valid_candle().alias("_valid"),
-    )
-
-
 def _collapsed(df: DataFrame) -> DataFrame:
-    """First occurrences with the number of their copies, in the columns of ``_marked``."""
+    """First occurrences, whether they are valid, and the number of their copies."""
     rest = ["symbol", "interval", "line_no", *_CHECKED]
     return (
         df.groupBy("src_path", "open_time")
@@ -153,27 +135,8 @@ def _collapsed(df: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("_copies"),
         )
         .select("src_path", "open_time", "_copies", "_row.*")
-        .withColumns({"_first": F.lit(True), "_valid": is_valid_candle()})
-    )
-
-
-def _clean_files(df: DataFrame, step_ms: int | None) -> DataFrame:
-    """The chain over whole files: windows that share one shuffle and one sort."""
-    file = Window.partitionBy("src_path")
-    kept = _marked(df).filter(F.col("_first") & F.col("_valid"))
-    sized = kept.withColumn("_step", _step(step_ms)).select(
-        "*",
-        F.min("open_time").over(file).alias("_start"),
-        F.max("open_time").over(file).alias("_end"),
-        F.count(F.lit(1)).over(file).alias("_n"),
-    )
-    on_grid = F.pmod(F.col("open_time") - F.col("_start"), F.col("_step")) == 0
-    rows = sized.withColumn("_whole", _is_whole()).filter(
-        F.col("_whole") | on_grid
+        .withColumn("_valid", is_valid_candle())
     )
-    following = F.lead("open_time").over(file.orderBy("open_time"))
-    past_end = F.col("_start") + _slots() * F.col("_step")
-    return _fill(rows.withColumn("_until", F.coalesce(following, past_end)), df.columns)
 
 
 def _fill(rows: DataFrame, columns: list[str]) -> DataFrame:

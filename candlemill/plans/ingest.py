@@ -7,13 +7,15 @@ live in the shared folder, so a lost executor costs a task and not the run.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.functions.times import utc_day
-from candlemill.operators.clean import clean, cleaning_stats
+from candlemill.operators.clean import clean, cleaning_stats, oversized_grids
 from candlemill.operators.existing import (
     has_data,
     marker_files,
@@ -34,8 +36,8 @@ from candlemill.sources.kline_files import (
 from candlemill.sources.markers import marker_names
 from candlemill.sources.tables import ingested_markers, kline_table
 
-# Above this many paths a condition on single paths costs more than opening the files.
-MAX_LISTED_PATHS = 20_000
+# Archives named in one condition on file metadata; a run takes as many groups as it needs.
+PATHS_AT_ONCE = 20_000
 
 
 @dataclass(frozen=True)
@@ -98,11 +100,12 @@ def _ingest(
     if not force:
         stored = _months_of(listed, kline_table(spark, table))
         skipped_already = staging(has_data(listed, stored).select("src_path"), "stored")
-        archives = _without(archives, skipped_already)
 
-    typed = staging(typed_lines(unzip_lines(archives)), "typed")
-    rejected = staging(rejected_files(typed), "rejected")
-    rows = good_rows(typed)
+    typed = _typed(archives, listed, skipped_already, staging)
+    spoiled = staging(rejected_files(typed), "spoiled")
+    read_rows = good_rows(typed, spoiled)
+    rejected = staging(spoiled.unionByName(oversized_grids(read_rows)), "rejected")
+    rows = good_rows(typed, rejected)
     stats = staging(cleaning_stats(rows), "stats")
     cleaned = staging(clean(rows), "cleaned")
 
@@ -148,16 +151,27 @@ def _months_of(listed: DataFrame, stored: DataFrame) -> DataFrame:
     )
 
 
-def _without(archives: DataFrame, skipped: DataFrame) -> DataFrame:
-    """Leave out archives, unopened where the list of paths is short enough.
+def _typed(
+    archives: DataFrame, listed: DataFrame, skipped: DataFrame | None, staging: Staging
+) -> DataFrame:
+    """Typed lines of the archives that aren't skipped; no other archive is opened.
 
-    Paths in a condition on file metadata keep Spark from opening the other files. A
-    long list is joined instead: the same files come out, some are opened in vain.
+    What is to be read is settled from metadata alone. Paths in a condition on file metadata keep
+    Spark from opening other files; they come in groups, so their number has no bound.
     """
-    paths = [row["src_path"] for row in skipped.limit(MAX_LISTED_PATHS + 1).collect()]
-    if len(paths) > MAX_LISTED_PATHS:
-        return archives.join(skipped, "src_path", "left_anti")
-    return archives.filter(~F.col("src_path").isin(paths)) if paths else archives
+    if skipped is None or skipped.isEmpty():
+        return staging(typed_lines(unzip_lines(archives)), "typed")
+    wanted = listed.join(skipped, "src_path", "left_anti").select("src_path")
+    typed = staging(typed_lines(unzip_lines(archives.filter(F.lit(False)))), "typed")
+    for paths in _groups(row["src_path"] for row in wanted.toLocalIterator()):
+        some = archives.filter(F.col("src_path").isin(paths))
+        typed = staging(typed_lines(unzip_lines(some)), "typed", "append")
+    return typed
+
+
+def _groups(paths: Iterator[str]) -> Iterator[list[str]]:
+    while group := list(islice(paths, PATHS_AT_ONCE)):
+        yield group
 
 
 def ingest_pending(

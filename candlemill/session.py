@@ -22,14 +22,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where it names none (a local session) a local folder takes its place.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="candlemill-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="candlemill-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 class Staging:
@@ -39,9 +39,9 @@ class Staging:
         self._spark = spark
         self.folder = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode(mode).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

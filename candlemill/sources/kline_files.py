@@ -171,9 +171,13 @@ def typed_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def good_rows(typed: DataFrame) -> DataFrame:
-    """Rows of files without a single bad line, in the kline layout with their origin."""
-    spoiled = typed.filter("bad").select("src_path").distinct()
+def good_rows(typed: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+    """Rows of files without a single bad line, in the kline layout with their origin.
+
+    A run that has stored its ``rejected`` files hands them in, so lines are not judged twice.
+    """
+    spoiled = typed.filter("bad") if rejected is None else rejected
+    spoiled = spoiled.select("src_path").distinct()
     return typed.join(spoiled, "src_path", "left_anti").select(*KLINE.names, "src_path", "line_no")
 
 

@@ -90,9 +90,7 @@ GRIDS = [
 ]
 
 
-@pytest.mark.parametrize("rows_per_file", [10**6, 0])
-def test_grid_cases(spark, monkeypatch, rows_per_file):
-    monkeypatch.setattr(clean, "ROWS_PER_FILE", rows_per_file)
+def test_grid_cases(spark):
     rows = kline_rows(spark, [
         dict(open_time=t, src_path=str(i)) for i, (given, _, _) in enumerate(GRIDS) for t in given
     ])
@@ -141,7 +139,6 @@ def test_files_are_cleaned_apart_each_with_its_interval(spark):
 def test_gaps_across_many_stretches(spark, monkeypatch):
     """Stretches of 4 slots: rows, empty stretches and off-grid rows around their edges."""
     monkeypatch.setattr(clean, "STRETCH", 4)
-    monkeypatch.setattr(clean, "ROWS_PER_FILE", 0)
     given = [3000, 4000, 7000, 8000, 8500, 9999, 31_000, 32_000, 47_000, -9000]
     rows = kline_rows(spark, [dict(open_time=t, close_price=50_000.0 + i) for i, t in enumerate(given)])
     result = clean.clean(rows, 1000)
@@ -160,19 +157,32 @@ def test_cleaning_clean_rows_changes_nothing(spark):
     assert numbered.exceptAll(twice).count() == 0 and twice.exceptAll(numbered).count() == 0
 
 
-@pytest.mark.parametrize("rows_per_file, reused, exchanges", [(10**6, 0, 1), (0, 2, None)])
-def test_plan_scans_and_shuffles_rows_once(spark, tmp_path, monkeypatch, rows_per_file, reused, exchanges):
-    """Ordinary files need one shuffle; for large ones every consumer reads the same one."""
-    monkeypatch.setattr(clean, "ROWS_PER_FILE", rows_per_file)
+def test_plan_scans_rows_once_and_starts_no_job(spark, tmp_path):
+    """Every consumer reads the same shuffle of the rows."""
     rows = kline_rows(spark, [dict(open_time=60_000 * t) for t in (0, 1, 5)])
     rows.write.parquet(str(tmp_path / "r"))
-    result = clean.clean(spark.read.parquet(str(tmp_path / "r")))
+    spark.sparkContext.setJobGroup("planning", "no job is to start")
+    result = clean.clean(spark.read.schema(rows.schema).parquet(str(tmp_path / "r")))
+    clean.cleaning_stats(spark.read.schema(rows.schema).parquet(str(tmp_path / "r")))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("running", "")
     result.collect()
     plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1
-    assert plan.count("ReusedExchange") >= reused
-    if exchanges:
-        assert plan.count("Exchange hashpartitioning") == exchanges and plan.count("Window [") == 3
+    assert plan.count("ReusedExchange") >= 1
+
+
+def test_grids_beyond_the_named_period_are_told(spark):
+    minute, day = 60_000, 86_400_000
+    files = {
+        "A-1m-2024-01-01.zip": [0, 1439 * minute], "B-1m-2024-01-01.zip": [0, 3000 * minute],
+        "C-1m-2024-01-01.zip": [0, 1000 * 1439 * minute], "D-1m-2024-01.zip": [0, 31 * day],
+        "E-1m-2024-01.zip": [0, 1000 * day], "F.zip": [0, 40 * day],
+    }
+    rows = kline_rows(spark, [dict(open_time=t, src_path=p) for p, ts in files.items() for t in ts])
+    found = {r["src_path"]: r["reason"] for r in clean.oversized_grids(rows).collect()}
+    assert found.keys() == {"B-1m-2024-01-01.zip", "C-1m-2024-01-01.zip", "E-1m-2024-01.zip"}
+    assert "3001 slots" in found["B-1m-2024-01-01.zip"]
 
 
 def test_time_range_is_first_and_last_line(spark):
@@ -204,12 +214,10 @@ def cleaned_by_hand(rows, step):
     return out
 
 
-@pytest.mark.parametrize("seed, rows_per_file, listed", [(3, 10**6, 10), (4, 12, 100), (5, 12, 1), (6, 0, 99)])
-def test_random_files_equal_a_row_by_row_pass(spark, monkeypatch, seed, rows_per_file, listed):
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_random_files_equal_a_row_by_row_pass(spark, monkeypatch, seed):
     """Files of every size; one of them holds a third of all rows, mostly copies."""
     monkeypatch.setattr(clean, "STRETCH", 8)
-    monkeypatch.setattr(clean, "ROWS_PER_FILE", rows_per_file)
-    monkeypatch.setattr(clean, "LISTED_FILES", listed)
     rng = random.Random(seed)
     files = {}
     for number in range(40):

@@ -74,14 +74,28 @@ def test_month_file_is_skipped_for_one_stored_day(spark, tmp_path, zipped):
     assert store.get_klines("A", "1h").count() == 24
 
 
-def test_long_skip_list_is_joined(spark, tmp_path, zipped, monkeypatch):
-    monkeypatch.setattr(ingest_plan, "MAX_LISTED_PATHS", 1)
-    for day in (1, 2, 3):
+@pytest.mark.parametrize("at_once", [1, 2, 20_000])
+def test_stored_archives_stay_unopened_however_many(spark, tmp_path, zipped, monkeypatch, at_once):
+    """Wanted archives are read in groups; one that is stored could not be opened any more."""
+    monkeypatch.setattr(ingest_plan, "PATHS_AT_ONCE", at_once)
+    for day in (1, 2, 3, 4, 5):
         zipped(tmp_path / "s", f"A-1h-2024-01-0{day}", hours(day - 1))
     store = MarketStore(spark, str(tmp_path / "store"))
     assert store.ingest_klines(str(tmp_path / "s"), pattern="**/*-0[12].zip").records_written == 48
+    (tmp_path / "s" / "A-1h-2024-01-01.zip").write_text("no archive")
     stats = store.ingest_klines(str(tmp_path / "s"))
-    assert (stats.records_written, stats.files_skipped) == (24, 2)
+    assert (stats.records_written, stats.files_skipped, stats.files_rejected) == (72, 2, 0)
+    assert store.ingest_klines(str(tmp_path / "s")).files_skipped == 5
+
+
+def test_an_archive_in_another_unit_is_rejected(spark, tmp_path, zipped):
+    zipped(tmp_path / "s", "A-1h-2024-01-01", hours(0))
+    fields = [line.split(",") for line in hours(0, 5)]
+    micro = [",".join([f"{f[0]}000", *f[1:6], f"{f[6]}000", *f[7:]]) for f in fields]
+    zipped(tmp_path / "s", "B-1h-2024-01-01", micro)
+    store = MarketStore(spark, str(tmp_path / "store"))
+    stats = store.ingest_klines(str(tmp_path / "s"))
+    assert (stats.records_written, stats.files_rejected) == (24, 1)
 
 
 def sequential(files, days):
