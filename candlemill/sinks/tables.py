@@ -20,14 +20,15 @@ from candlemill.operators.keyed import (
 )
 from candlemill.schema import FACTOR_TABLE, INTERVALS, KLINE, KLINE_TABLE, SNAPSHOT_TABLE
 from candlemill.session import Staging
+from candlemill.sources.paths import remove_files
 from candlemill.sources.tables import factor_table, kline_table, snapshot_table
 
 KLINE_PARTITIONS = ("interval", "month")
 MONTH = ("month",)
 
 
-def write_klines(rows: DataFrame, path: str) -> None:
-    """Append candles to the partitions of their interval and month."""
+def kline_table_rows(rows: DataFrame) -> DataFrame:
+    """Candles in the shape of the stored table; an unknown interval is an error."""
     unknown = F.raise_error(F.concat(F.lit("Invalid interval: "), F.col("interval")))
     checked = F.when(F.col("interval").isin(*INTERVALS), F.col("interval")).otherwise(
         unknown.cast("string")
@@ -42,18 +43,29 @@ def write_klines(rows: DataFrame, path: str) -> None:
         .withColumn("interval", checked)
         .withColumn("month", utc_month(F.col("open_time")))
     )
-    _write(table.select(*KLINE_TABLE.names), path, KLINE_PARTITIONS, ("symbol", "open_time"))
+    return table.select(*KLINE_TABLE.names)
+
+
+def factor_table_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("month", _month_of(F.col("datetime"))).select(*FACTOR_TABLE.names)
+
+
+def snapshot_table_rows(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("month", _month_of(F.col("pulled_at"))).select(*SNAPSHOT_TABLE.names)
+
+
+def write_klines(rows: DataFrame, path: str) -> None:
+    """Append candles to the partitions of their interval and month."""
+    _write(kline_table_rows(rows), path, KLINE_PARTITIONS, ("symbol", "open_time"))
 
 
 def write_factors(rows: DataFrame, path: str, max_rows_per_file: int | None = None) -> None:
-    table = rows.withColumn("month", _month_of(F.col("datetime")))
     order = ("symbol", "datetime", "factor_name")
-    _write(table.select(*FACTOR_TABLE.names), path, MONTH, order, max_rows_per_file)
+    _write(factor_table_rows(rows), path, MONTH, order, max_rows_per_file)
 
 
 def write_snapshots(rows: DataFrame, path: str) -> None:
-    table = rows.withColumn("month", _month_of(F.col("pulled_at")))
-    _write(table.select(*SNAPSHOT_TABLE.names), path, MONTH, ("market", "pulled_at"))
+    _write(snapshot_table_rows(rows), path, MONTH, ("market", "pulled_at"))
 
 
 def mark_ingested(markers: DataFrame, path: str) -> None:
@@ -86,15 +98,21 @@ def _compact(
 ) -> None:
     """Rewrite partitions with only the latest rows.
 
-    ``condition`` is on partition columns and says which partitions. The rows are staged
-    first, so no partition is replaced before its new content is safe.
+    ``condition`` is on partition columns and says which partitions. New files are added first, then
+    exactly the files that were read go. Rows appended meanwhile stay, and until the old files are
+    gone readers see rows twice, which reading the latest row resolves.
     """
     old = table if condition is None else table.filter(condition)
-    staging = Staging(table.sparkSession, "compact")
-    latest = staging(latest_per_key(old, keys, version), "latest")
-    order = [k for k in keys if k not in partitions]
-    _write(latest, path, partitions, order, mode="overwrite")
-    staging.drop()
+    spark = table.sparkSession
+    staging = Staging(spark, "compact")
+    try:
+        read = staging(old.select(F.col("_metadata.file_path").alias("file")).distinct(), "read")
+        latest = staging(latest_per_key(old, keys, version), "latest")
+        order = [k for k in keys if k not in partitions]
+        _write(latest, path, partitions, order)
+        remove_files(spark, (row["file"] for row in read.toLocalIterator()))
+    finally:
+        staging.drop()
 
 
 def _write(
@@ -103,16 +121,14 @@ def _write(
     partitions: Sequence[str],
     order: Sequence[str],
     max_rows_per_file: int | None = None,
-    mode: str = "append",
 ) -> None:
     layout = [*partitions, *order]
     writer = (
         table.repartitionByRange(*layout)
         .sortWithinPartitions(*layout)
-        .write.mode(mode)
+        .write.mode("append")
         .partitionBy(*partitions)
         .option("compression", "zstd")
-        .option("partitionOverwriteMode", "dynamic")
     )
     if max_rows_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)

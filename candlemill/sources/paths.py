@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -44,6 +45,13 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def remove_files(spark: SparkSession, uris: Iterable[str]) -> None:
+    """Delete single files, named as Spark's file metadata names them."""
+    for uri in uris:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
+
+
 def glob_regex(pattern: str) -> str:
     """A file pattern below a folder as a regular expression on the relative path.
 

@@ -21,6 +21,7 @@ _COLUMNS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
                 " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
                 " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "nation": "n_nationkey int",
 }
 
 
@@ -269,3 +270,73 @@ def snapshots(spark: SparkSession, folder: str) -> DataFrame:
         .withColumn("payload_hash", F.sha2("payload", 256))
         .withColumn("err_msg", F.lit(None).cast("string"))
     )
+
+
+def factor_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of one wide factor file per order status, and of files that are to be rejected.
+
+    Headers repeat a name; times have slashes, nanoseconds or nothing; one column says True and
+    False, one has quoted commas.
+    """
+    rows = table(spark, folder, "orders").selectExpr(
+        "o_orderstatus as symbol", "o_orderkey + 1 as line_no",
+        """concat_ws(',', case o_orderkey % 4
+             when 0 then date_format(o_orderdate, 'yyyy-MM-dd')
+             when 1 then date_format(o_orderdate, 'yyyy/MM/dd')
+             when 2 then concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T00:00:00.000000000Z')
+             else 'never' end,
+           cast(cast(o_totalprice as decimal(18,2)) as string), cast(o_custkey as string),
+           if(o_orderkey % 5 = 0, '"x, y"', concat('"', o_custkey, '"')),
+           element_at(array('True', 'False', ''), int(o_orderkey % 3) + 1)) as line""",
+    )
+    heads = rows.select("symbol").distinct().selectExpr(
+        "symbol", "0L as line_no", "'time,A,A,Note,Flag' as line"
+    )
+    odd = table(spark, folder, "nation").selectExpr(
+        "concat('bad', n_nationkey) as symbol", "n_nationkey % 2 as kind"
+    )
+    odd_heads = odd.selectExpr("symbol", "0L as line_no", "if(kind = 0, 'when,A', 'time,A') as line")
+    odd_rows = odd.selectExpr("symbol", "1L as line_no", "if(kind = 0, '2024-01-01,1', '2024-01-01,1,2') as line")
+    return rows.unionByName(heads).unionByName(odd_heads).unionByName(odd_rows).selectExpr(
+        "concat('csv/', symbol, '.csv') as src_path", "0L as block", "line_no", "line", "symbol"
+    )
+
+
+def zipped_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The kline lines as archives: one zip with one CSV per file."""
+    lines = csv_lines(spark, folder).groupBy("src_path", "symbol", "interval").agg(
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]
+        ), "\n").alias("text")
+    )
+    return lines.mapInPandas(_zipped, "src_path string, symbol string, interval string, content binary")
+
+
+def _zipped(frames):
+    import io
+    import zipfile
+
+    for frame in frames:
+        contents = []
+        for text in frame.pop("text"):
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("lines.csv", text)
+            contents.append(held.getvalue())
+        yield frame.assign(content=contents)
+
+
+def payload_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that are JSON and some that aren't, one per event."""
+    return table(spark, folder, "events").selectExpr(
+        "event_id",
+        """case event_id % 6 when 0 then props when 1 then '{"a":1,"a":2}' when 2 then concat('[', event_id, ']')
+           when 3 then concat('{"a":', event_id) when 4 then '' else cast(event_id as string) end as payload""",
+    )
+
+
+def spot_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshots, those of one event type as the spot market."""
+    return snapshots(spark, folder).withColumn(
+        "market", F.when(F.col("market") == "click", "spot").otherwise(F.col("market"))
+    )

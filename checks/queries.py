@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from candlemill.functions.times import utc_month
 from candlemill.operators import clean, existing, factors, keyed, klines, reports, snapshots
 from candlemill.schema import KLINE, interval_ms
-from candlemill.sources.kline_files import good_rows, rejected_files, typed_lines
+from candlemill.sinks import tables
+from candlemill.sources.factor_files import factor_cells, read_truths, rejected_factor_files
+from candlemill.sources.kline_files import good_rows, rejected_files, typed_lines, unzip_lines
 from checks import adapters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +102,24 @@ def queries() -> dict[str, Query]:
             "market", F.col("ingest_version").alias("block"),
             snapshots.payload_hash(F.col("payload")).alias("payload_hash"),
         ),
+        "factor_file_cells": _file_cells,
+        "factor_rejects": lambda s, d: rejected_factor_files(adapters.factor_lines(s, d)),
+        "archive_rows": _archive_rows,
+        "kline_table_rows": lambda s, d: tables.kline_table_rows(adapters.klines(s, d)).select(
+            "interval", "month", "symbol", "open_time", "close_time", "close_price", "trades_count", "line_no"
+        ),
+        "factor_table_rows": lambda s, d: _plain(
+            tables.factor_table_rows(adapters.factor_versions(s, d).drop("month"))
+        ),
+        "snapshot_table_rows": lambda s, d: _plain(
+            tables.snapshot_table_rows(snapshots.snapshot_rows(adapters.snapshots(s, d)))
+        ).select("market", "endpoint", "status_code", "payload_hash", "month", "pulled_at"),
+        "snapshot_valid_json": lambda s, d: adapters.payload_texts(s, d).select(
+            "event_id", snapshots.is_json(F.col("payload")).alias("valid")
+        ),
+        "symbols_query": lambda s, d: snapshots.query_symbols(
+            adapters.spot_snapshots(s, d), "spot", "usdt", exclude_stable_base=True
+        ),
         "snapshot_counts": lambda s, d: snapshots.payload_sizes(adapters.snapshots(s, d)).select(
             "market", F.col("ingest_version").alias("block"), "symbols_count", "assets_count"
         ),
@@ -174,6 +194,17 @@ def _marker_files(spark: SparkSession, folder: str) -> DataFrame:
     return announced.select("src_path", "interval", "date")
 
 
+def _file_cells(spark: SparkSession, folder: str) -> DataFrame:
+    lines = adapters.factor_lines(spark, folder)
+    cells = read_truths(factor_cells(lines, rejected_factor_files(lines)))
+    return _plain(factors.factor_rows(factors.coerce_factors(cells)))
+
+
+def _archive_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = good_rows(typed_lines(unzip_lines(adapters.zipped_lines(spark, folder))))
+    return rows.select("src_path", "line_no", "symbol", "interval", "open_time", "high_price", "trades_count")
+
+
 def _unpivot(spark: SparkSession, folder: str) -> DataFrame:
     long = factors.unpivot_factors(adapters.factor_wide(spark, folder), ["symbol"])
     return _plain(factors.factor_rows(factors.coerce_factors(long)))

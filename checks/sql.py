@@ -465,6 +465,45 @@ per_file AS (
             WHERE "quoteAsset" = 'USDT' AND base NOT IN ({_STABLE})"""),
         "snapshot_hash": _with(SNAPSHOTS, """
             SELECT market, block, sha256(payload) AS payload_hash FROM snapshots"""),
+        "factor_file_cells": """
+            WITH rows AS (
+              SELECT o_orderstatus AS symbol, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS datetime, *
+              FROM orders WHERE o_orderkey % 4 < 3)
+            SELECT symbol, datetime, 'A' AS factor_name,
+              CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS factor_value, 'coinmetrics' AS source
+            FROM rows
+            UNION ALL SELECT symbol, datetime, 'A.1', CAST(o_custkey AS DOUBLE), 'coinmetrics' FROM rows
+            UNION ALL SELECT symbol, datetime, 'Note', CAST(o_custkey AS DOUBLE), 'coinmetrics' FROM rows
+              WHERE o_orderkey % 5 <> 0
+            UNION ALL SELECT symbol, datetime, 'Flag', CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE,
+              'coinmetrics' FROM rows WHERE o_orderkey % 3 < 2""",
+        "factor_rejects": """
+            SELECT 'csv/bad' || n_nationkey || '.csv' AS src_path,
+              CASE WHEN n_nationkey % 2 = 0 THEN 'missing required ''time'' column'
+                ELSE 'a line has more cells than the header' END AS reason
+            FROM nation""",
+        "archive_rows": _with(CSV_LINES, """
+            SELECT src_path, line_no, symbol, "interval", open_time, high_price, trades_count
+            FROM judged WHERE src_path NOT IN (SELECT src_path FROM judged WHERE bad)"""),
+        "kline_table_rows": _with(KLINES, """
+            SELECT "interval", CAST(strftime(make_timestamp(open_time * 1000), '%Y%m') AS INTEGER) AS month,
+              symbol, open_time, close_time, close_price, trades_count, line_no FROM versions"""),
+        "factor_table_rows": """
+            SELECT o_orderstatus AS symbol, CAST(o_orderdate AS TIMESTAMP) AS datetime, f.name AS factor_name,
+              CASE f.name WHEN 'price' THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS factor_value,
+              o_orderpriority AS source, make_timestamp(o_orderkey * 1000000) AS update_time,
+              CAST(strftime(CAST(o_orderdate AS TIMESTAMP), '%Y%m') AS INTEGER) AS month
+            FROM orders, (VALUES ('price'), ('cust')) f(name)""",
+        "snapshot_table_rows": _with(SNAPSHOTS, """
+            SELECT market, 'exchangeInfo' AS endpoint, CAST(status_code AS INTEGER) AS status_code,
+              sha256(payload) AS payload_hash,
+              CAST(strftime(make_timestamp(ms * 1000), '%Y%m') AS INTEGER) AS month,
+              make_timestamp(ms * 1000) AS pulled_at FROM snapshots"""),
+        "snapshot_valid_json": """
+            SELECT event_id, event_id % 6 NOT IN (3, 4) AS valid FROM events""",
+        "symbols_query": _with(SNAPSHOTS, f"""
+            SELECT symbol, "quoteAsset", "onboardDate", "deliveryDate", "underlyingType", status FROM symbols
+            WHERE market = 'click' AND "quoteAsset" = 'USDT' AND base NOT IN ({_STABLE})"""),
         "snapshot_counts": _with(SNAPSHOTS, """
             SELECT market, block,
               coalesce(json_array_length(json_extract(payload, '$.symbols')), 0) AS symbols_count,

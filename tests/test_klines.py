@@ -159,3 +159,24 @@ def test_interval_table():
 
     assert len(INTERVALS) == 12 and INTERVAL_MS["12h"] == 43_200_000
     assert None not in INTERVAL_MS and "2m" not in INTERVAL_MS
+
+
+def test_compaction_keeps_rows_appended_meanwhile(spark, tmp_path, monkeypatch):
+    from candlemill.sinks import tables
+    from candlemill.sources.tables import kline_table
+
+    path = str(tmp_path / "a b" / "k")
+    row = dict(interval="1h", symbol="A")
+    write_klines(kline_rows(spark, [dict(open_time=0, close_price=1.0, **row)]), path)
+    write_klines(kline_rows(spark, [dict(open_time=0, close_price=2.0, **row)]), path)
+    write = tables._write
+
+    def late(rows, *where):
+        monkeypatch.setattr(tables, "_write", write)
+        write_klines(kline_rows(spark, [dict(open_time=3_600_000, **row)]), path)
+        write(rows, *where)
+
+    monkeypatch.setattr(tables, "_write", late)
+    tables.compact_klines(spark, path)
+    rows = kline_table(spark, path).orderBy("open_time").collect()
+    assert [(r["open_time"], r["close_price"]) for r in rows] == [(0, 2.0), (3_600_000, 50_050.0)]
