@@ -41,7 +41,18 @@ def select_klines(
     start: Moment | None = None,
     end: Moment | None = None,
 ) -> DataFrame:
-    """Latest candles of the symbols and interval, both time bounds inclusive.
+    """Latest candles of the symbols and interval, both time bounds inclusive."""
+    return latest_klines(stored_klines(klines, symbols, interval, start, end))
+
+
+def stored_klines(
+    klines: DataFrame,
+    symbols: str | Iterable[str],
+    interval: str = "1m",
+    start: Moment | None = None,
+    end: Moment | None = None,
+) -> DataFrame:
+    """Every stored version of the candles wanted.
 
     All filters are on key columns, so they run before old versions are resolved and
     reach the scan; the month bounds prune partitions.
@@ -60,7 +71,7 @@ def select_klines(
         rows = rows.filter(F.col("open_time") <= high)
         if has_month:
             rows = rows.filter(F.col("month") <= month_or_edge(high))
-    return latest_klines(rows)
+    return rows
 
 
 def returned_columns(rows: DataFrame) -> DataFrame:
@@ -91,12 +102,20 @@ def page_after(
     after: tuple[str, int] | None = None,
     page_size: int = DEFAULT_BATCH,
 ) -> DataFrame:
-    """The page of rows strictly behind the (symbol, open_time) cursor."""
+    """The page of rows strictly behind the (symbol, open_time) cursor.
+
+    The keys of the page come first, from narrow columns; versions are resolved for these alone.
+    With one symbol the cursor's month prunes partitions.
+    """
     _check_batch_size(page_size)
-    rows = select_klines(klines, symbols, interval, start, end)
+    rows = stored_klines(klines, symbols, interval, start, end)
     if after is not None:
         rows = rows.filter(_behind(*after))
-    return returned_columns(rows).orderBy("symbol", "open_time").limit(page_size)
+        if "month" in rows.columns and set(as_names(symbols, "symbols")) == {after[0]}:
+            rows = rows.filter(F.col("month") >= month_or_edge(after[1]))
+    key = ["symbol", "open_time"]
+    keys = rows.select(*key).distinct().orderBy(*key).limit(page_size)
+    return returned_columns(latest_klines(rows.join(keys, key))).orderBy(*key)
 
 
 def query_batches(

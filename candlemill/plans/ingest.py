@@ -33,6 +33,7 @@ from candlemill.sources.kline_files import (
     typed_lines,
     unzip_lines,
 )
+from candlemill.sources.paths import exists, make_folder, remove_folder
 from candlemill.sources.markers import marker_names
 from candlemill.sources.tables import ingested_markers, kline_table
 
@@ -180,13 +181,18 @@ def ingest_pending(
     """Ingest the files of all pending markers in one run; returns the marker names.
 
     Files count in marker order, oldest first. Markers are recorded after their files
-    are stored; a failure leaves them pending.
+    are stored; a failure leaves them pending. A run after one that died takes all its files
+    again, as a part of their rows may be stored; rows written twice resolve to one on read.
     """
     use_utc(spark)
     pending = pending_markers(marker_names(spark, data), ingested_markers(spark, state))
     names = [row["name"] for row in pending.collect()]
     if not names:
         return [], IngestStats()
-    stats = ingest_archives(marker_files(pending, list_archives(spark, data)), table)
+    begun = f"{state.rstrip('/')}-begun"
+    again = exists(spark, begun)
+    make_folder(spark, begun)
+    stats = ingest_archives(marker_files(pending, list_archives(spark, data)), table, force=again)
     mark_ingested(spark.createDataFrame([(name,) for name in names], "name string"), state)
+    remove_folder(spark, begun)
     return names, stats

@@ -40,6 +40,11 @@ def entry_names(spark: SparkSession, folder: str, starting: str) -> list[str]:
     return [] if found is None else [status.getPath().getName() for status in found]
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _file_system(spark, folder)
+    fs.mkdirs(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     fs, path = _file_system(spark, folder)
     fs.delete(path, True)

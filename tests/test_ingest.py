@@ -10,7 +10,7 @@ from candlemill import MarketStore
 from candlemill.operators import existing
 from candlemill.plans import ingest as ingest_plan
 from candlemill.session import Staging
-from candlemill.sinks.tables import compact_klines
+from candlemill.sinks.tables import compact_klines, write_klines
 from candlemill.sources.markers import is_ingested
 from candlemill.sources.tables import kline_table
 
@@ -204,3 +204,36 @@ def test_failed_batch_is_taken_again(spark, tmp_path, zipped, monkeypatch):
             store.stream_ingest(str(tmp_path / "landing"), checkpoint).awaitTermination()
     store.stream_ingest(str(tmp_path / "landing"), checkpoint).awaitTermination()
     assert store.get_klines("A", "1h").count() == 24
+
+
+def half_written(rows, path):
+    """A write that dies when half of the day is visible."""
+    write_klines(rows.filter("open_time % 7200000 = 0"), path)
+    raise RuntimeError("executor lost")
+
+
+def test_a_stream_batch_that_died_half_way_is_completed(spark, tmp_path, zipped, monkeypatch):
+    zipped(tmp_path / "landing", "A-1h-2024-01-01", hours(0))
+    store = MarketStore(spark, str(tmp_path / "store"))
+    checkpoint = str(tmp_path / "checkpoint")
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_plan, "write_klines", half_written)
+        with pytest.raises(Exception, match="executor lost"):
+            store.stream_ingest(str(tmp_path / "landing"), checkpoint).awaitTermination()
+    assert store.get_klines("A", "1h").count() == 12
+    store.stream_ingest(str(tmp_path / "landing"), checkpoint).awaitTermination()
+    assert store.get_klines("A", "1h").count() == 24
+
+
+def test_pending_markers_whose_run_died_half_way_are_completed(spark, tmp_path, zipped, monkeypatch):
+    data = tmp_path / "data"
+    zipped(data, "A-1h-2024-01-01", hours(0))
+    (data / "_SUCCESS__2024-01-01__um__1h").touch()
+    store = MarketStore(spark, str(tmp_path / "store"))
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_plan, "write_klines", half_written)
+        with pytest.raises(RuntimeError):
+            store.ingest_pending(str(data))
+    store.ingest_pending(str(data))
+    assert store.get_klines("A", "1h").count() == 24
+    assert store.ingest_pending(str(data))[0] == []
