@@ -22,22 +22,26 @@ _COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 def factor_files(spark: SparkSession, folder: str, symbols: list[str] | None = None) -> DataFrame:
     """CSV files below ``csv/`` with their symbol, which is the file stem.
 
-    Wanted symbols are lowered before they are compared; stems are not. Spark does not
-    list files of zero bytes.
+    Wanted symbols are lowered before they are compared; stems are not. Files of zero bytes, which
+    a scan leaves out, are listed too: there is one name per symbol, so the list is short.
     """
     root = require_folder(spark, f"{folder.rstrip('/')}/csv")
-    files = (
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .load(root)
-        .select(F.col("_metadata.file_path").alias("src_path"))
+        .inputFiles()
     )
+    files = spark.createDataFrame([(path,) for path in listed], "src_path string")
     return _wanted(files.withColumn("symbol", stem(F.col("src_path"))), symbols)
 
 
 def factor_lines(spark: SparkSession, folder: str, symbols: list[str] | None = None) -> DataFrame:
-    """Non-blank lines with their file, symbol and position: (block start, running number)."""
+    """Non-blank lines with their file, symbol and position: (block start, running number).
+
+    Symbols are filtered by file metadata before lines are numbered, so no other file is opened.
+    """
     root = require_folder(spark, f"{folder.rstrip('/')}/csv")
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -46,12 +50,13 @@ def factor_lines(spark: SparkSession, folder: str, symbols: list[str] | None = N
         .select(
             F.col("_metadata.file_path").alias("src_path"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_no"),
-            F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"),
+            stem(F.col("_metadata.file_path")).alias("symbol"), "value",
         )
-        .filter(F.col("line").rlike(r"\S"))
     )
-    return _wanted(lines.withColumn("symbol", stem(F.col("src_path"))), symbols)
+    return _wanted(lines, symbols).select(
+        "src_path", "block", F.monotonically_increasing_id().alias("line_no"),
+        F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"), "symbol",
+    ).filter(F.col("line").rlike(r"\S"))
 
 
 def headers(lines: DataFrame) -> DataFrame:

@@ -264,3 +264,11 @@ def test_what_is_written_is_what_was_checked(spark, tmp_path):
         F.when(F.rand() < 0.5, F.lit("1")).otherwise("none").alias("factor_value"),
     )
     assert store.write_factors(frame) == factor_table(spark, store.factors_path).count()
+
+
+def test_empty_files_count_and_unwanted_ones_stay_unopened(spark, tree, tmp_path):
+    folder = tree(btc=CSV, eth=CSV, none="")
+    done = ingest_factors(spark, folder, str(tmp_path / "f"))
+    assert (done.read, done.refused) == (2, 1)
+    plan = factor_files.factor_lines(spark, folder, ["btc"])._jdf.queryExecution().executedPlan().toString()
+    assert "file_path" in plan.split("DataFilters: [")[1].split("], Format")[0]
