@@ -78,12 +78,28 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op10_perspectives": PERSPECTIVES}
+    sql = {"op2_warc": ROUND_TRIP, "op10_perspectives": PERSPECTIVES}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
 
 
+ROUND_TRIP = """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) || '00' AS hex FROM pages),
+digests AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((CAST('0x' || substr(hex, CAST(i * 5 // 4 + 1 AS INTEGER), 3) AS INTEGER)
+      >> CAST(7 - i * 5 % 4 AS INTEGER)) & 31) + 1, 1), '' ORDER BY i) AS payload_digest
+  FROM (SELECT DISTINCT hex FROM p), range(32) t(i) GROUP BY hex),
+judged AS (
+  SELECT p.*, payload_digest, max(page_id) OVER (PARTITION BY payload) AS keeper
+  FROM p JOIN digests USING (hex))
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < keeper THEN keeper END AS refers_to
+FROM judged
+"""
+
 PERSPECTIVES = """
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
