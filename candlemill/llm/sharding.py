@@ -40,9 +40,9 @@ def shard_nodes(nodes: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> Data
     of their own. An empty table gives none.
     """
     nodes = staged(nodes, "nodes")
-    groups = nodes.where("link IS NOT NULL").groupBy("link").agg(F.count("*").alias("members")).where(
-        "members > 1"
-    )
+    # Staged, so that the join below stands on two plain shuffles and a hot link can be split.
+    counted = nodes.where("link IS NOT NULL").groupBy("link").agg(F.count("*").alias("members"))
+    groups = staged(counted.where("members > 1"), "groups")
     begun = nodes.join(groups, "link", "left").withColumn(
         "shard", F.pmod(F.xxhash64("doc_id", F.lit("begin")), F.lit(shards)).cast("int")
     )
