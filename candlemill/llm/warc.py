@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlemill.llm.shared import fields, map_rows, new_path, utf8_bytes
+from candlemill.llm.shared import fields, map_rows, new_path, staged, utf8_bytes
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -103,10 +103,11 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = DATE
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     ).withColumn("digest", F.sha1("html"))
     long_enough = utf8_bytes(F.col("html")) >= least
-    keepers = (
+    # Staged, so that the join below stands on two plain shuffles and a hot payload can be split.
+    keepers = staged(
         rows.where(long_enough).groupBy("digest")
         .agg(F.max("page_id").alias("keeper"), F.min("page_id").alias("other"))
-        .where(F.col("other") < F.col("keeper")).drop("other")
+        .where(F.col("other") < F.col("keeper")).drop("other"), "keepers",
     )
     revisit = F.coalesce(long_enough & (F.col("page_id") < F.col("keeper")), F.lit(False))
     judged = rows.join(keepers, "digest", "left").select(
