@@ -259,6 +259,6 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents that hold no item, with all their columns."""
-    gone = passages(docs, benchmark).select("row").distinct()
+    gone = passages(docs, benchmark).select("row").distinct().hint("merge")
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return docs.join(gone, key == gone["row"], "left_anti")

@@ -179,9 +179,10 @@ class _Job:
         self.texts, self.percent = text_rows(docs), percent
         # Rows without id name no document: they are linked with nothing.
         raw = staged(map_rows(self.texts, _sketched, SKETCHES, rows=4096), "sketches")
-        classes = (
+        # Aggregates are staged before they are joined: a join on two plain shuffles splits hot keys.
+        classes = staged(
             raw.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-            .groupBy("digest").agg(F.min("doc_id").alias("rep"))
+            .groupBy("digest").agg(F.min("doc_id").alias("rep")), "named",
         )
         joined = raw.join(classes, "digest", "left").select(
             "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"),
@@ -199,10 +200,10 @@ class _Job:
             self.reps.select("rep", "registers"), _banded, fields("band int, key long, rep long"),
             rows=1 << 15,
         )
-        shared = (
-            banded.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("rep").alias("low"),
-                                              F.max("rep").alias("high"))
-            .where("low < high").select("band", "key", "n")
+        ends = F.min("rep").alias("low"), F.max("rep").alias("high")
+        shared = staged(
+            banded.groupBy("band", "key").agg(F.count("*").alias("n"), *ends)
+            .where("low < high").select("band", "key", "n"), "shared",
         )
         met = staged(banded.join(shared, ["band", "key"]), "met")
         scores = met.groupBy("rep").agg(F.sum("n").alias("score"))
@@ -220,7 +221,8 @@ class _Job:
 
     def full_sets(self, buckets: DataFrame) -> DataFrame:
         """The full sets of all that stand in a bucket, by the one pass that moves texts."""
-        wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+        # By merge at every size: a side that fits a broadcast today is no measure of tomorrow's.
+        wanted = buckets.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
         sets = map_rows(self.texts.join(wanted, "doc_id", "left_semi"), _sets, SETS, rows=256)
         return staged(sets.withColumnRenamed("doc_id", "rep"), "sets")
 
@@ -228,13 +230,15 @@ class _Job:
         """Pairs whose full sets reach the similarity, staged."""
         ready = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
         return staged(
-            map_rows(ready, _confirmed, PLAUSIBLE, self.percent, most_chars=16 << 20).distinct(), "links"
+            map_rows(ready, _confirmed, PLAUSIBLE, self.percent, most_chars=8 << 20).distinct(), "links"
         )
 
     def hub_pairs(self, buckets: DataFrame) -> DataFrame:
-        hubs = buckets.groupBy("band", "key").agg(
-            F.max(F.struct("score", (-F.col("rep")).alias("low"))).alias("hub")
-        ).select("band", "key", (-F.col("hub.low")).alias("hub"))
+        hubs = staged(
+            buckets.groupBy("band", "key").agg(
+                F.max(F.struct("score", (-F.col("rep")).alias("low"))).alias("hub")
+            ).select("band", "key", (-F.col("hub.low")).alias("hub")), "hubs",
+        )
         met = buckets.join(hubs, ["band", "key"]).where("rep <> hub")
         return met.select(
             F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")
@@ -247,12 +251,14 @@ class _Job:
             .select("band", "key", "rep", F.coalesce("found", "rep").alias("component")), "parted",
         )
         by_part = parted.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-        open_ = by_part.groupBy("band", "key").agg(
-            F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main"),
-            F.count("*").alias("parts"),
-        ).where("parts > 1").select(
-            "band", "key", "all", (F.col("all") - F.col("main.n")).alias("outside"),
-            F.col("main.component").alias("main"),
+        open_ = staged(
+            by_part.groupBy("band", "key").agg(
+                F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main"),
+                F.count("*").alias("parts"),
+            ).where("parts > 1").select(
+                "band", "key", "all", (F.col("all") - F.col("main.n")).alias("outside"),
+                F.col("main.component").alias("main"),
+            ), "mixed",
         )
         rows = staged(parted.join(open_, ["band", "key"]), "open")
         few = rows.where(F.col("all") <= FEW)
@@ -313,7 +319,7 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     Rows that repeat a kept doc_id are the same document: one of them stays. Rows without id stay.
     """
     verdicts = staged(near_duplicates(docs, percent), "verdicts")
-    gone = verdicts.where("NOT kept").select("doc_id").distinct()
+    gone = verdicts.where("NOT kept").select("doc_id").distinct().hint("merge")
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     twice = (
         verdicts.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
