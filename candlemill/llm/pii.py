@@ -300,8 +300,9 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def _redacted(columns: dict, text_at: int, size_at: int) -> Iterator[tuple]:
-    more = columns.pop("more personal")
-    for row, added in zip(zip(*columns.values(), strict=True), more, strict=True):
+    rows = list(zip(*(v for n, v in columns.items() if n != "more personal"), strict=True))
+    more = columns.get("more personal", [None] * len(rows))
+    for row, added in zip(rows, more, strict=True):
         text = row[text_at]
         if text:
             spans = base_spans(text) + [
@@ -319,15 +320,16 @@ def _redacted(columns: dict, text_at: int, size_at: int) -> Iterator[tuple]:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced by its kind; ``n_chars``, if there, follows.
 
-    Base spans are found again where the text is read; only the few added ones are joined.
+    Base spans are found again where the text is read; only added ones, if any, are joined.
     """
+    added = staged(Discovery(docs).added, "added")
+    names = docs.columns
+    places = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
+    if added.isEmpty():
+        return map_rows(docs, _redacted, docs.schema, *places)
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    more = Discovery(docs).added.groupBy("row").agg(
+    more = added.groupBy("row").agg(
         F.collect_list(F.concat_ws(":", "kind", "start", "end")).alias("more personal")
     )
     joined_rows = docs.join(more, key == more["row"], "left").drop(more["row"])
-    names = docs.columns
-    return map_rows(
-        joined_rows, _redacted, docs.schema, names.index("text"),
-        names.index("n_chars") if "n_chars" in names else -1,
-    )
+    return map_rows(joined_rows, _redacted, docs.schema, *places)
