@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +25,14 @@ from candlemill.llm.shared import fields, map_rows, staged
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 MIN_SUPPORT = 5
-"""Distinct values a pattern must stand before, at least."""
-SHARE = 5000
-"""... or one in so many of all instances; so at most ``2 * SHARE`` patterns can qualify."""
+"""Distinct values a pattern must stand before, at least; the same for tables of every size."""
 MIN_TRUST = 0.9
 MIN_SPECIFIC = 0.2
 MIN_BELIEF = 0.85
+MOST_BITS = 27
+"""The sieve of patterns that is sent to all executors has at most 2**27 bits (16 MiB)."""
+WINDOW = 80
+"""Characters before an instance that are looked at for its context."""
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -36,6 +40,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
+GLUE = re.compile(r"[^\w](?=.)", re.DOTALL)
 
 # Looser shapes for identifiers the base patterns don't know.
 OPEN_EMAIL = re.compile(
@@ -129,7 +134,7 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 def contexts(text: str, start: int) -> tuple[str, str]:
     """The word and the two words before a place, lower-cased; empty where there are none."""
-    words = text[max(0, start - 80) : start].lower().split()[-2:]
+    words = text[max(0, start - WINDOW) : start].lower().split()[-2:]
     return words[-1] if words else "", " ".join(words) if len(words) == 2 else ""
 
 
@@ -154,14 +159,34 @@ def _based(columns: dict) -> Iterator[tuple]:
         )
 
 
-def _counted(columns: dict, wanted) -> Iterator[tuple]:
-    ones, twos = wanted.value
-    found: Counter = Counter()
+class _Stands(dict):
+    """Contexts a word gives that may be patterns: itself, and what stands before a value glued to it."""
+
+    def __init__(self, bits: int, sieve: bytes):
+        self.shift, self.sieve = 32 - bits, sieve
+
+    def passes(self, pattern: str) -> int:
+        slot = zlib.crc32(pattern.encode("utf-8", "surrogatepass")) >> self.shift
+        return self.sieve[slot >> 3] >> (slot & 7) & 1
+
+    def __missing__(self, word: str) -> list[str]:
+        starts = [word[: m.end()] for m in GLUE.finditer(word, 0, WINDOW + 1)]
+        self[word] = found = [c for c in (word, *starts) if self.passes(c)]
+        return found
+
+
+def _counted(columns: dict, bits: int, sieve) -> Iterator[tuple]:
+    stands, found = _Stands(bits, sieve.value), Counter()
     for text in columns["text"]:
-        words = (text or "").lower().split()
-        found.update(w for w in words if w in ones)
-        found.update(" ".join(pair) for pair in zip(words, words[1:]) if pair[1] in twos)
-    yield from ((pattern, n) for pattern, n in found.items())
+        before = ""
+        for word in (text or "").lower().split():
+            for context in stands[word]:
+                found[context] += 1
+                pair = f"{before} {context}"
+                if before and stands.passes(pair):
+                    found[pair] += 1
+            before = word
+    yield from found.items()
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -195,20 +220,20 @@ class Discovery:
             .where("pattern <> ''").groupBy("kind", "pattern", "value")
             .agg(F.max("seed").alias("seed"), F.count("*").alias("times")), "edges",
         )
-        total = edges.count()
-        support = max(MIN_SUPPORT, -(-total // SHARE))
         patterns = staged(
             edges.groupBy("kind", "pattern").agg(
                 F.count("*").alias("values"), F.sum("seed").alias("seeds"), F.sum("times").alias("named")
-            ).where((F.col("values") >= support) & (F.col("values") > F.col("seeds"))), "patterns",
+            ).where((F.col("values") >= MIN_SUPPORT) & (F.col("values") > F.col("seeds"))), "patterns",
         )
-        wanted = [r.pattern for r in patterns.select("pattern").distinct().collect()]
         nothing = mentions.select("row", "kind", "start", "end").where(F.lit(False))
-        if not wanted:
+        if patterns.isEmpty():
+            return nothing
+        specific = staged(
+            patterns.join(self._totals(patterns), "pattern")
+            .where(F.col("named") >= MIN_SPECIFIC * F.col("times")).select("kind", "pattern"), "specific",
+        )
+        if specific.isEmpty():
             return nothing
-        specific = patterns.join(self._totals(wanted), "pattern").where(
-            F.col("named") >= MIN_SPECIFIC * F.col("times")
-        ).select("kind", "pattern")
         graph = staged(edges.drop("times").join(specific, ["kind", "pattern"]), "graph")
         belief = graph.select("kind", "value", F.col("seed").cast("double").alias("belief")).distinct()
         for _ in range(ROUNDS):
@@ -216,7 +241,7 @@ class Discovery:
                 graph.join(belief, ["kind", "value"]).groupBy("kind", "pattern")
                 .agg((F.sum("belief") / (F.count("*") + 1)).alias("trust"),
                      F.sum("belief").alias("believed"))
-                .where((F.col("trust") >= MIN_TRUST) & (F.col("believed") >= support))
+                .where((F.col("trust") >= MIN_TRUST) & (F.col("believed") >= MIN_SUPPORT))
             )
             doubt = F.sum(F.log1p(-F.least(F.coalesce("trust", F.lit(0.0)), F.lit(0.999999))))
             belief = staged(
@@ -224,26 +249,30 @@ class Discovery:
                 .agg(F.greatest(F.max("seed").cast("double"), 1 - F.exp(doubt)).alias("belief")), "belief",
             )
         sure = belief.where(F.col("belief") >= MIN_BELIEF).select("kind", "value")
-        named = specific.groupBy("kind").agg(F.collect_set("pattern").alias("known"))
         return (
-            mentions.where("seed = 0").join(sure, ["kind", "value"]).join(named, "kind")
-            .where(F.arrays_overlap("patterns", "known"))
+            mentions.where("seed = 0").join(sure, ["kind", "value"])
+            .withColumn("pattern", F.explode("patterns")).join(specific, ["kind", "pattern"], "left_semi")
             .select("row", "kind", "start", "end").distinct()
         )
 
-    def _totals(self, wanted: list[str]) -> DataFrame:
-        """How often the words of each pattern stand anywhere in the corpus."""
-        pairs = {p for p in wanted if " " in p}
-        sent = self.texts.sparkSession.sparkContext.broadcast(
-            ({p for p in wanted if " " not in p}, {p.split(" ")[1] for p in pairs})
-        )
-        counts = map_rows(self.texts.select("text"), _counted, CONTEXTS, sent)
-        schema = fields("pattern string")
-        listed = self.texts.sparkSession.createDataFrame([(p,) for p in wanted], schema)
-        return staged(
-            counts.join(F.broadcast(listed), "pattern").groupBy("pattern").agg(F.sum("times").alias("times")),
-            "totals",
+    def _totals(self, patterns: DataFrame) -> DataFrame:
+        """How often the words of each pattern stand anywhere in the corpus.
+
+        The sieve only keeps words that no pattern has out of the shuffle; what it lets pass beyond the
+        patterns falls out of the join. Its bits reach the driver in words, at most 2**21.
+        """
+        bits = min(MOST_BITS, max(16, patterns.count().bit_length() + 4))
+        listed = patterns.select(F.explode(F.array("pattern", F.substring_index("pattern", " ", -1))).alias("p"))
+        rows = (
+            listed.select(F.shiftright(F.crc32(F.encode("p", "UTF-8")), 32 - bits).alias("slot"))
+            .groupBy(F.expr("slot div 64").alias("word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(pmod(slot, 64) AS int)))").alias("bits")).toPandas()
         )
+        words = np.zeros(1 << (bits - 6), "<i8")
+        words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+        sieve = self.texts.sparkSession.sparkContext.broadcast(words.tobytes())
+        counts = map_rows(self.texts.select("text"), _counted, CONTEXTS, bits, sieve)
+        return staged(counts.groupBy("pattern").agg(F.sum("times").alias("times")), "totals")
 
     def spans(self) -> DataFrame:
         """Per input row: doc_id, base counts and digest, all spans."""

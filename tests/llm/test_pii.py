@@ -74,6 +74,24 @@ def test_contexts_of_seeds_find_unseen_identifiers(documents):
         assert got[key] == answer(key, text)[-1]
 
 
+def test_many_loose_numbers_elsewhere_hide_no_context(documents):
+    """220,000 instances behind another word; the bar for "my phone:" stays where it was."""
+    hot = [
+        (1000 + i, " ".join(f"order {1_000_000 + 1100 * i + k} ok" for k in range(1100))) for i in range(100)
+    ]
+    rows = [*calls(40), *hot, (100, "my phone: (917) 555-0134 is new")]
+    got = {r.doc_id: r.spans for r in pii.find_personal(documents(rows)).collect()}
+    assert got[100] == "phone:10:24"
+    assert not any(got[key] for key, _ in hot)
+
+
+def test_contexts_glued_to_values_are_counted(documents):
+    rows = [(i, f"so tel:+1 ({200 + i}) 555-{7000 + i} and more") for i in range(40)]
+    rows += [(100, "so tel:(917) 555-0134 is new")]
+    got = {r.doc_id: r.spans for r in pii.find_personal(documents(rows)).collect()}
+    assert got[100] == "phone:7:21"
+
+
 def test_common_words_are_no_context(documents):
     rows = [(i, f"and the +1 ({200 + i}) 555-{7000 + i}") for i in range(30)]
     rows += [(1000 + i, "and the dog and the cat and the bird and the fish and the cow") for i in range(60)]
