@@ -2,8 +2,10 @@
 
 Base matches are seed instances. Tokens of a looser shape (numbers without plus or check digit,
 disguised addresses) are open instances. Both stand behind one or two words; these words are the
-lexical patterns. Spark scores the graph of patterns and instances in rounds: a pattern is trusted
-as far as the instances behind it are believed, an instance as far as a trusted pattern names it.
+lexical patterns. Spark scores the graph of patterns and instances in rounds: a pattern is trusted by
+the believed instances behind it against the known negatives there (numbers whose check digit fails,
+dates, version numbers), an instance as far as a trusted pattern names it. Instances that are neither
+don't count against a pattern, but believed ones must be a tenth of all behind it.
 A pattern must also be *specific*: what it names must make up a good part of all that stands behind
 those words in the corpus. Open instances that come to be believed are added as spans.
 """
@@ -27,6 +29,9 @@ ROUNDS = 3
 MIN_SUPPORT = 5
 """Distinct values a pattern must stand before, at least; the same for tables of every size."""
 MIN_TRUST = 0.9
+"""Believed instances among those that are believed or known negatives."""
+MIN_BELIEVED = 0.1
+"""Believed instances among all behind a pattern: five phones don't make phones of a word's 100 orders."""
 MIN_SPECIFIC = 0.2
 MIN_BELIEF = 0.85
 MOST_BITS = 27
@@ -48,7 +53,13 @@ OPEN_EMAIL = re.compile(
     re.IGNORECASE,
 )
 OPEN_IP = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}(?![\w:])")
-OPEN_NUMBER = re.compile(r"(?<![\w.,-])\(?[0-9](?:[ ()./-]{0,2}[0-9]){6,18}(?![\w-]|[.,][0-9])")
+OPEN_NUMBER = re.compile(r"(?:\+|(?<![\w.,-]))\(?[0-9](?:[ ()./-]{0,2}[0-9]){6,18}(?![\w-]|[.,][0-9])")
+# Numbers that are no phones: dates, with a time or not, and dotted versions.
+NO_PHONE = re.compile(
+    r"(?:(?:19|20)[0-9]{2}([-/.])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])"
+    r"|(?:0?[1-9]|[12][0-9]|3[01])([-/.])(?:0?[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})(?: [0-9 ]+)?"
+    r"|[0-9]{1,4}(?:\.[0-9]{1,4}){3}"
+)
 
 BASE = fields(
     "doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
@@ -98,20 +109,40 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-def open_spans(text: str) -> list[tuple[str, int, int]]:
-    """Identifier-like stretches of a looser shape, overlapping the base spans or not."""
-    spans = []
-    if "@" in text or "(at)" in text.lower() or "[at]" in text.lower():
-        spans += [("email", m.start(), m.end()) for m in OPEN_EMAIL.finditer(text)]
-    if not DIGIT.search(text):
-        return spans
-    if ":" in text:
-        spans += [("ip", m.start(), m.end()) for m in OPEN_IP.finditer(text)]
-    for m in OPEN_NUMBER.finditer(text):
-        digits = len(DIGIT.findall(m[0]))
-        if 7 <= digits <= 19:
-            spans.append(("card" if digits >= 13 else "phone", m.start(), m.end()))
-    return spans
+def gaps(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """Stretches (start, end) of the text outside the spans."""
+    at = 0
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if start > at:
+            yield at, start
+        at = max(at, end)
+    if at < len(text):
+        yield at, len(text)
+
+
+def open_spans(text: str, spans: list[tuple[str, int, int]] = ()) -> list[tuple[str, int, int]]:
+    """Identifier-like stretches of a looser shape, in what the base spans leave."""
+    found = []
+    mail = "@" in text or "(at)" in text.lower() or "[at]" in text.lower()
+    number = DIGIT.search(text)
+    for part in gaps(text, spans):
+        if mail:
+            found += [("email", *m.span()) for m in OPEN_EMAIL.finditer(text, *part)]
+        if number and ":" in text:
+            found += [("ip", *m.span()) for m in OPEN_IP.finditer(text, *part)]
+        for m in OPEN_NUMBER.finditer(text, *part) if number else ():
+            digits = len(DIGIT.findall(m[0]))
+            if 7 <= digits <= 19:
+                most = 15 if m[0][0] == "+" else 12
+                found.append(("card" if digits > most else "phone", *m.span()))
+    return found
+
+
+def is_negative(kind: str, value: str) -> bool:
+    """Is an open instance known not to be of its kind?"""
+    if kind == "card":
+        return not luhn("".join(DIGIT.findall(value)))
+    return kind == "phone" and NO_PHONE.fullmatch(value) is not None
 
 
 def apart(spans: list[tuple[str, int, int]], others: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -146,8 +177,8 @@ def _based(columns: dict) -> Iterator[tuple]:
     for doc_id, row, text in zip(columns["doc_id"], columns["row"], columns["text"], strict=True):
         text = text or ""
         spans = base_spans(text)
-        loose = apart(spans, open_spans(text))
-        both = [(s, 1) for s in spans] + [(s, 0) for s in loose]
+        loose = apart(spans, open_spans(text, spans))
+        both = [(s, 1) for s in spans] + [(s, -is_negative(s[0], text[s[1] : s[2]])) for s in loose]
         around = [contexts(text, s[1]) for s, _ in both]
         base = joined(spans)
         counts = Counter(kind for kind, _, _ in spans)
@@ -212,7 +243,11 @@ class Discovery:
         )
 
     def _bootstrap(self) -> DataFrame:
-        """(row, kind, start, end) of open instances that come to be believed."""
+        """(row, kind, start, end) of open instances that come to be believed.
+
+        ``seed`` is 1 for a seed, -1 for a known negative, 0 for what is undecided. A number whose check
+        digit fails speaks against a pattern of cards, but is one (mistyped) behind a trusted pattern.
+        """
         mentions = self._mentions()
         # The graph: one edge per pattern and value, copies combined before the shuffle.
         edges = staged(
@@ -222,7 +257,7 @@ class Discovery:
         )
         patterns = staged(
             edges.groupBy("kind", "pattern").agg(
-                F.count("*").alias("values"), F.sum("seed").alias("seeds"), F.sum("times").alias("named")
+                F.count("*").alias("values"), F.count_if(F.col("seed") == 1).alias("seeds"), F.sum("times").alias("named")
             ).where((F.col("values") >= MIN_SUPPORT) & (F.col("values") > F.col("seeds"))), "patterns",
         )
         nothing = mentions.select("row", "kind", "start", "end").where(F.lit(False))
@@ -235,13 +270,17 @@ class Discovery:
         if specific.isEmpty():
             return nothing
         graph = staged(edges.drop("times").join(specific, ["kind", "pattern"]), "graph")
-        belief = graph.select("kind", "value", F.col("seed").cast("double").alias("belief")).distinct()
+        belief = graph.select("kind", "value", F.greatest("seed", F.lit(0)).cast("double").alias("belief"))
+        belief = belief.groupBy("kind", "value").agg(F.max("belief").alias("belief"))
+        undenied = F.sum(F.when(F.col("seed") >= 0, F.col("belief")))
+        denied = F.count_if(F.col("seed") < 0)
         for _ in range(ROUNDS):
             trust = (
                 graph.join(belief, ["kind", "value"]).groupBy("kind", "pattern")
-                .agg((F.sum("belief") / (F.count("*") + 1)).alias("trust"),
-                     F.sum("belief").alias("believed"))
-                .where((F.col("trust") >= MIN_TRUST) & (F.col("believed") >= MIN_SUPPORT))
+                .agg(undenied.alias("believed"), denied.alias("denied"), F.count("*").alias("values"))
+                .withColumn("trust", F.try_divide("believed", F.col("believed") + F.col("denied")))
+                .where((F.col("trust") >= MIN_TRUST) & (F.col("believed") >= MIN_SUPPORT)
+                       & (F.col("believed") >= MIN_BELIEVED * F.col("values")))
             )
             doubt = F.sum(F.log1p(-F.least(F.coalesce("trust", F.lit(0.0)), F.lit(0.999999))))
             belief = staged(
@@ -250,7 +289,7 @@ class Discovery:
             )
         sure = belief.where(F.col("belief") >= MIN_BELIEF).select("kind", "value")
         return (
-            mentions.where("seed = 0").join(sure, ["kind", "value"])
+            mentions.where("seed = 0 or seed < 0 and kind = 'card'").join(sure, ["kind", "value"])
             .withColumn("pattern", F.explode("patterns")).join(specific, ["kind", "pattern"], "left_semi")
             .select("row", "kind", "start", "end").distinct()
         )

@@ -92,6 +92,31 @@ def test_contexts_glued_to_values_are_counted(documents):
     assert got[100] == "phone:7:21"
 
 
+def test_unseen_instances_do_not_count_against_their_context(documents):
+    """A context with as many unseen values as seeds, and one with five seeds and five unseen."""
+    rows = calls(30) + [(100 + i, f"my phone: (917) 555-{3000 + i} is new") for i in range(30)]
+    rows += [(200 + i, f"ring desk {'+1 ' * (i < 5)}(718) 555-{4000 + i} please") for i in range(10)]
+    got = {r.doc_id: r.spans for r in pii.find_personal(documents(rows)).collect()}
+    assert all(got[100 + i] == "phone:10:24" for i in range(30))
+    assert all(got[205 + i] == "phone:10:24" for i in range(5))
+
+
+def test_phone_before_an_address_has_the_context_of_the_seeds(documents):
+    text = "Now my phone: +1 (826) 555-4081 190.137.223.204 du"
+    got = {r.doc_id: r.spans for r in pii.find_personal(documents([*calls(40), (100, text)])).collect()}
+    assert got[100] == "ip:32:47,phone:14:31"
+
+
+def test_known_negatives_and_few_seeds_find_nothing(documents):
+    """Every tenth number passes the check digit by chance; five phones stand among 100 orders; dates."""
+    rows = [(i, f"my order {4000_0000_0000_0000 + 7919 * i} came") for i in range(100)]
+    rows += [(200 + i, f"the ticket {'+1 ' * (i < 5)}{9_170_000_000 + i} came") for i in range(105)]
+    rows += [(400 + i, f"was due {'+1 (917) 555-' if i < 9 else '2024-01-'}{1010 + i if i < 9 else i + 2}") for i in range(20)]
+    got = {r.doc_id: r.spans for r in pii.find_personal(documents(rows)).collect()}
+    for key, text in rows:
+        assert got[key] == answer(key, text)[-1], text
+
+
 def test_common_words_are_no_context(documents):
     rows = [(i, f"and the +1 ({200 + i}) 555-{7000 + i}") for i in range(30)]
     rows += [(1000 + i, "and the dog and the cat and the bird and the fish and the cow") for i in range(60)]
