@@ -10,7 +10,8 @@ One way serves files of every size, and no step needs a whole file in a task:
   across stretches through a table that holds one row per stretch.
 
 A file whose rows span far more slots than the period in its name (times in another unit, say) would
-fill a huge grid; ``oversized_grids`` tells such files, and a run rejects them.
+fill a huge grid; ``oversized_grids`` tells such files, and a run rejects them. A name without a date
+names no period, and its file is taken as it is.
 """
 
 from __future__ import annotations
@@ -76,15 +77,15 @@ def clean(df: DataFrame, step_ms: int | None = None) -> DataFrame:
 def oversized_grids(df: DataFrame) -> DataFrame:
     """Files whose valid rows span more than ``GRID_SLACK`` times the slots of their named period.
 
-    The period is the name's day, or its month; a name without a date counts as a month.
+    The period is the name's day, or its month; a file whose name has no date is never told.
     """
     extent = keep_valid(df).groupBy("src_path", "interval").agg(
         F.min("open_time").alias("_start"), F.max("open_time").alias("_end")
     )
     path = F.col("src_path")
-    daily = date_of(path).isNotNull() & ~is_monthly(path)
-    period = F.when(F.coalesce(daily, F.lit(False)), DAY_MS).otherwise(31 * DAY_MS)
-    wide = extent.withColumn("_step", interval_ms(F.col("interval"))).where(
+    period = F.when(is_monthly(path), 31 * DAY_MS).otherwise(DAY_MS)
+    dated = extent.where(date_of(path).isNotNull())
+    wide = dated.withColumn("_step", interval_ms(F.col("interval"))).where(
         _slots() > GRID_SLACK * F.ceil(period / F.col("_step"))
     )
     reason = F.concat(F.lit("times span "), _slots().cast("string"), F.lit(" slots, beyond the named period"))

@@ -185,6 +185,16 @@ def test_grids_beyond_the_named_period_are_told(spark):
     assert "3001 slots" in found["B-1m-2024-01-01.zip"]
 
 
+def test_undated_files_of_any_length_are_taken(spark):
+    """A year in one archive, and a name that only looks like a date."""
+    hour = 3_600_000
+    rows = kline_rows(spark, [
+        dict(open_time=t * hour, src_path=p, interval="1h")
+        for p in ("BTCUSDT-1h.zip", "BTCUSDT-1h-2024-13.zip", "BTCUSDT-1h-2024-01.zip") for t in range(365 * 24)
+    ])
+    assert [r["src_path"] for r in clean.oversized_grids(rows).collect()] == ["BTCUSDT-1h-2024-01.zip"]
+
+
 def test_time_range_is_first_and_last_line(spark):
     rows = kline_rows(spark, [dict(open_time=t) for t in (5, 1, 9, 3)])
     row = reports.file_time_range(rows).first()
