@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlemill.llm.shared import fields, map_rows, text_rows
+from candlemill.llm.shared import fields, map_rows, staged, text_rows
 from candlemill.llm.textstats import (
     SENTENCE_ENDS, SPACES, SYMBOLS, count_of, duplicate_lines, lines_of, repeated_words, words_of,
 )
@@ -26,12 +26,14 @@ SAMPLE = 600
 CONTENT_SHARE = 0.5
 CHAIN = 16
 """Lines of one training chain; longer documents make several."""
+CHAINS = 8 * SAMPLE
+"""Training chains of either kind, at most."""
 
 JUDGED = fields(
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, base_failed boolean, content_share double"
 )
-LINES = fields("quality int, features doubles")
+LINES = fields("quality int, doc_id long, place int, features doubles")
 
 FEATURES = 13
 
@@ -154,29 +156,48 @@ def _gradient(x, mask, y, weight, emit, step):
 
 
 def _featured(columns: dict) -> Iterator[tuple]:
-    for quality, text in zip(columns["quality"], columns["text"], strict=True):
+    for quality, doc_id, text in zip(columns["quality"], columns["doc_id"], columns["text"], strict=True):
         lines = lines_of(text or "")
         if lines and not base_failed(text)[1]:
-            yield quality, all_features(lines).ravel().tolist()
+            features = all_features(lines)
+            for at in range(0, len(lines), CHAIN):
+                yield quality, doc_id, at, features[at : at + CHAIN].ravel().tolist()
 
 
-def learn_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
-    """Fit the field on at most ``sample`` labelled documents of either kind, chosen by hash.
+def _by_hash(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """At most so many rows of either kind, chosen by a hash of their key."""
+    good, poor = (
+        df.where(F.col("quality") == kind).orderBy(F.xxhash64(*key), *key).limit(most) for kind in (1, 0)
+    )
+    return poor.unionByName(good)
 
-    Documents that fail the counts teach nothing about lines and are left out. Only line features
-    reach the driver. Without documents of both kinds there is no field (None).
+
+def training_chains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = CHAINS) -> DataFrame:
+    """Per chosen chain: quality, doc_id, place and features of up to ``CHAIN`` lines.
+
+    Of rows that share a doc_id, one text teaches (the least by hash).
     """
     marked = labels.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")
     ).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    chosen = None
-    for kind in (0, 1):
-        some = marked.where(F.col("quality") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        chosen = some if chosen is None else chosen.unionByName(some)
-    rows = text_rows(docs).join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    chosen = F.broadcast(_by_hash(marked, sample, "doc_id"))
+    rows = (
+        text_rows(docs).where("text IS NOT NULL").join(chosen, "doc_id").groupBy("quality", "doc_id")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    )
+    return _by_hash(staged(map_rows(rows, _featured, LINES, rows=64), "chains"), most, "doc_id", "place")
+
+
+def learn_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
+    """Fit the field on at most ``sample`` labelled documents of either kind, chosen by hash.
+
+    Documents that fail the counts teach nothing about lines and are left out. Only features of at
+    most ``CHAINS`` chains of either kind reach the driver. Without documents of both kinds there is
+    no field (None).
+    """
     got = [
         (r.quality, np.array(r.features).reshape(-1, FEATURES))
-        for r in map_rows(rows, _featured, LINES, rows=64).collect()
+        for r in training_chains(docs, labels, sample).collect()
     ]
     if {q for q, _ in got} != {0, 1}:
         return None

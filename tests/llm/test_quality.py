@@ -56,6 +56,20 @@ def test_field_keeps_good_and_drops_poor_documents(spark):
     assert sum(poor) <= 0.05 * len(poor)
 
 
+def test_training_chains_are_bounded_by_documents_and_lines(spark, documents):
+    """A doc_id of many rows teaches once; a long text gives no more chains than are asked for."""
+    def text(n):
+        return "\n".join(f"line {i} differs from {i * i}" for i in range(n))
+
+    rows = [(1, text(20))] * 50 + [(1, text(21))] * 50 + [(2, text(4000)), (3, None), (None, text(5))]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    got = quality.training_chains(documents(rows), labels, most=7).collect()
+    assert sorted(r.place for r in got if r.quality == 1) == [0, 16]
+    assert sum(r.quality == 0 for r in got) == 7
+    assert all(len(r.features) <= quality.CHAIN * quality.FEATURES for r in got)
+    assert quality.learn_chain(documents(rows), labels) is not None
+
+
 def test_without_labels_only_counts_decide(spark, odd):
     labels = table(spark, SF, "labels").where("doc_id < 0")
     assert quality.learn_chain(odd, labels) is None
