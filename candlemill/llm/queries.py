@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from candlemill.llm import chat, decontaminate, near_dup, packing, pii, quality, rules, sharding, token_count, warc
+from candlemill.llm import (
+    chat, decontaminate, near_dup, packing, pii, prefix_trie, quality, rules, sharding, simhash, spelling, token_count,
+    warc,
+)
 from candlemill.llm.shared import table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,19 @@ def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), most=2)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(keys)).drop("name")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_shards": op1_shards,
@@ -73,6 +89,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_scores": op8_quality_scores,
         "op9_benchmark_passages": op9_benchmark_passages,
         "op10_perspectives": op10_perspectives,
+        "op11_fingerprints": op11_fingerprints,
+        "op12_spelling": op12_spelling,
+        "op13_prefix_trie": op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 

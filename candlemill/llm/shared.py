@@ -125,3 +125,34 @@ def fields(text: str) -> T.StructType:
     """A schema out of ``name type`` pairs; a plural type stands for an array."""
     pairs = [pair.split() for pair in text.split(",")]
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
+
+
+def map_parts(
+    df: DataFrame, function: Callable[..., Iterator[tuple]], schema: T.StructType, *args, rows: int = 4096,
+) -> DataFrame:
+    """Pass whole partitions, as a stream of column lists, to a function that keeps state between them.
+
+    ``function(parts, *args)`` gets an iterator of dicts of Python lists, in the partition's order.
+    """
+    arrow = _arrow_schema(schema)
+
+    def batches(source):
+        parts = (
+            {name: part.column(i).to_pylist() for i, name in enumerate(part.schema.names)}
+            for batch in source for part in _pieces(batch, 8 << 20)
+        )
+        out: list[tuple] = []
+        for row in function(parts, *args):
+            out.append(row)
+            if len(out) >= rows:
+                yield _to_batch(out, arrow)
+                out = []
+        if out:
+            yield _to_batch(out, arrow)
+
+    _ship(df.sparkSession)
+    return df.mapInArrow(batches, schema)
+
+
+def parts_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
