@@ -3,7 +3,8 @@
 1. Every text becomes a 64-bit fingerprint; equal fingerprints are one code, named by its smallest
    doc_id, so copies are gone before any search.
 2. The codes are sorted by Gray rank over all machines and cut into blocks of bounded size. A block
-   keeps the bits that all its codes share; upper nodes, one per sixteen below, what their blocks share.
+   keeps the bits that all its codes share; upper nodes, one per sixteen below, what their blocks share,
+   up to a single one.
 3. Pairs of nodes go down this hierarchy, level by level, as joins; a pair goes when its certain
    differences exceed the budget. What is left are pairs of blocks, whose codes one task compares by
    the same hierarchy inside the blocks.
@@ -30,7 +31,7 @@ SEED = 42
 BLOCK = 4096
 """Codes of a block."""
 FAN = 16
-"""Nodes under an upper node; the search starts from at most so many."""
+"""Nodes under an upper node."""
 FLAT = 1 << 16
 """Shingles whose bits are counted together."""
 
@@ -140,7 +141,7 @@ class _Hierarchy:
         )
         self.levels = [self.blocks.select("no", "ones", "some")]
         count = self.blocks.count()
-        while count > FAN:
+        while count > 1:
             upper = self.levels[-1].groupBy(F.floor(F.col("no") / FAN).alias("no")).agg(
                 F.bit_and("ones").alias("ones"), F.bit_or("some").alias("some")
             )
@@ -150,23 +151,19 @@ class _Hierarchy:
     def pairs(self, most: int) -> DataFrame:
         """(a, b), a <= b, of blocks that may hold codes at most ``most`` bits apart."""
 
-        def side(level: DataFrame, name: str, above: bool) -> DataFrame:
+        def side(level: DataFrame, name: str) -> DataFrame:
             own = level.select(*(F.col(c).alias(f"{c}_{name}") for c in ("no", "ones", "some")))
-            return own.withColumn(f"up_{name}", F.floor(F.col(f"no_{name}") / FAN)) if above else own
-
-        top = self.levels[-1]
-        # At most FAN nodes stand at the top.
-        open_ = side(top, "a", False).join(
-            side(top, "b", False),
-            (F.col("no_a") <= F.col("no_b")) & (F.bit_count(_certain("a", "b")) <= most),
-        ).select(
-            F.col("no_a").alias("up_a"), F.col("no_b").alias("up_b"), _certain("a", "b").alias("counted"),
-            F.bit_count(_certain("a", "b")).alias("apart"),
+            return own.withColumn(f"up_{name}", F.floor(F.col(f"no_{name}") / FAN))
+
+        # From the one node at the top, paired with itself.
+        open_ = self.levels[-1].select(
+            F.col("no").alias("up_a"), F.col("no").alias("up_b"), F.lit(0).cast("long").alias("counted"),
+            F.lit(0).alias("apart"),
         )
         for level in self.levels[-2::-1]:
             fresh = F.bit_count(_certain("a", "b").bitwiseAND(F.bitwise_not(F.col("counted"))))
             open_ = staged(
-                open_.join(side(level, "a", True), "up_a").join(side(level, "b", True), "up_b")
+                open_.join(side(level, "a"), "up_a").join(side(level, "b"), "up_b")
                 .where(F.col("no_a") <= F.col("no_b")).withColumn("now", F.col("apart") + fresh)
                 .where(F.col("now") <= most).select(
                     F.col("no_a").alias("up_a"), F.col("no_b").alias("up_b"),
