@@ -1,7 +1,8 @@
 """Near duplicates by SetSketch bands, joint likelihood and confirmation on full shingle sets.
 
 1. Every text becomes its set of five-word shingles, a digest of the set, and registers.
-2. Texts with equal sets are one class, named by its smallest doc_id; from here on only classes count.
+2. Texts with equal sets are one class with a number of its own; from here on only classes count. A class
+   is read again by one of its rows, that of the smallest doc_id.
 3. Classes that share the registers of a band stand in one bucket. In every bucket the member that
    meets most others is the hub and is paired with the rest: pairs grow with members, not squares.
 4. Pairs whose registers make the similarity implausible go; the others are confirmed on full sets.
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm import setsketch as S
@@ -34,8 +35,8 @@ BLOCK = 512
 FLAT = 1 << 17
 """Shingles sketched at a time."""
 
-SKETCHES = fields("doc_id long, n_shingles long, digest binary, registers binary")
-SETS = fields("doc_id long, members binary")
+SKETCHES = fields("doc_id long, text_key long, n_shingles long, digest binary, registers binary")
+SETS = fields("rep long, members binary")
 PLAUSIBLE = fields("a long, b long")
 
 _TURNS = S.mix(np.arange(11, 11 + WIDTH, dtype=np.uint64)) | np.uint64(1)
@@ -61,12 +62,12 @@ def shingles(text: str) -> np.ndarray:
 def _sketched(columns: dict) -> Iterator[tuple]:
     waiting: list[tuple] = []
     size = 0
-    for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
+    for doc_id, key, text in zip(columns["doc_id"], columns["text_key"], columns["text"], strict=True):
         found = shingles(text or "")
         if not len(found):
-            yield doc_id, 0, None, None
+            yield doc_id, key, 0, None, None
             continue
-        waiting.append((doc_id, found))
+        waiting.append((doc_id, key, found))
         size += len(found)
         if size >= FLAT:
             yield from _rows(waiting)
@@ -76,11 +77,11 @@ def _sketched(columns: dict) -> Iterator[tuple]:
 
 
 def _rows(waiting: list[tuple]) -> Iterator[tuple]:
-    sizes = [len(found) for _, found in waiting]
+    sizes = [len(found) for *_, found in waiting]
     starts = np.cumsum([0, *sizes[:-1]])
-    registers = S.sketch(np.concatenate([found for _, found in waiting]), starts)
-    for (doc_id, found), row in zip(waiting, registers, strict=True):
-        yield doc_id, len(found), xxhash.xxh3_128_digest(found.tobytes()), row.tobytes()
+    registers = S.sketch(np.concatenate([found for *_, found in waiting]), starts)
+    for (doc_id, key, found), row in zip(waiting, registers, strict=True):
+        yield doc_id, key, len(found), xxhash.xxh3_128_digest(found.tobytes()), row.tobytes()
 
 
 def _banded(columns: dict) -> Iterator[tuple]:
@@ -104,8 +105,8 @@ def _matrix(rows) -> np.ndarray:
 
 
 def _sets(columns: dict) -> Iterator[tuple]:
-    for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
-        yield doc_id, shingles(text or "").tobytes()
+    for rep, text in zip(columns["rep"], columns["text"], strict=True):
+        yield rep, shingles(text or "").tobytes()
 
 
 def _confirmed(columns: dict, percent: int) -> Iterator[tuple]:
@@ -176,17 +177,21 @@ class _Job:
     """The steps over one collection; everything between them is staged."""
 
     def __init__(self, docs: DataFrame, percent: int):
-        self.texts, self.percent = text_rows(docs), percent
+        self.texts, self.percent = text_rows(docs).withColumn("text_key", text_key(F.col("text"))), percent
         # Rows without id name no document: they are linked with nothing.
         raw = staged(map_rows(self.texts, _sketched, SKETCHES, rows=4096), "sketches")
         # Aggregates are staged before they are joined: a join on two plain shuffles splits hot keys.
-        classes = staged(
+        self.classes = staged(
             raw.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-            .groupBy("digest").agg(F.min("doc_id").alias("rep")), "named",
+            .groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("low"))
+            .select("digest", F.monotonically_increasing_id().alias("rep"), "low.doc_id", "low.text_key"), "named",
         )
-        joined = raw.join(classes, "digest", "left").select(
-            "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"),
-            F.when(F.col("doc_id") == F.col("rep"), F.col("registers")).alias("registers"),
+        named = self.classes.select("digest", "rep", F.col("doc_id").alias("low"), F.col("text_key").alias("low_key"))
+        first = (F.col("doc_id") == F.col("low")) & (F.col("text_key") == F.col("low_key"))
+        # Rows of no class get a number that no class has.
+        joined = raw.join(named, "digest", "left").select(
+            "doc_id", "text_key", "n_shingles", F.coalesce("rep", -1 - F.abs("doc_id")).alias("rep"),
+            F.when(first, F.col("registers")).alias("registers"),
         )
         self.rows = staged(joined, "classes")
         self.reps = (
@@ -222,9 +227,11 @@ class _Job:
     def full_sets(self, buckets: DataFrame) -> DataFrame:
         """The full sets of all that stand in a bucket, by the one pass that moves texts."""
         # By merge at every size: a side that fits a broadcast today is no measure of tomorrow's.
-        wanted = buckets.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
-        sets = map_rows(self.texts.join(wanted, "doc_id", "left_semi"), _sets, SETS, rows=256)
-        return staged(sets.withColumnRenamed("doc_id", "rep"), "sets")
+        met = buckets.select("rep").distinct()
+        wanted = staged(self.classes.join(met, "rep").select("rep", "doc_id", "text_key"), "wanted").hint("merge")
+        keys = ["doc_id", "text_key"]
+        texts = self.texts.join(wanted, keys).dropDuplicates(keys).select("rep", "text")
+        return staged(map_rows(texts, _sets, SETS, rows=256), "sets")
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs whose full sets reach the similarity, staged."""
@@ -292,40 +299,77 @@ class _Job:
         )
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """Per input row: doc_id, n_shingles, component_id, kept.
+def text_key(text: Column) -> Column:
+    """Tells the texts of one doc_id apart; never used without the doc_id."""
+    return F.xxhash64(text)
 
-    Documents are linked when ``100 * common >= percent * united`` shingles; component_id is the
-    smallest doc_id reachable, kept marks that document. Null and empty texts have no shingles and
-    are linked with nothing; rows without id have no component and are kept; rows that repeat a
-    doc_id are one document. An empty table gives none, further columns are ignored.
-    """
+
+def _judged(docs: DataFrame, percent: int) -> DataFrame:
+    """Per input row: doc_id, text_key, n_shingles, component_id, and whether its class is its component's first."""
     job = _Job(docs, percent)
     buckets = job.buckets()
     sets = job.full_sets(buckets)
     links = job.confirmed(job.estimated(job.hub_pairs(buckets)), sets)
     missed = job.missed_links(buckets, components(links), sets)
     labels = components(links.union(missed))
-    return (
-        job.rows.join(labels.toDF("rep", "found"), "rep", "left")
-        .select("doc_id", "n_shingles", F.coalesce("found", "rep").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    classed = staged(
+        job.classes.join(labels.toDF("rep", "found"), "rep", "left")
+        .select("rep", "doc_id", F.coalesce("found", "rep").alias("part")), "classed",
+    )
+    parts = staged(classed.groupBy("part").agg(F.min(F.struct("doc_id", "rep")).alias("first")), "parts")
+    told = staged(classed.join(parts, "part").select(
+        "rep", F.col("first.doc_id").alias("component_id"), (F.col("first.rep") == F.col("rep")).alias("first")
+    ), "told")
+    return job.rows.join(told, "rep", "left").select(
+        "doc_id", "text_key", "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.coalesce("first", F.lit(True)).alias("first"),
+    )
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """Per input row: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked when ``100 * common >= percent * united`` shingles; component_id is the
+    smallest doc_id reachable, kept marks that document. Null and empty texts have no shingles and
+    are linked with nothing; rows without id have no component and are kept. Rows that repeat a doc_id with
+    another text are documents of their own: each has the component of its text. An empty table gives none,
+    further columns are ignored.
+    """
+    return _judged(docs, percent).select("doc_id", "n_shingles", "component_id").withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One document of every group, with all its columns.
 
-    Rows that repeat a kept doc_id are the same document: one of them stays. Rows without id stay.
+    It is the one with the group's smallest doc_id. Of rows that repeat both doc_id and text one stays, whatever
+    their other columns; a repeated doc_id with a text of another group stays. Rows without id stay, and
+    so do null and empty texts, one per doc_id. An empty table gives none.
     """
-    verdicts = staged(near_duplicates(docs, percent), "verdicts")
-    gone = verdicts.where("NOT kept").select("doc_id").distinct().hint("merge")
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    twice = (
-        verdicts.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-        .where("n > 1").select("doc_id")
+    keys = ["doc_id", "text_key"]
+    mine = F.col("first") & (F.col("doc_id") == F.col("component_id"))
+    verdicts = staged(
+        _judged(docs, percent).where("doc_id IS NOT NULL").select(*keys, mine.alias("chosen")), "verdicts"
+    )
+    gone = verdicts.where("NOT chosen").select(*keys).distinct().hint("merge")
+    def rows_without(frame: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        given = frame.select(*(F.col(f"`{c}`") for c in docs.columns))
+        on = (other["doc_id"] == given["doc_id"].cast("long")) & (other["text_key"] == text_key(given["text"].cast("string")))
+        return given.join(other, on, how)
+
+    left = rows_without(docs, gone, "left_anti")
+    twice = staged(
+        verdicts.where("chosen").groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys), "twice"
     )
     if twice.isEmpty():
         return left
-    single = left.join(twice, "doc_id", "left_anti").select(docs.columns)
-    return single.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    again = rows_without(left, twice, "left_semi")
+    single = rows_without(left, twice, "left_anti")
+    return single.unionByName(_one_each(again, docs.columns))
+
+
+def _one_each(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per doc_id and text."""
+    return rows.dropDuplicates(["doc_id", "text"]).select(*columns)

@@ -84,6 +84,18 @@ def test_one_of_each_group_stays(documents):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(groups, key=repr)
 
 
+def test_texts_of_one_doc_id_are_told_apart(documents):
+    """A repeated doc_id loses no text: copies of another document go, a text of its own stays."""
+    a, b, c = near_copies(1, random.Random(5))[0], "another text altogether, of its own words", "x y z"
+    docs = documents([(3, a), (7, a), (7, b), (7, b), (8, b), (9, None), (9, ""), (None, b), (2, c), (2, f"{a} end")])
+    kept = sorted(((r.doc_id, r.text) for r in near_dup.keep_one(docs, 80).collect()), key=repr)
+    assert kept == sorted([(7, b), (9, None), (9, ""), (None, b), (2, c), (2, f"{a} end")], key=repr)
+    got = rows_of(near_dup.near_duplicates(docs, 80), "doc_id", "component_id")
+    assert got == sorted(
+        [(3, 2), (7, 2), (7, 7), (7, 7), (8, 7), (9, 9), (9, 9), (None, None), (2, 2), (2, 2)], key=repr
+    )
+
+
 def test_shared_passages_alone_are_no_links(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
