@@ -147,23 +147,66 @@ class Bins:
                 room[left].append(b)
 
     def search(self) -> None:
-        """Exchange pieces between underfull sequences until no exchange raises squared fill."""
+        """Exchange pieces between underfull sequences until no exchange raises squared fill.
+
+        Most exchanges are found by looking for two pieces in the emptiest sequences only; before the search
+        ends, all pairs of all sequences are looked up by their joint length. It also ends where the
+        sequences are as few as the pieces' total length allows.
+        """
         open_bins = [b for b, f in enumerate(self.fill) if f < self.limit]
         self.at: dict[int, set[int]] = {}
         self.home: dict[int, int] = {}
         for b in open_bins:
             for i in self.bins[b]:
                 self._index(i, b)
-        better = True
-        while better:
+        while not self.fewest():
             better = False
+            self._pairs = None
             for b in sorted(open_bins, key=lambda b: -self.fill[b]):
-                while 0 < self.fill[b] < self.limit and self._improve(b):
-                    better = True
-                if self.fill[b] == self.limit:
-                    for i in self.bins[b]:
-                        self._forget(i)
+                better |= self._filled(b)
             open_bins = [b for b in open_bins if 0 < self.fill[b] < self.limit]
+            if not better:
+                self._pairs = self._all_pairs(open_bins)
+                for b in sorted(open_bins, key=lambda b: -self.fill[b]):
+                    better |= self._filled(b)
+                open_bins = [b for b in open_bins if 0 < self.fill[b] < self.limit]
+                if not better:
+                    return
+
+    def fewest(self) -> bool:
+        """No packing has fewer sequences."""
+        return sum(1 for f in self.fill if f) <= -(-sum(self.fill) // self.limit)
+
+    def _filled(self, b: int) -> bool:
+        """Improve one sequence as far as it goes; was there anything to improve?"""
+        better = False
+        while 0 < self.fill[b] < self.limit and self._improve(b):
+            better = True
+        if self.fill[b] == self.limit:
+            for i in self.bins[b]:
+                self._forget(i)
+        return better
+
+    def _all_pairs(self, open_bins: list[int]) -> dict[int, list[tuple[int, int, int]]]:
+        """All pairs of lengths that a sequence holds, by their sum: (sequence, piece, piece)."""
+        pairs: dict[int, list[tuple[int, int, int]]] = {}
+        for b in open_bins:
+            items = self._two_of_each_length(b)
+            for x, i in enumerate(items):
+                for j in items[x + 1 :]:
+                    total = self.lengths[i] + self.lengths[j]
+                    if total not in pairs:
+                        pairs[total] = []
+                    pairs[total].append((b, i, j))
+        return pairs
+
+    def _two_of_each_length(self, b: int) -> list[int]:
+        kept: dict[int, list[int]] = {}
+        for i in self.bins[b]:
+            same = kept.setdefault(self.lengths[i], [])
+            if len(same) < 2:
+                same.append(i)
+        return [i for same in kept.values() for i in same]
 
     def _index(self, i: int, b: int) -> None:
         self.home[i] = b
@@ -236,6 +279,8 @@ class Bins:
         self, b: int, base: int, gap: int, sizes: list[int], least: int
     ) -> tuple[int, list[int]] | None:
         """Two pieces of one other sequence that together give more than ``least``."""
+        if self._pairs is not None:
+            return self._listed_pair(b, base, gap, least)
         found = None
         for other in self._emptiest:
             if other == b or len(self.bins[other]) < 2:
@@ -252,10 +297,22 @@ class Bins:
                 low += 1
         return found
 
+    def _listed_pair(self, b: int, base: int, gap: int, least: int) -> tuple[int, list[int]] | None:
+        """The same over all sequences; a pair that has been parted since it was listed is passed over."""
+        for total in range(base + gap, base + least, -1):
+            for other, i, j in self._pairs.get(total, ()):
+                gain = total - base
+                if (
+                    other != b and self.home.get(i) == other and self.home.get(j) == other
+                    and self.fill[other] < self.fill[b] + gain
+                ):
+                    return gain, [i, j]
+        return None
+
     def _two_out(self, b: int, gap: int, sizes: list[int]):
-        """Two pieces of ``b`` against one longer one."""
+        """Two pieces of ``b``, of any two lengths that it holds, against one longer one."""
         best = None
-        own = sorted(self._one_of_each_length(b), key=self.lengths.__getitem__)[:32]
+        own = sorted(self._one_of_each_length(b), key=self.lengths.__getitem__)
         for x, i in enumerate(own):
             for j in own[x + 1 :]:
                 base = self.lengths[i] + self.lengths[j]

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -135,3 +136,33 @@ def test_search_keeps_all_pieces_and_limits(seed):
     assert sorted(i for b in bins.bins for i in b) == list(range(200))
     assert all(f == sum(lengths[i] for i in b) <= 100 for f, b in zip(bins.fill, bins.bins, strict=True))
     assert sum(f > 0 for f in bins.fill) <= 1.1 * sum(lengths) / 100 + 2
+
+
+def improvable(bins):
+    """An exchange of the search's kinds that raises squared fill, by trying all of them."""
+    sizes, live = bins.lengths, [b for b, f in enumerate(bins.fill) if 0 < f < bins.limit]
+
+    def some(b):
+        return [(i,) for i in bins.bins[b]] + list(itertools.combinations(bins.bins[b], 2))
+
+    for x, y in itertools.permutations(live, 2):
+        for out in [(), *some(x)]:
+            for into in some(y):
+                gain = sum(sizes[i] for i in into) - sum(sizes[i] for i in out)
+                if len(out) + len(into) < 4 and 0 < gain <= bins.limit - bins.fill[x] and bins.fill[y] < bins.fill[x] + gain:
+                    return x, y, out, into
+    return None
+
+
+@pytest.mark.parametrize("limit, sizes", [(100, range(20, 71)), (100, (34, 35, 51, 67, 26)), (2048, range(500, 1101))])
+def test_search_ends_where_no_exchange_is_left(limit, sizes):
+    source = random.Random(limit + len(sizes))
+    lengths = [source.choice(list(sizes)) for _ in range(140)]
+    bins = packing.Bins(lengths, limit)
+    bins.best_fit(list(range(len(lengths))))
+    first = len(bins.bins)
+    bins.search()
+    assert sorted(i for members in bins.bins for i in members) == list(range(len(lengths)))
+    assert all(f == sum(lengths[i] for i in m) <= limit for m, f in zip(bins.bins, bins.fill, strict=True))
+    assert bins.fewest() or improvable(bins) is None
+    assert sum(1 for m in bins.bins if m) <= first
