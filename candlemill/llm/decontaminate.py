@@ -8,6 +8,10 @@ An item of ``m`` characters within ``k`` edits of a stretch shares at least ``m
 its q-grams with it, all of them on diagonals (place in the document minus place in the item) that
 lie within ``k`` of each other. So shared q-grams are counted in overlapping bands of diagonals, each
 ``2 * (k + 1)`` wide and half of that apart; every band that reaches the bound is verified.
+
+Items are looked for by length class, from one power of two to the next, each with a sieve, a bound and
+a window of its own: a short item widens the search for no longer one. An item with fewer characters
+than a gram has no edits to spend and is found as it is, as whole words of the document.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,16 +30,20 @@ from candlemill.llm.setsketch import mix
 from candlemill.llm.shared import fields, map_rows, staged
 
 Q = 12
-"""Characters of a gram; shorter items are no evidence and are left out."""
+"""Characters of a gram; shorter items are found as whole words."""
 EDIT_SHARE = 0.04
 """Edits granted per character of an item."""
 MOST_BITS = 27
-"""The sieve that is sent to all executors has at most 2**27 bits (16 MiB)."""
+"""The sieves that are sent to all executors have at most 2**27 bits (16 MiB) a length class."""
+OWN, OWN_KEY = "decontaminate_doc_id", "decontaminate_key"
+"""Columns that a join adds for a while."""
 OTHER = re.compile(r"[\W_]+")
 
-ITEMS = fields("item_id long, item long, plain string, length int")
-GRAMS = fields("item long, length int, place int, gram long")
-HITS = fields("doc_id long, row long, start int, stretch string, places ints, grams longs")
+ITEMS = fields("item_id long, item long, plain string, length int, class int")
+GRAMS = fields("item long, length int, class int, place int, gram long")
+HITS = fields("doc_id long, row long, class int, start int, stretch string, places ints, grams longs")
+SHORT = fields("doc_id long, row long, plain string, start int")
+PASSAGES = ("doc_id", "item_id", "edits", "start", "finish", "row")
 FOUND = fields("doc_id long, row long, item_id long, edits int, start int, finish int")
 
 
@@ -69,9 +79,14 @@ def gram_hashes(text: str) -> np.ndarray:
 def _items(columns: dict) -> Iterator[tuple]:
     for item_id, text in zip(columns["item_id"], columns["text"], strict=True):
         form = plain(text or "")
-        if len(form) >= Q:
+        if form:
             key = int(np.int64(hash_of(form) ^ np.int64(0 if item_id is None else item_id)))
-            yield item_id, key, form, len(form)
+            yield item_id, key, form, len(form), class_of(len(form))
+
+
+def class_of(length: int) -> int:
+    """The length class of an item; 0 for those shorter than a gram."""
+    return length.bit_length() if length >= Q else 0
 
 
 def hash_of(text: str) -> np.int64:
@@ -81,19 +96,27 @@ def hash_of(text: str) -> np.int64:
 
 
 def _grams(columns: dict) -> Iterator[tuple]:
-    for item, form, length in zip(columns["item"], columns["plain"], columns["length"], strict=True):
-        for place, gram in enumerate(gram_hashes(form).view(np.int64).tolist()):
-            yield item, length, place, gram
+    for item, form, length, kind in zip(
+        *(columns[c] for c in ("item", "plain", "length", "class")), strict=True
+    ):
+        grams = gram_hashes(form).view(np.int64).tolist() if kind else [int(hash_of(form))]
+        for place, gram in enumerate(grams):
+            yield item, length, kind, place, gram
 
 
 @dataclass(frozen=True)
 class Sieve:
-    """Which grams the benchmark may hold (bits by a gram's leading bits), and the search window."""
+    """Which grams a class of items may hold (bits by a gram's leading bits), and its search window.
 
+    Of items shorter than a gram it holds whole items; ``counts`` are their numbers of words.
+    """
+
+    kind: int
     bits: int
     words: object
     least: int
     longest: int
+    counts: tuple[int, ...]
 
     def hits(self, grams: np.ndarray, words: np.ndarray) -> np.ndarray:
         slot = grams >> np.uint64(64 - self.bits)
@@ -101,12 +124,22 @@ class Sieve:
         return np.flatnonzero((word >> (slot & np.uint64(63))) & np.uint64(1))
 
 
-def build_sieve(items: DataFrame, grams: DataFrame) -> Sieve | None:
-    """None for a benchmark without items. Its bits reach the driver in words, at most 2**21."""
-    size = items.agg(F.sum("length").alias("all"), F.max("length").alias("most")).first()
-    if not size["all"]:
-        return None
-    lengths = [r.length for r in items.select("length").distinct().collect()]
+def build_sieves(items: DataFrame, grams: DataFrame) -> list[Sieve]:
+    """One per length class; none for a benchmark without items.
+
+    Classes are as many as the longest item has binary digits, at most.
+    """
+    sizes = items.groupBy("class").agg(
+        F.sum("length").alias("all"), F.max("length").alias("most"), F.min(
+            F.col("length") + 1 - Q - F.floor(F.col("length") * EDIT_SHARE).cast("int") * Q
+        ).alias("least"),
+    ).orderBy("class").collect()
+    return [_sieve(items.where(F.col("class") == size["class"]), grams.where(F.col("class") == size["class"]), size)
+            for size in sizes]
+
+
+def _sieve(items: DataFrame, grams: DataFrame, size) -> Sieve:
+    """The bits reach the driver in words, at most 2**21."""
     bits = min(MOST_BITS, max(16, int(size["all"]).bit_length() + 4))
     rows = (
         grams.select(F.shiftrightunsigned("gram", 64 - bits).alias("slot"))
@@ -117,26 +150,50 @@ def build_sieve(items: DataFrame, grams: DataFrame) -> Sieve | None:
     words = np.zeros(1 << (bits - 6), np.int64)
     words[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     longest = int(size["most"])
+    counts: tuple[int, ...] = ()
+    if not size["class"]:
+        # Fewer characters than a gram: a handful of word counts.
+        told = items.select(F.size(F.split("plain", " ")).alias("n")).distinct().collect()
+        counts = tuple(sorted(r["n"] for r in told))
     return Sieve(
-        bits, items.sparkSession.sparkContext.broadcast(words.tobytes()),
-        min(map(least_shared, lengths)), longest + edits_of(longest),
+        size["class"], bits, items.sparkSession.sparkContext.broadcast(words.tobytes()),
+        int(size["least"]), longest + edits_of(longest), counts,
     )
 
 
-def _hits(columns: dict, sieve: Sieve) -> Iterator[tuple]:
-    words = np.frombuffer(sieve.words.value, np.uint64)
-    need, span = sieve.least, sieve.longest
+def _hits(columns: dict, sieves: list[Sieve]) -> Iterator[tuple]:
+    bits = [np.frombuffer(sieve.words.value, np.uint64) for sieve in sieves]
     for doc_id, row, text in zip(columns["doc_id"], columns["row"], columns["text"], strict=True):
         form = plain(text or "")
         grams = gram_hashes(form)
-        at = sieve.hits(grams, words)
-        for first, last in dense(at, need, span):
-            start, end = max(0, first - span), min(len(form), last + Q + span)
-            inside = at[(at >= start) & (at <= end - Q)]
-            yield (
-                doc_id, row, start, form[start:end], (inside - start).tolist(),
-                grams[inside].view(np.int64).tolist(),
-            )
+        for sieve, words in zip(sieves, bits, strict=True):
+            at = sieve.hits(grams, words)
+            for first, last in dense(at, sieve.least, sieve.longest):
+                start = max(0, first - sieve.longest)
+                end = min(len(form), last + Q + sieve.longest)
+                inside = at[(at >= start) & (at <= end - Q)]
+                yield (
+                    doc_id, row, sieve.kind, start, form[start:end], (inside - start).tolist(),
+                    grams[inside].view(np.int64).tolist(),
+                )
+
+
+def _short_hits(columns: dict, sieve: Sieve) -> Iterator[tuple]:
+    """Runs of whole words that may be an item, each once, at its first place."""
+    words = np.frombuffer(sieve.words.value, np.uint64)
+    for doc_id, row, text in zip(columns["doc_id"], columns["row"], columns["text"], strict=True):
+        parts = plain(text or "").split()
+        starts = [0, *accumulate(len(part) + 1 for part in parts)]
+        runs: dict[str, int] = {}
+        for n in sieve.counts:
+            for i in range(len(parts) - n + 1):
+                if starts[i + n] - starts[i] <= Q:
+                    runs.setdefault(" ".join(parts[i : i + n]), starts[i])
+        if runs:
+            hashes = np.array([hash_of(run) for run in runs]).view(np.uint64)
+            listed = list(runs.items())
+            for k in sieve.hits(hashes, words).tolist():
+                yield doc_id, row, *listed[k]
 
 
 def dense(at: np.ndarray, need: int, span: int) -> list[tuple[int, int]]:
@@ -213,8 +270,9 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     The places are in the document's plain form, of the match with fewest edits, the leftmost of
     equals. ``row`` is the key of (doc_id, text), so rows that repeat give one result and rows
-    without id are told apart. Null or empty texts and items hold nothing; items whose plain form
-    has fewer than ``Q`` characters are left out; empty tables give none; other columns are ignored.
+    without id are told apart. Null or empty texts and items, and those of punctuation only, hold
+    nothing; an item with fewer than ``Q`` characters counts as whole words without an edit; empty
+    tables give none; other columns are ignored.
     """
     spark = docs.sparkSession
     items = staged(
@@ -223,29 +281,45 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             _items, ITEMS,
         ).distinct(), "items",
     )
-    grams = staged(map_rows(items.select("item", "plain", "length"), _grams, GRAMS), "grams")
-    sieve = build_sieve(items, grams)
-    if sieve is None:
-        return spark.createDataFrame([], FOUND)
-    hits = staged(map_rows(keyed(docs), _hits, HITS, sieve, rows=256), "hits")
-    hits = hits.withColumn("hit", F.xxhash64("doc_id", "row", "start")).dropDuplicates(["hit"])
+    grams = staged(map_rows(items.select("item", "plain", "length", "class"), _grams, GRAMS), "grams")
+    sieves = build_sieves(items, grams)
+    found = [_short(docs, items, s) for s in sieves if not s.kind]
+    if long := [s for s in sieves if s.kind]:
+        found.append(_long(docs, items, grams, long))
+    if not found:
+        return spark.createDataFrame([], FOUND).select(*PASSAGES)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _short(docs: DataFrame, items: DataFrame, sieve: Sieve) -> DataFrame:
+    hits = map_rows(keyed(docs), _short_hits, SHORT, sieve).dropDuplicates(["doc_id", "row", "plain"])
+    short = items.where(F.col("class") == 0).select("item_id", "plain", "length").distinct()
+    return hits.join(short, "plain").select(
+        "doc_id", "item_id", F.lit(0).alias("edits"), "start", (F.col("start") + F.col("length")).alias("finish"), "row"
+    )
+
+
+def _long(docs: DataFrame, items: DataFrame, grams: DataFrame, sieves: list[Sieve]) -> DataFrame:
+    hits = staged(map_rows(keyed(docs), _hits, HITS, sieves, rows=256), "hits")
+    keys = ("doc_id", "row", "class", "start")
+    hits = hits.withColumn("hit", F.xxhash64(*keys)).dropDuplicates(keys)
     each = hits.select(
-        "hit", F.explode(F.arrays_zip("places", "grams")).alias("one")
-    ).select("hit", F.col("one.places").alias("at"), F.col("one.grams").alias("gram"))
+        "hit", "class", F.explode(F.arrays_zip("places", "grams")).alias("one")
+    ).select("hit", "class", F.col("one.places").alias("at"), F.col("one.grams").alias("gram"))
     budget = F.floor(F.col("length") * EDIT_SHARE).cast("int")
     bound = F.col("length") + 1 - Q - budget * Q
     diagonal = F.floor((F.col("at") - F.col("place")) / (budget + 1)).cast("int")
     candidates = (
-        each.join(grams, "gram")
+        each.join(grams, ["gram", "class"])
         .select("hit", "item", "length", F.explode(F.array(diagonal - 1, diagonal)).alias("band"))
         .groupBy("hit", "item", "length", "band").count()
         .where(F.col("count") >= bound).select("hit", "item", "band")
     )
-    ready = candidates.join(hits.drop("places", "grams"), "hit").join(items.drop("length"), "item")
+    ready = candidates.join(hits.drop("places", "grams", "class"), "hit").join(items.drop("length", "class"), "item")
     best = F.min(F.struct("edits", "start", "finish")).alias("best")
     return (
         map_rows(ready, _verified, FOUND).groupBy("doc_id", "row", "item_id").agg(best)
-        .select("doc_id", "item_id", "best.edits", "best.start", "best.finish", "row")
+        .select("doc_id", "item_id", "best.edits", "best.start", "best.finish", "row").select(*PASSAGES)
     )
 
 
@@ -258,7 +332,14 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of documents that hold no item, with all their columns."""
-    gone = passages(docs, benchmark).select("row").distinct().hint("merge")
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.join(gone, key == gone["row"], "left_anti")
+    """The rows of documents that hold no item, with all their columns.
+
+    Null and empty texts hold nothing and stay, as do all rows of an empty benchmark; rows that repeat stay
+    or go together; rows without doc_id are judged by their text.
+    """
+    gone = passages(docs, benchmark).select("doc_id", "row").distinct().hint("merge")
+    doc_id = F.col("doc_id").cast("long")
+    key = F.xxhash64(doc_id, F.col("text").cast("string"))
+    left = docs.select("*", doc_id.alias(OWN), key.alias(OWN_KEY))
+    on = (left[OWN_KEY] == gone["row"]) & left[OWN].eqNullSafe(gone["doc_id"])
+    return left.join(gone, on, "left_anti").drop(OWN, OWN_KEY)

@@ -100,3 +100,39 @@ def test_two_passages_in_one_long_text(spark, documents):
     benchmark = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
     got = D.passages(documents([(5, text)]), benchmark).collect()
     assert {(r.item_id, r.edits) for r in got} == {(1, 0), (2, 0)}
+
+
+def test_short_items_are_whole_words(spark, documents):
+    """Items with fewer characters than a gram, one of them of two words, one with another's words."""
+    benchmark = spark.createDataFrame(
+        [(1, "Zebra!"), (2, "red  fox"), (3, "fox"), (4, "..."), (5, "a much longer item of many plain words")],
+        "item_id long, text string",
+    )
+    docs = documents([
+        (1, "the zebra's hat"), (2, "zebras"), (3, "A red-fox, a red fox"), (4, "red foxes"), (5, "..."), (None, "fox"),
+        (6, "zebr a"), (7, None), (8, "it is a much longer item of many plain words."),
+    ])
+    found = D.passages(docs, benchmark)
+    got = sorted(((r.doc_id, r.item_id, r.edits, r.start, r.finish) for r in found.collect()), key=repr)
+    assert got == sorted(
+        [(1, 1, 0, 4, 9), (3, 2, 0, 2, 9), (3, 3, 0, 6, 9), (None, 3, 0, 0, 3), (8, 5, 0, 6, 44)], key=repr
+    )
+    kept = D.keep_clean(docs, benchmark).collect()
+    assert sorted(r.doc_id for r in kept) == [2, 4, 5, 6, 7]
+
+
+def test_a_short_item_widens_no_other_search(spark, documents):
+    source = random.Random(11)
+    items = [(i, prose(40, source)) for i in range(8)]
+    docs = documents([(k, f"{prose(300, source)} a dozen letters {items[k % 8][1] if k % 5 == 0 else ''}") for k in range(40)])
+
+    def stretches(rows):
+        frame = spark.createDataFrame(rows, "item_id long, text string")
+        forms = D.map_rows(frame, D._items, D.ITEMS)
+        sieves = D.build_sieves(forms, D.map_rows(forms.select("item", "plain", "length", "class"), D._grams, D.GRAMS))
+        hits = D.map_rows(D.keyed(docs), D._hits, D.HITS, [s for s in sieves if s.kind])
+        return [(r["class"], len(r.stretch)) for r in hits.collect()]
+
+    alone, mixed = stretches(items), stretches([*items, (90, "a dozen letters")])
+    assert len(alone) >= 8 and sorted(alone) == sorted(h for h in mixed if h[0] != D.class_of(15))
+    assert all(size <= 15 + 2 * 15 + 2 for kind, size in mixed if kind == D.class_of(15))
