@@ -37,7 +37,7 @@ MIN_BELIEF = 0.85
 MOST_BITS = 27
 """The sieve of patterns that is sent to all executors has at most 2**27 bits (16 MiB)."""
 WINDOW = 80
-"""Characters before an instance that are looked at for its context."""
+"""Characters before an instance that are looked at first for its context; more where words are longer."""
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -49,7 +49,7 @@ GLUE = re.compile(r"[^\w](?=.)", re.DOTALL)
 
 # Looser shapes for identifiers the base patterns don't know.
 OPEN_EMAIL = re.compile(
-    r"[\w.%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[\w-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[\w-]{1,63}){0,8}",
+    r"(?<![\w.%+-])[\w.%+-]++ ?(?:@|\(at\)|\[at\]) ?[\w-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[\w-]++)*+",
     re.IGNORECASE,
 )
 OPEN_IP = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}(?![\w:])")
@@ -164,8 +164,15 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def contexts(text: str, start: int) -> tuple[str, str]:
-    """The word and the two words before a place, lower-cased; empty where there are none."""
-    words = text[max(0, start - WINDOW) : start].lower().split()[-2:]
+    """The word and the two words before a place, lower-cased, whole; empty where there are none."""
+    size = WINDOW
+    while True:
+        before = text[max(0, start - size) : start]
+        # Two whole words: what stands before them, too, or white space, or the text's begin.
+        if size >= start or len(before.split(None, 2)) > 2 or (before[:1].isspace() and len(before.split()) == 2):
+            break
+        size *= 4
+    words = before.lower().split()[-2:]
     return words[-1] if words else "", " ".join(words) if len(words) == 2 else ""
 
 
@@ -197,12 +204,20 @@ class _Stands(dict):
         self.shift, self.sieve = 32 - bits, sieve
 
     def passes(self, pattern: str) -> int:
-        slot = zlib.crc32(pattern.encode("utf-8", "surrogatepass")) >> self.shift
+        return self.holds(zlib.crc32(pattern.encode("utf-8", "surrogatepass")))
+
+    def holds(self, crc: int) -> int:
+        slot = crc >> self.shift
         return self.sieve[slot >> 3] >> (slot & 7) & 1
 
     def __missing__(self, word: str) -> list[str]:
-        starts = [word[: m.end()] for m in GLUE.finditer(word, 0, WINDOW + 1)]
-        self[word] = found = [c for c in (word, *starts) if self.passes(c)]
+        # One pass over a word of any length: each begin's checksum goes on from the last one's.
+        found, crc, at = [], 0, 0
+        for end in (*(m.end() for m in GLUE.finditer(word)), len(word)):
+            crc, at = zlib.crc32(word[at:end].encode("utf-8", "surrogatepass"), crc), end
+            if self.holds(crc):
+                found.append(word[:end])
+        self[word] = found
         return found
 
 
@@ -236,14 +251,14 @@ class Discovery:
 
     def _mentions(self) -> DataFrame:
         zipped = F.arrays_zip("kinds", "starts", "ends", "seeds", "values", "ones", "twos")
-        return self.rows.select("row", F.explode(zipped).alias("m")).select(
-            "row", F.col("m.kinds").alias("kind"), F.col("m.starts").alias("start"),
+        return self.rows.select("doc_id", "row", F.explode(zipped).alias("m")).select(
+            "doc_id", "row", F.col("m.kinds").alias("kind"), F.col("m.starts").alias("start"),
             F.col("m.ends").alias("end"), F.col("m.seeds").alias("seed"),
             F.col("m.values").alias("value"), F.array("m.ones", "m.twos").alias("patterns"),
         )
 
     def _bootstrap(self) -> DataFrame:
-        """(row, kind, start, end) of open instances that come to be believed.
+        """(doc_id, row, kind, start, end) of open instances that come to be believed.
 
         ``seed`` is 1 for a seed, -1 for a known negative, 0 for what is undecided. A number whose check
         digit fails speaks against a pattern of cards, but is one (mistyped) behind a trusted pattern.
@@ -260,7 +275,7 @@ class Discovery:
                 F.count("*").alias("values"), F.count_if(F.col("seed") == 1).alias("seeds"), F.sum("times").alias("named")
             ).where((F.col("values") >= MIN_SUPPORT) & (F.col("values") > F.col("seeds"))), "patterns",
         )
-        nothing = mentions.select("row", "kind", "start", "end").where(F.lit(False))
+        nothing = mentions.select("doc_id", "row", "kind", "start", "end").where(F.lit(False))
         if patterns.isEmpty():
             return nothing
         specific = staged(
@@ -291,7 +306,7 @@ class Discovery:
         return (
             mentions.where("seed = 0 or seed < 0 and kind = 'card'").join(sure, ["kind", "value"])
             .withColumn("pattern", F.explode("patterns")).join(specific, ["kind", "pattern"], "left_semi")
-            .select("row", "kind", "start", "end").distinct()
+            .select("doc_id", "row", "kind", "start", "end").distinct()
         )
 
     def _totals(self, patterns: DataFrame) -> DataFrame:
@@ -315,13 +330,16 @@ class Discovery:
 
     def spans(self) -> DataFrame:
         """Per input row: doc_id, base counts and digest, all spans."""
-        more = self.added.groupBy("row").agg(
+        more = self.added.groupBy("doc_id", "row").agg(
             F.collect_list(F.struct("kind", "start", "end")).alias("more")
-        )
+        ).withColumnsRenamed({"doc_id": "its_doc_id", "row": "its_row"})
         base = F.filter(F.split("spans", ","), lambda s: s != "").alias("base")
         rows = self.rows.select(
             "doc_id", "row", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", base
-        ).join(more, "row", "left")
+        )
+        rows = rows.join(
+            more, (rows["row"] == more["its_row"]) & rows["doc_id"].eqNullSafe(more["its_doc_id"]), "left"
+        )
         rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
         every = F.transform(
             F.array_sort(F.concat(
@@ -388,7 +406,9 @@ def _redacted(columns: dict, text_at: int, size_at: int) -> Iterator[tuple]:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced by its kind; ``n_chars``, if there, follows.
 
-    Base spans are found again where the text is read; only added ones, if any, are joined.
+    Base spans are found again where the text is read; only added ones, if any, are joined. Null and empty
+    texts stay as they are; rows that repeat or have no id are each answered; an empty table gives none; all
+    other columns, whatever their names, pass through.
     """
     added = staged(Discovery(docs).added, "added")
     names = docs.columns
@@ -396,8 +416,9 @@ def redact(docs: DataFrame) -> DataFrame:
     if added.isEmpty():
         return map_rows(docs, _redacted, docs.schema, *places)
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    more = added.groupBy("row").agg(
+    more = added.groupBy(F.col("doc_id").alias("its doc_id"), F.col("row").alias("its row")).agg(
         F.collect_list(F.concat_ws(":", "kind", "start", "end")).alias("more personal")
     )
-    joined_rows = docs.join(more, key == more["row"], "left").drop(more["row"])
+    mine = (key == more["its row"]) & F.col("doc_id").cast("long").eqNullSafe(more["its doc_id"])
+    joined_rows = docs.join(more, mine, "left").drop("its doc_id", "its row")
     return map_rows(joined_rows, _redacted, docs.schema, *places)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from candlemill.llm import pii
 
@@ -137,3 +138,24 @@ def test_redaction_replaces_base_and_added_spans(documents):
 
 def test_overlapping_spans_are_one_mark():
     assert pii.redacted("abcdefgh", [("card", 2, 5), ("phone", 1, 4), ("ip", 6, 7)]) == "a[PHONE]f[IP]h"
+
+
+def test_contexts_are_whole_words_of_any_length():
+    long = "w" * 500
+    assert pii.contexts(f"see {long}: +1", 505 + 1) == (f"{long}:", f"see {long}:")
+    assert pii.contexts(f"{long} id {long}#77", 2 * 500 + 5) == (f"{long}#", f"id {long}#")
+    assert pii.contexts("one two three four 5", 19) == ("four", "three four")
+    assert pii.contexts("   5", 3) == ("", "")
+    assert pii.contexts("x 5", 2) == ("x", "")
+    stands = pii._Stands(16, b"\xff" * (1 << 13))
+    assert stands["ab:cd#x"] == ["ab:", "ab:cd#", "ab:cd#x"]
+
+
+def test_loose_addresses_may_be_long():
+    name, domain = "n" * 300, ".".join(["part" * 30] * 20)
+    text = f"write {name}(at){domain} now"
+    assert pii.open_spans(text) == [("email", 6, 6 + len(name) + 4 + len(domain))]
+    began = time.process_time()
+    assert len(pii.open_spans("x" * 300_000 + " (at) " + "y" * 10)) == 1
+    assert len(pii.open_spans("x.@" * 100_000)) > 0
+    assert time.process_time() - began < 20
