@@ -9,9 +9,9 @@ One way serves files of every size, and no step needs a whole file in a task:
 * the neighbour of a row is looked up inside a stretch of ``STRETCH`` grid slots, and
   across stretches through a table that holds one row per stretch.
 
-A file whose rows span far more slots than the period in its name (times in another unit, say) would
-fill a huge grid; ``oversized_grids`` tells such files, and a run rejects them. A name without a date
-names no period, and its file is taken as it is.
+Times are milliseconds. A file in microseconds would fill a huge grid with a wrong step; ``foreign_units``
+tells such files by the size of their times, and a run rejects them. A file that spans more than the day
+or month in its name is taken as it is.
 """
 
 from __future__ import annotations
@@ -19,17 +19,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlemill.functions.names import date_of, is_monthly
 from candlemill.functions.ohlc import invalid_reasons, is_valid_candle
-from candlemill.functions.times import DAY_MS, floor_div
+from candlemill.functions.times import floor_div
 from candlemill.operators.keyed import first_per_key
 from candlemill.schema import VOLUMES, interval_ms
 
 # Grid slots per stretch: bounds the rows one window group can hold.
 STRETCH = 1024
 REPORTED_PER_FILE = 10
-# A grid may be so many times as long as the period in the file's name.
-GRID_SLACK = 2
+# Milliseconds stay below this until the year 5138; microseconds of any day since 1973 do not.
+NO_MS = 100_000_000_000_000
 
 # Each column of the candle ``_slot`` steps behind a row; in slot 0 that is the row itself.
 _FILLED = {
@@ -74,22 +73,11 @@ def clean(df: DataFrame, step_ms: int | None = None) -> DataFrame:
     return fill_gaps(keep_valid(keep_first(df)), step_ms)
 
 
-def oversized_grids(df: DataFrame) -> DataFrame:
-    """Files whose valid rows span more than ``GRID_SLACK`` times the slots of their named period.
-
-    The period is the name's day, or its month; a file whose name has no date is never told.
-    """
-    extent = keep_valid(df).groupBy("src_path", "interval").agg(
-        F.min("open_time").alias("_start"), F.max("open_time").alias("_end")
-    )
-    path = F.col("src_path")
-    period = F.when(is_monthly(path), 31 * DAY_MS).otherwise(DAY_MS)
-    dated = extent.where(date_of(path).isNotNull())
-    wide = dated.withColumn("_step", interval_ms(F.col("interval"))).where(
-        _slots() > GRID_SLACK * F.ceil(period / F.col("_step"))
-    )
-    reason = F.concat(F.lit("times span "), _slots().cast("string"), F.lit(" slots, beyond the named period"))
-    return wide.select("src_path", reason.alias("reason"))
+def foreign_units(df: DataFrame) -> DataFrame:
+    """Files with a valid row whose time is too large to be in milliseconds, and the reason."""
+    reason = F.concat(F.lit("times are not in milliseconds: "), F.max("open_time").cast("string"))
+    foreign = keep_valid(df).filter(F.abs("open_time") >= NO_MS)
+    return foreign.groupBy("src_path").agg(reason.alias("reason"))
 
 
 def cleaning_stats(df: DataFrame, step_ms: int | None = None) -> DataFrame:

@@ -50,9 +50,23 @@ def stored_days(klines: DataFrame) -> DataFrame:
     return klines.select("symbol", "interval", utc_day(F.col("open_time")).alias("day")).distinct()
 
 
-def stored_periods(klines: DataFrame) -> DataFrame:
-    """Every stored day and every stored month as one set of period keys."""
-    return stored_days(klines).select("symbol", "interval", _periods_of_day()).distinct()
+def committed_days(entries: DataFrame, runs: DataFrame) -> DataFrame:
+    """Distinct (symbol, interval, day) of entries whose run is finished."""
+    finished = entries.join(runs.select("run").distinct(), "run", "left_semi")
+    return finished.select("symbol", "interval", "day").distinct()
+
+
+def open_files(files: DataFrame, runs: DataFrame) -> DataFrame:
+    """Files (run, src_path) of unfinished runs that no finished run has taken as well."""
+    done = runs.select("run").distinct()
+    taken = files.join(done, "run", "left_semi").select("src_path").distinct()
+    begun = files.join(done, "run", "left_anti").select("src_path").distinct()
+    return begun.join(taken, "src_path", "left_anti")
+
+
+def stored_periods(days: DataFrame) -> DataFrame:
+    """Every stored day and its month as one set of period keys."""
+    return days.select("symbol", "interval", _periods_of_day()).distinct()
 
 
 def with_period(described: DataFrame) -> DataFrame:
@@ -72,18 +86,34 @@ def _period(kind: Column, first_day: Column) -> Column:
     return F.concat(kind, first_day.cast("string"))
 
 
-def has_data(described: DataFrame, klines: DataFrame) -> DataFrame:
-    """Files whose day (or month, for a monthly name) is already stored."""
+def has_data(described: DataFrame, days: DataFrame) -> DataFrame:
+    """Files whose day (or month, for a monthly name) is among the stored (symbol, interval, day)."""
     wanted = with_period(described)
-    return wanted.join(stored_periods(klines), _PERIOD, "left_semi").drop("period")
+    return wanted.join(stored_periods(days), _PERIOD, "left_semi").drop("period")
 
 
-def skip_existing(described: DataFrame, klines: DataFrame, force: bool = False) -> DataFrame:
+def skip_existing(described: DataFrame, days: DataFrame, force: bool = False) -> DataFrame:
     """Files still to be read; names without a date are never skipped."""
     if force:
         return described
     wanted = with_period(described)
-    return wanted.join(stored_periods(klines), _PERIOD, "left_anti").drop("period")
+    return wanted.join(stored_periods(days), _PERIOD, "left_anti").drop("period")
+
+
+def has_day(days: DataFrame, symbol: str, interval: str, day: date) -> bool:
+    """Is the UTC day among the stored ones; False for an unknown interval."""
+    return _has_days(days, symbol, interval, F.col("day") == F.lit(day))
+
+
+def has_month(days: DataFrame, symbol: str, interval: str, year: int, month: int) -> bool:
+    return _has_days(days, symbol, interval, F.trunc("day", "month") == F.lit(date(year, month, 1)))
+
+
+def _has_days(days: DataFrame, symbol: str, interval: str, when: Column) -> bool:
+    if interval not in INTERVAL_MS:
+        return False
+    found = days.filter((F.col("symbol") == symbol) & (F.col("interval") == interval) & when)
+    return not found.select("symbol").isEmpty()
 
 
 def has_data_for_day(klines: DataFrame, symbol: str, interval: str, day: date) -> bool:

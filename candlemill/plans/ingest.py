@@ -2,7 +2,9 @@
 
 One run unzips each archive once into a staged table; everything later (rejects,
 statistics, cleaning, the skip rules) reads that table column by column. Staged tables
-live in the shared folder, so a lost executor costs a task and not the run.
+live in the shared folder, so a lost executor costs a task and not the run. What is stored
+already is asked of the ledger (``sinks.ledger``): only days of finished runs count, so a run
+that died is made up for by the next one over its files.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlemill.functions.times import utc_day
-from candlemill.operators.clean import clean, cleaning_stats, oversized_grids
+from candlemill.operators.clean import clean, cleaning_stats, foreign_units
 from candlemill.operators.existing import (
     has_data,
     marker_files,
@@ -25,6 +27,7 @@ from candlemill.operators.existing import (
 )
 from candlemill.operators.reports import run_totals
 from candlemill.session import Staging, use_utc
+from candlemill.sinks.ledger import Ledger
 from candlemill.sinks.tables import mark_ingested, write_klines
 from candlemill.sources.kline_files import (
     good_rows,
@@ -33,9 +36,8 @@ from candlemill.sources.kline_files import (
     typed_lines,
     unzip_lines,
 )
-from candlemill.sources.paths import exists, make_folder, remove_folder
 from candlemill.sources.markers import marker_names
-from candlemill.sources.tables import ingested_markers, kline_table
+from candlemill.sources.tables import ingested_markers
 
 # Archives named in one condition on file metadata; a run takes as many groups as it needs.
 PATHS_AT_ONCE = 20_000
@@ -97,24 +99,29 @@ def _ingest(
     if "place" not in archives.columns:
         archives = archives.withColumn("place", path_order(F.col("src_path")))
     listed = staging(archives.drop("content"), "files")
+    ledger = Ledger(spark, table)
+    ledger.adopt()
     skipped_already = None
     if not force:
-        stored = _months_of(listed, kline_table(spark, table))
+        stored = _months_of(listed, ledger)
         skipped_already = staging(has_data(listed, stored).select("src_path"), "stored")
 
     typed = _typed(archives, listed, skipped_already, staging)
     spoiled = staging(rejected_files(typed), "spoiled")
     read_rows = good_rows(typed, spoiled)
-    rejected = staging(spoiled.unionByName(oversized_grids(read_rows)), "rejected")
+    rejected = staging(spoiled.unionByName(foreign_units(read_rows)), "rejected")
     rows = good_rows(typed, rejected)
     stats = staging(cleaning_stats(rows), "stats")
     cleaned = staging(clean(rows), "cleaned")
 
+    days = staging(
+        cleaned.select("src_path", "symbol", "interval", utc_day(F.col("open_time")).alias("day")).distinct(), "days"
+    )
     kept_stats, skipped = stats, 0
     if not force:
-        days = cleaned.select("src_path", utc_day(F.col("open_time")).alias("day")).distinct()
         read = listed.join(stats.select("src_path"), "src_path", "left_semi")
-        redundant = staging(skipped_in_run(read, days, staging), "redundant")
+        redundant = staging(skipped_in_run(read, days.select("src_path", "day"), staging), "redundant")
+        days = days.join(redundant, "src_path", "left_anti")
         cleaned = cleaned.join(redundant, "src_path", "left_anti")
         kept_stats = stats.join(redundant, "src_path", "left_anti")
         skipped = skipped_already.count() + redundant.count()
@@ -124,7 +131,9 @@ def _ingest(
     if skipped_already is not None:
         seen = seen.union(listed.join(skipped_already, "src_path", "left_semi").select("symbol"))
     if not dry_run and totals["records_written"] > 0:
+        run = ledger.begin(kept_stats)
         write_klines(cleaned, table)
+        ledger.commit(run, days, totals["records_written"])
     return IngestStats(
         symbols_processed=seen.distinct().count(),
         records_written=0 if dry_run else totals["records_written"],
@@ -137,8 +146,8 @@ def _ingest(
     )
 
 
-def _months_of(listed: DataFrame, stored: DataFrame) -> DataFrame:
-    """The part of the table the files are about, by partition.
+def _months_of(listed: DataFrame, ledger: Ledger) -> DataFrame:
+    """The stored days of the months the files are about.
 
     The months and intervals in file names are few (a calendar's worth), so they become
     literals and prune partitions before anything is read.
@@ -147,9 +156,7 @@ def _months_of(listed: DataFrame, stored: DataFrame) -> DataFrame:
     month = (F.year(day) * 100 + F.month(day)).alias("month")
     named = listed.filter(F.col("date").isNotNull()).select("interval", month).distinct().collect()
     months, intervals = {row["month"] for row in named}, {row["interval"] for row in named}
-    return stored.filter(
-        F.col("month").isin(sorted(months)) & F.col("interval").isin(sorted(intervals))
-    )
+    return ledger.days(sorted(intervals), sorted(months))
 
 
 def _typed(
@@ -181,18 +188,13 @@ def ingest_pending(
     """Ingest the files of all pending markers in one run; returns the marker names.
 
     Files count in marker order, oldest first. Markers are recorded after their files
-    are stored; a failure leaves them pending. A run after one that died takes all its files
-    again, as a part of their rows may be stored; rows written twice resolve to one on read.
+    are stored; a failure leaves them pending, and the next run takes again what was not finished.
     """
     use_utc(spark)
     pending = pending_markers(marker_names(spark, data), ingested_markers(spark, state))
     names = [row["name"] for row in pending.collect()]
     if not names:
         return [], IngestStats()
-    begun = f"{state.rstrip('/')}-begun"
-    again = exists(spark, begun)
-    make_folder(spark, begun)
-    stats = ingest_archives(marker_files(pending, list_archives(spark, data)), table, force=again)
+    stats = ingest_archives(marker_files(pending, list_archives(spark, data)), table)
     mark_ingested(spark.createDataFrame([(name,) for name in names], "name string"), state)
-    remove_folder(spark, begun)
     return names, stats

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from datetime import datetime
+from datetime import date, datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlemill.operators import factors, klines, snapshots
+from candlemill.operators import existing, factors, klines, snapshots
+from candlemill.operators.existing import stored_days
 from candlemill.plans.factor_ingest import ingest_factors
 from candlemill.plans.ingest import IngestStats, ingest_directory, ingest_pending
 from candlemill.plans.report import LandingReport
 from candlemill.plans.snapshot_ingest import ingest_snapshots
 from candlemill.schema import FACTOR_WRITE_SOURCE
 from candlemill.session import Staging, use_utc
-from candlemill.sinks.tables import write_factors
+from candlemill.sinks.ledger import Ledger
+from candlemill.sinks.tables import write_factors, write_klines
 from candlemill.sources.tables import factor_table, kline_table, snapshot_table
 from candlemill.streaming.landing import stream_archives
 
@@ -105,6 +108,34 @@ class MarketStore:
         finally:
             staging.drop()
 
+    def write_klines(self, rows: DataFrame) -> None:
+        """Append candles and enter their days; rows that are stored nowhere are evaluated once more."""
+        ledger = Ledger(self.spark, self.klines_path)
+        ledger.adopt()
+        origin = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c)
+                  for c in ("src_path", "symbol", "interval")]
+        run = ledger.begin(rows.select(*origin).distinct())
+        write_klines(rows, self.klines_path)
+        ledger.commit(run, stored_days(rows), rows.count())
+
+    def has_day(self, symbol: str, interval: str, day: date) -> bool:
+        """Has a finished run stored a candle of the UTC day; no candle is read."""
+        month = day.year * 100 + day.month
+        return existing.has_day(self._days(interval, month), symbol, interval, day)
+
+    def has_month(self, symbol: str, interval: str, year: int, month: int) -> bool:
+        days = self._days(interval, year * 100 + month)
+        return existing.has_month(days, symbol, interval, year, month)
+
+    def _days(self, interval: str, month: int) -> DataFrame:
+        ledger = Ledger(self.spark, self.klines_path)
+        ledger.adopt()
+        return ledger.days([interval], [month])
+
+    def open_files(self) -> DataFrame:
+        """Archives of runs that died and that no later run has stored."""
+        return Ledger(self.spark, self.klines_path).open_files()
+
     def ingest_klines(self, source: str, **options) -> IngestStats:
         return ingest_directory(self.spark, source, self.klines_path, **options)
 

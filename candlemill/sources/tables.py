@@ -12,22 +12,22 @@ INGESTED = T.StructType([T.StructField("name", T.StringType())])
 
 
 def kline_table(spark: SparkSession, path: str) -> DataFrame:
-    return _table(spark, path, KLINE_TABLE)
+    return stored_table(spark, path, KLINE_TABLE)
 
 
 def factor_table(spark: SparkSession, path: str) -> DataFrame:
-    return _table(spark, path, FACTOR_TABLE)
+    return stored_table(spark, path, FACTOR_TABLE)
 
 
 def snapshot_table(spark: SparkSession, path: str) -> DataFrame:
-    return _table(spark, path, SNAPSHOT_TABLE)
+    return stored_table(spark, path, SNAPSHOT_TABLE)
 
 
 def ingested_markers(spark: SparkSession, path: str) -> DataFrame:
-    return _table(spark, path, INGESTED)
+    return stored_table(spark, path, INGESTED)
 
 
-def _table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table nothing was written to yet is empty."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)

@@ -2,8 +2,8 @@
 
 The checkpoint remembers which files were taken, so no marker bookkeeping is needed. An
 archive arrives whole and is cleaned by itself: there is no state between batches. A
-failed batch fails the query, so its files are taken again, whatever of them is stored
-already; rows written twice resolve to one on read.
+failed batch fails the query, so its files are taken again; what it left half-way does not
+count as stored (see ``sinks.ledger``), and rows written twice resolve to one on read.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from candlemill.operators.existing import described_files, filter_files
 from candlemill.plans.ingest import ingest_archives
 from candlemill.session import use_utc
 from candlemill.sources.kline_files import archives_at
-from candlemill.sources.paths import exists, make_folder, remove_folder, require_folder
+from candlemill.sources.paths import require_folder
 
 
 FILES_PER_BATCH = 5_000
@@ -64,16 +64,11 @@ def stream_archives(
     use_utc(spark)
     files = landing_files(spark, source, symbols, intervals, file_filter, files_per_batch)
 
-    def store(batch: DataFrame, number: int) -> None:
+    def store(batch: DataFrame, _number: int) -> None:
         session = batch.sparkSession
         paths = [row["src_path"] for row in batch.select("src_path").collect()]
         if paths:
-            # A batch that was begun before may have stored a part of its rows: take all again.
-            begun = f"{checkpoint.rstrip('/')}-begun"
-            again = exists(session, f"{begun}/{number}")
-            make_folder(session, f"{begun}/{number}")
-            ingest_archives(archives_at(session, paths), table, force or again)
-            remove_folder(session, f"{begun}/{number - 1}")
+            ingest_archives(archives_at(session, paths), table, force)
 
     writer = files.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:

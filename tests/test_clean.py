@@ -172,27 +172,17 @@ def test_plan_scans_rows_once_and_starts_no_job(spark, tmp_path):
     assert plan.count("ReusedExchange") >= 1
 
 
-def test_grids_beyond_the_named_period_are_told(spark):
-    minute, day = 60_000, 86_400_000
+def test_times_in_another_unit_are_told_and_long_spans_are_not(spark):
+    start, day = 1_704_067_200_000, 86_400_000
     files = {
-        "A-1m-2024-01-01.zip": [0, 1439 * minute], "B-1m-2024-01-01.zip": [0, 3000 * minute],
-        "C-1m-2024-01-01.zip": [0, 1000 * 1439 * minute], "D-1m-2024-01.zip": [0, 31 * day],
-        "E-1m-2024-01.zip": [0, 1000 * day], "F.zip": [0, 40 * day],
+        "A-1d-2024-01-01.zip": [start, start + day, start + 2 * day], "B-1h-2024-01-01.zip": [start, start + 400 * day],
+        "C-1m-2024-01-01.zip": [start * 1000, start * 1000 + 60_000_000], "D-1m.zip": [start, start * 1000],
+        "E-1m-2024-01.zip": [start // 1000], "F.zip": [0, 40 * day],
     }
     rows = kline_rows(spark, [dict(open_time=t, src_path=p) for p, ts in files.items() for t in ts])
-    found = {r["src_path"]: r["reason"] for r in clean.oversized_grids(rows).collect()}
-    assert found.keys() == {"B-1m-2024-01-01.zip", "C-1m-2024-01-01.zip", "E-1m-2024-01.zip"}
-    assert "3001 slots" in found["B-1m-2024-01-01.zip"]
-
-
-def test_undated_files_of_any_length_are_taken(spark):
-    """A year in one archive, and a name that only looks like a date."""
-    hour = 3_600_000
-    rows = kline_rows(spark, [
-        dict(open_time=t * hour, src_path=p, interval="1h")
-        for p in ("BTCUSDT-1h.zip", "BTCUSDT-1h-2024-13.zip", "BTCUSDT-1h-2024-01.zip") for t in range(365 * 24)
-    ])
-    assert [r["src_path"] for r in clean.oversized_grids(rows).collect()] == ["BTCUSDT-1h-2024-01.zip"]
+    found = {r["src_path"]: r["reason"] for r in clean.foreign_units(rows).collect()}
+    assert found.keys() == {"C-1m-2024-01-01.zip", "D-1m.zip"}
+    assert "not in milliseconds" in found["D-1m.zip"]
 
 
 def test_time_range_is_first_and_last_line(spark):

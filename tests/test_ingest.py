@@ -1,15 +1,17 @@
 import itertools
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
-from conftest import LINE_1, minute_lines
+from conftest import LINE_1, kline_rows, minute_lines
 from pyspark.sql import functions as F
 
 from candlemill import MarketStore
 from candlemill.operators import existing
 from candlemill.plans import ingest as ingest_plan
 from candlemill.session import Staging
+from candlemill.sinks.ledger import Ledger
 from candlemill.sinks.tables import compact_klines, write_klines
 from candlemill.sources.markers import is_ingested
 from candlemill.sources.tables import kline_table
@@ -93,9 +95,11 @@ def test_an_archive_in_another_unit_is_rejected(spark, tmp_path, zipped):
     fields = [line.split(",") for line in hours(0, 5)]
     micro = [",".join([f"{f[0]}000", *f[1:6], f"{f[6]}000", *f[7:]]) for f in fields]
     zipped(tmp_path / "s", "B-1h-2024-01-01", micro)
+    zipped(tmp_path / "s", "C-1d-2024-01-01", minute_lines(JAN_1, 3, step=DAY))
     store = MarketStore(spark, str(tmp_path / "store"))
     stats = store.ingest_klines(str(tmp_path / "s"))
-    assert (stats.records_written, stats.files_rejected) == (24, 1)
+    assert (stats.records_written, stats.files_rejected) == (27, 1)
+    assert store.get_klines("C", "1d").count() == 3
 
 
 def sequential(files, days):
@@ -237,3 +241,66 @@ def test_pending_markers_whose_run_died_half_way_are_completed(spark, tmp_path,
     store.ingest_pending(str(data))
     assert store.get_klines("A", "1h").count() == 24
     assert store.ingest_pending(str(data))[0] == []
+
+
+def test_a_directory_run_that_died_half_way_is_completed(spark, tmp_path, zipped, monkeypatch):
+    """The half-written day counts as stored for nobody; a finished one still does."""
+    source = tmp_path / "s"
+    zipped(source, "A-1h-2024-01-01", hours(0))
+    zipped(source, "B-1h-2024-01-01", hours(0))
+    store = MarketStore(spark, str(tmp_path / "store"))
+    store.ingest_klines(str(source), symbols=["B"])
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_plan, "write_klines", half_written)
+        with pytest.raises(RuntimeError):
+            store.ingest_klines(str(source))
+    assert store.get_klines("A", "1h").count() == 12
+    assert not store.has_day("A", "1h", date(2024, 1, 1)) and store.has_day("B", "1h", date(2024, 1, 1))
+    assert [r["src_path"][-19:] for r in store.open_files().collect()] == ["A-1h-2024-01-01.zip"]
+    stats = store.ingest_klines(str(source))
+    assert (stats.records_written, stats.files_skipped) == (24, 1)
+    assert store.get_klines("A", "1h").count() == 24
+    assert store.has_month("A", "1h", 2024, 1) and not store.has_month("A", "1h", 2024, 2)
+    assert not store.has_day("A", "2m", date(2024, 1, 1))
+    assert store.open_files().isEmpty() and store.ingest_klines(str(source)).files_skipped == 2
+
+
+def test_a_run_that_died_before_its_last_entry_is_taken_again(spark, tmp_path, zipped, monkeypatch):
+    zipped(tmp_path / "s", "A-1h-2024-01-01", hours(0))
+    store = MarketStore(spark, str(tmp_path / "store"))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Ledger, "commit", lost)
+        with pytest.raises(RuntimeError):
+            store.ingest_klines(str(tmp_path / "s"))
+    assert store.ingest_klines(str(tmp_path / "s")).records_written == 24
+    assert store.get_klines("A", "1h").count() == 24
+    assert kline_table(spark, store.klines_path).count() == 48
+
+
+def test_a_table_without_ledger_is_entered_once(spark, tmp_path, zipped):
+    zipped(tmp_path / "s", "A-1h-2024-01-01", hours(0))
+    store = MarketStore(spark, str(tmp_path / "store"))
+    write_klines(kline_rows(spark, [{"symbol": "A", "interval": "1h", "open_time": JAN_1}]), store.klines_path)
+    assert store.ingest_klines(str(tmp_path / "s")).files_skipped == 1
+    assert store.has_day("A", "1h", date(2024, 1, 1))
+    store.write_klines(kline_rows(spark, [{"symbol": "A", "interval": "1h", "open_time": JAN_1 + 40 * DAY}]))
+    assert store.has_month("A", "1h", 2024, 2) and store.get_klines("A", "1h").count() == 2
+
+
+def test_the_skip_rule_reads_no_candle(spark, tmp_path, zipped):
+    zipped(tmp_path / "s", "A-1h-2024-01-01", hours(0))
+    zipped(tmp_path / "s", "A-1h-2024-02-01", hours(31))
+    store = MarketStore(spark, str(tmp_path / "store"))
+    store.ingest_klines(str(tmp_path / "s"))
+    ledger = Ledger(spark, store.klines_path)
+    files = existing.described_files(spark.createDataFrame([("x/A-1h-2024-01-01.zip",)], "src_path string"))
+    kept = existing.skip_existing(files, ledger.days(["1h"], [202401]))
+    assert kept.isEmpty()
+    assert any("/klines-ledger/days/" in f for f in kept.inputFiles())
+    assert all("/klines-ledger/" in f for f in kept.inputFiles())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*month#\d+ = 202401", plan)
