@@ -1,19 +1,20 @@
 """Zipped kline CSVs: list, unzip, split, type.
 
-Only unzipping runs in Python, one archive at a time; everything after the raw line is
-column work.
+Only unzipping runs in Python, one archive at a time and block by block; cutting into lines and everything
+after it is column work. Executors reach archives through Spark alone (``binaryFile``), so they may lie
+wherever Spark can read.
 """
 
 from __future__ import annotations
 
-import io
+import codecs
 import re
 import zipfile
-from functools import reduce
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.numbers import NUMBER
@@ -21,9 +22,10 @@ from candlemill.operators.existing import described_files, filter_files
 from candlemill.schema import CSV_FIELDS, KLINE, LONG_FIELDS, MISSING_TEXT
 from candlemill.sources.paths import below_regex, exists, last_segment, require_folder
 
-LINES = "src_path string, symbol string, interval string, line_no long, line string, error string"
-# Lines handed to Spark at a time.
-_CHUNK = 20_000
+BLOCKS = "src_path string, symbol string, interval string, first_no long, text string, error string"
+# Bytes of a CSV handed to Spark at a time.
+BLOCK_BYTES = 1 << 20
+_FILLED_LINE = re.compile(rb"[^\n]*\S[^\n]*")
 
 
 # -------------------------------------------------------------------- listing
@@ -69,45 +71,56 @@ def unzip_lines(archives: DataFrame) -> DataFrame:
     """Non-blank lines of the first CSV member of each archive, numbered from 0.
 
     An archive that cannot be read to its end gives a row with ``error``; one without a
-    CSV member gives nothing.
+    CSV member gives nothing. Python hands on blocks of text that end with a line; they are cut into
+    lines here.
     """
-    return archives.select("src_path", "symbol", "interval", "content").mapInPandas(_unzip, LINES)
+    blocks = archives.select("src_path", "symbol", "interval", "content").mapInArrow(_unzipped, BLOCKS)
+    # Blank lines leave before the others are counted, as they did in the block's first number.
+    lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"\S"))
+    each = F.when(F.col("error").isNull(), lines).otherwise(F.array(F.lit(None).cast("string")))
+    return blocks.select(
+        "src_path", "symbol", "interval", "first_no", "error", F.posexplode(each).alias("_place", "line")
+    ).select(
+        "src_path", "symbol", "interval", (F.col("first_no") + F.col("_place")).alias("line_no"), "line", "error"
+    )
 
 
-def _unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _unzipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for archive in batch.itertuples(index=False):
-            fields = {
-                "src_path": archive.src_path,
-                "symbol": archive.symbol,
-                "interval": archive.interval,
-            }
+        for place in range(batch.num_rows):
+            path, symbol, interval, content = (column[place] for column in batch.columns)
+            own = [path.as_py(), symbol.as_py(), interval.as_py()]
             try:
-                for first, lines in _numbered_chunks(archive.content):
-                    numbers = range(first, first + len(lines))
-                    yield pd.DataFrame({**fields, "line_no": numbers, "line": lines, "error": None})
+                for number, text in text_blocks(content.as_buffer()):
+                    yield _block([*own, number, text, None])
             except Exception as problem:  # noqa: BLE001 - one bad archive must not end the scan
-                text = f"{type(problem).__name__}: {problem}"
-                yield pd.DataFrame([{**fields, "line_no": -1, "line": None, "error": text}])
+                yield _block([*own, -1, None, f"{type(problem).__name__}: {problem}"])
+
+
+def _block(values: list) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
+    names = ("src_path", "symbol", "interval", "first_no", "text", "error")
+    return pa.RecordBatch.from_arrays(
+        [pa.array([value], kind) for value, kind in zip(values, kinds, strict=True)], names=list(names)
+    )
 
 
-def _numbered_chunks(content: bytes) -> Iterator[tuple[int, list[str]]]:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [name for name in archive.namelist() if name.endswith(".csv")]
-        if not members:
+def text_blocks(content) -> Iterator[tuple[int, str]]:
+    """(number of the first non-blank line, text) of a zip's first CSV, in blocks of whole lines."""
+    with zipfile.ZipFile(pa.BufferReader(content)) as archive:
+        wanted = next((info for info in archive.infolist() if info.filename.endswith(".csv")), None)
+        if wanted is None:
             return
-        done, lines = 0, []
-        with archive.open(members[0]) as member:
-            for line in io.TextIOWrapper(member, encoding="utf-8-sig"):
-                text = line.rstrip("\n")
-                if not text.strip():
-                    continue
-                lines.append(text)
-                if len(lines) == _CHUNK:
-                    yield done, lines
-                    done, lines = done + len(lines), []
-        if lines:
-            yield done, lines
+        with archive.open(wanted) as member:
+            number, rest = 0, member.read(BLOCK_BYTES).removeprefix(codecs.BOM_UTF8)
+            while rest:
+                more = member.read(BLOCK_BYTES)
+                end = rest.rfind(b"\n") + 1 if more else len(rest)
+                if end:
+                    block = rest[:end].replace(b"\r\n", b"\n").replace(b"\r", b"\n")
+                    yield number, block.decode("utf-8")
+                    number += sum(1 for _ in _FILLED_LINE.finditer(block))
+                rest = rest[end:] + more
 
 
 # ---------------------------------------------------------------------- typing
@@ -174,10 +187,14 @@ def typed_lines(lines: DataFrame) -> DataFrame:
 def good_rows(typed: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """Rows of files without a single bad line, in the kline layout with their origin.
 
-    A run that has stored its ``rejected`` files hands them in, so lines are not judged twice.
+    A run that has stored its ``rejected`` files hands them in. Otherwise lines are judged and read in one
+    pass: a file's lines meet in one task, as they did when it was unzipped, and spill where they must.
     """
-    spoiled = typed.filter("bad") if rejected is None else rejected
-    spoiled = spoiled.select("src_path").distinct()
+    if rejected is None:
+        file = Window.partitionBy("src_path")
+        judged = typed.withColumn("_spoiled", F.max("bad").over(file)).filter("NOT _spoiled")
+        return judged.select(*KLINE.names, "src_path", "line_no")
+    spoiled = rejected.select("src_path").distinct()
     return typed.join(spoiled, "src_path", "left_anti").select(*KLINE.names, "src_path", "line_no")
 
 
@@ -195,9 +212,14 @@ def read_klines(
     symbols: list[str] | None = None,
     intervals: list[str] | None = None,
     pattern: str = "**/*.zip",
+    with_path: bool = True,
 ) -> DataFrame:
-    """Rows of all readable archives; unreadable and non-numeric files are left out."""
-    return good_rows(typed_lines(unzip_lines(list_archives(spark, folder, symbols, intervals, pattern))))
+    """Rows of all readable archives, each unzipped once; unreadable and non-numeric files are left out.
+
+    ``with_path=False`` gives the candles alone, without file and line.
+    """
+    rows = good_rows(typed_lines(unzip_lines(list_archives(spark, folder, symbols, intervals, pattern))))
+    return rows if with_path else rows.select(*KLINE.names)
 
 
 def read_archive(
@@ -220,4 +242,4 @@ def read_archive(
     problem = rejected_files(typed).first()
     if problem is not None:
         raise ValueError(f"{path} cannot be used: {problem['reason']}")
-    return good_rows(typed)
+    return typed.select(*KLINE.names, "src_path", "line_no")

@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 import pytest
 from conftest import HEADER, LINE_1, LINE_2
 
@@ -151,10 +152,27 @@ def test_excluded_files_are_not_opened(spark, tmp_path, zipped):
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
-def test_lines_keep_numbers_across_chunks(spark, tmp_path, zipped, monkeypatch):
-    monkeypatch.setattr(files, "_CHUNK", 2)
-    content = open(zipped(tmp_path, "A-1m-2024-01-01", ["a", "b", "", "c", "d", "e"]), "rb").read()
-    assert list(files._numbered_chunks(content)) == [(0, ["a", "b"]), (2, ["c", "d"]), (4, ["e"])]
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1 << 20])
+def test_lines_keep_numbers_across_blocks(tmp_path, zipped, monkeypatch, size):
+    monkeypatch.setattr(files, "BLOCK_BYTES", size)
+    lines = ["a", "b\r", "", " \t", "ce", "d", "é", "f"]
+    content = open(zipped(tmp_path, "A-1m-2024-01-01", lines), "rb").read()
+    found = []
+    for number, text in files.text_blocks(pa.py_buffer(content)):
+        assert text.endswith("\n") or size > 100
+        kept = [line for line in text.split("\n") if re.search(r"\S", line, re.ASCII)]
+        found += list(enumerate(kept, number))
+    assert found == list(enumerate(["a", "b", "ce", "d", "é", "f"]))
+
+
+def test_archives_are_read_once(spark, tmp_path, zipped):
+    zipped(tmp_path, "A-1m-2024-01-01", [LINE_1, LINE_2])
+    zipped(tmp_path, "B-1m-2024-01-01", [LINE_1, "x,y"])
+    rows = read(spark, tmp_path)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    assert rows.count() == 2
+    assert files.read_klines(spark, str(tmp_path), with_path=False).columns == KLINE.names
 
 
 NAMES = {
