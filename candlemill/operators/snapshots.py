@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from candlemill.functions.arguments import one_of, require
 from candlemill.operators.keyed import latest_snapshots
 from candlemill.schema import MARKETS, QUOTE_ASSET, SNAPSHOT, SNAPSHOT_ENDPOINT, STABLE_BASES, SYMBOL_ENTRY
 
+ENVELOPE = ("pulled_at", "source_url", "status_code", "latency_ms", "err_msg")
 _KEY = ["market", "endpoint", "pulled_at", "payload_hash"]
 
 
@@ -22,8 +24,51 @@ def payload_hash(payload: Column) -> Column:
 
 
 def is_json(payload: Column) -> Column:
-    """Any JSON document; repeated keys and any size are fine."""
-    return F.try_parse_json(payload).isNotNull() | F.get_json_object(payload, "$").isNotNull()
+    """Does the whole text hold one JSON document, by the rules of Python's reader.
+
+    Repeated keys, ``NaN`` and infinities are fine; trailing text, single quotes, control characters in
+    strings and nesting without end are not. Spark's own readers stop after the document and take single
+    quotes, so this one function runs in Python, batch by batch. A NULL holds none.
+    """
+
+    def judged(texts: pd.Series) -> pd.Series:
+        import json
+
+        def holds(text) -> bool:
+            try:
+                json.loads(text)
+            except (ValueError, TypeError, RecursionError):
+                return False
+            return True
+
+        return texts.map(holds).astype(bool)
+
+    return F.pandas_udf(judged, "boolean")(payload)
+
+
+def with_envelope(documents: DataFrame, envelopes: DataFrame) -> DataFrame:
+    """Pulled documents with what is known of each pull; a pull that brought no document is kept.
+
+    ``documents`` (market, name, pulled_at, source_url, payload) and ``envelopes`` (market, name and any of
+    pulled_at, source_url, status_code, latency_ms, err_msg, NULL where not told) meet on market and
+    name. A document without envelope was pulled well, status 200; an envelope without document has an
+    empty payload, and status 0 where it tells none.
+    """
+    known = envelopes.select("market", "name", *[F.col(c).alias(f"_{c}") for c in ENVELOPE])
+    both = documents.withColumn("_document", F.lit(True)).join(known, ["market", "name"], "full_outer")
+    status = F.when(F.col("_document"), F.lit(200)).otherwise(F.lit(0))
+    return both.select(
+        F.coalesce("_pulled_at", "pulled_at").alias("pulled_at"), "market", "name",
+        F.coalesce("_source_url", "source_url").alias("source_url"),
+        F.coalesce(F.col("_status_code"), status).cast("int").alias("status_code"),
+        F.coalesce(F.col("_latency_ms"), F.lit(0)).cast("long").alias("latency_ms"),
+        F.coalesce("payload", F.lit("")).alias("payload"), F.col("_err_msg").alias("err_msg"),
+    )
+
+
+def broken_pulls(pulls: DataFrame) -> DataFrame:
+    """Pulls that say they went well but brought no JSON document."""
+    return pulls.filter((F.col("status_code") == 200) & ~is_json(F.col("payload")))
 
 
 def payload_sizes(snapshots: DataFrame) -> DataFrame:
@@ -37,13 +82,14 @@ def payload_sizes(snapshots: DataFrame) -> DataFrame:
 
 
 def snapshot_rows(landed: DataFrame, ingest_version: Column | None = None) -> DataFrame:
-    """Landed payloads as table rows, with their hash and no error message."""
+    """Landed payloads as table rows, with their hash; the error message is that of the pull, if any."""
     version = ingest_version if ingest_version is not None else F.unix_millis(F.current_timestamp())
+    if "err_msg" not in landed.columns:
+        landed = landed.withColumn("err_msg", F.lit(None).cast("string"))
     return (
         landed.withColumn("endpoint", F.lit(SNAPSHOT_ENDPOINT))
         .withColumn("payload_hash", payload_hash(F.col("payload")))
         .withColumn("ingest_version", version)
-        .withColumn("err_msg", F.lit(None).cast("string"))
         .select(*[F.col(f.name).cast(f.dataType) for f in SNAPSHOT.fields])
     )
 

@@ -119,6 +119,27 @@ def stored_candles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ledger_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """Days entered by runs: each run has the days of some users and one interval."""
+    return stored_candles(spark, folder).withColumn("day", F.expr(
+        "date_from_unix_date(cast(open_time div 86400000 as int))"
+    )).selectExpr("concat('run-', cast(substring(symbol, 4) as int) % 7, '-', month(day)) as run", "symbol", "interval", "day")
+
+
+def ledger_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished runs; every third was never finished."""
+    return ledger_entries(spark, folder).select("run").distinct().filter(
+        "substring(run, 5, 1) not in ('1', '4')"
+    )
+
+
+def ledger_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files taken by the runs, some by more than one."""
+    return file_names(spark, folder).selectExpr(
+        "concat('run-', event_id % 7, '-', event_id div 7 % 12 + 1) as run", "src_path"
+    )
+
+
 def csv_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of kline files of 100 lines each; headers, missing and bad cells included."""
     header = (
@@ -330,8 +351,30 @@ def payload_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that are JSON and some that aren't, one per event."""
     return table(spark, folder, "events").selectExpr(
         "event_id",
-        """case event_id % 6 when 0 then props when 1 then '{"a":1,"a":2}' when 2 then concat('[', event_id, ']')
-           when 3 then concat('{"a":', event_id) when 4 then '' else cast(event_id as string) end as payload""",
+        """case event_id % 10 when 0 then props when 1 then '{"a":1,"a":2}' when 2 then concat('[', event_id, ']')
+           when 3 then concat('{"a":', event_id) when 4 then '' when 5 then cast(event_id as string)
+           when 6 then concat('{"a":1}x', event_id) when 7 then concat("{'a':", event_id, '}')
+           when 8 then 'NaN' else concat('{"a":[NaN,-Infinity,', event_id, ']}') end as payload""",
+    )
+
+
+def pull_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of pulls; every fifth pull of a market brought none."""
+    return snapshots(spark, folder).filter("ingest_version % 5 <> 3").selectExpr(
+        "market", "cast(ingest_version as string) as name", "pulled_at", "source_url",
+        "if(ingest_version % 7 = 6, substring(payload, 2), payload) as payload",
+    )
+
+
+def pull_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """What is known of pulls: of all that brought nothing, and of every second of the others."""
+    return snapshots(spark, folder).filter("ingest_version % 5 = 3 or ingest_version % 2 = 0").selectExpr(
+        "market", "cast(ingest_version as string) as name",
+        "if(ingest_version % 5 = 3, pulled_at, null) as pulled_at",
+        "if(ingest_version % 4 = 0, concat('https://pull/', market), null) as source_url",
+        "if(ingest_version % 5 = 3, if(ingest_version % 2 = 0, 503, null), 200) as status_code",
+        "latency_ms",
+        "if(ingest_version % 5 = 3, 'timed out', null) as err_msg",
     )
 
 

@@ -19,7 +19,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MANY = ["view", "click", "purchase"]
 RANGE = {"interval": "1h", "start": "2024-01-05", "end": "2024-01-20T12:00:00Z"}
-EVENT_MARKETS = ["signup", "purchase", "error", "view", "click"]
 
 
 def queries() -> dict[str, Query]:
@@ -61,7 +60,16 @@ def queries() -> dict[str, Query]:
         "has_data_day": lambda s, d: _has_data(s, d, monthly=False),
         "has_data_month": lambda s, d: _has_data(s, d, monthly=True),
         "skip_existing": lambda s, d: existing.skip_existing(
-            _files(s, d), adapters.stored_candles(s, d)
+            _files(s, d), existing.stored_days(adapters.stored_candles(s, d))
+        ).drop("monthly"),
+        "ledger_days": lambda s, d: existing.committed_days(
+            adapters.ledger_entries(s, d), adapters.ledger_runs(s, d)
+        ).withColumn("day", F.col("day").cast("string")),
+        "ledger_open_files": lambda s, d: existing.open_files(
+            adapters.ledger_files(s, d), adapters.ledger_runs(s, d)
+        ),
+        "ledger_skip": lambda s, d: existing.skip_existing(
+            _files(s, d), existing.committed_days(adapters.ledger_entries(s, d), adapters.ledger_runs(s, d))
         ).drop("monthly"),
         "csv_typed_strict": _typed_strict,
         "csv_rejected_files": lambda s, d: rejected_files(typed_lines(adapters.csv_lines(s, d))),
@@ -117,6 +125,9 @@ def queries() -> dict[str, Query]:
         "snapshot_valid_json": lambda s, d: adapters.payload_texts(s, d).select(
             "event_id", snapshots.is_json(F.col("payload")).alias("valid")
         ),
+        "snapshot_pulls": lambda s, d: _pulls(s, d).withColumn("pulled_ms", F.unix_millis("pulled_at")).drop("pulled_at"),
+        "snapshot_broken_pulls": lambda s, d: snapshots.broken_pulls(_pulls(s, d)).select("market", "name"),
+        "snapshot_rows_of_pulls": _pull_rows,
         "symbols_query": lambda s, d: snapshots.query_symbols(
             adapters.spot_snapshots(s, d), "spot", "usdt", exclude_stable_base=True
         ),
@@ -171,7 +182,8 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _has_data(spark: SparkSession, folder: str, monthly: bool) -> DataFrame:
     files = _files(spark, folder).filter(F.col("monthly") == monthly)
-    return existing.has_data(files, adapters.stored_candles(spark, folder)).drop("monthly")
+    days = existing.stored_days(adapters.stored_candles(spark, folder))
+    return existing.has_data(files, days).drop("monthly")
 
 
 def _typed_strict(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,12 +233,31 @@ def _write_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(factors.accepted_write_rows(judged, "sdk").drop("update_time"))
 
 
+def _markets(spark: SparkSession, folder: str) -> list[str]:
+    """The event types of the data, which stand for markets."""
+    types = adapters.table(spark, folder, "events").select("event_type").distinct().collect()
+    return sorted(row["event_type"] for row in types)
+
+
 def _snapshot_latest(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshots.latest_payloads(adapters.snapshots(spark, folder), EVENT_MARKETS).select(
+    return snapshots.latest_payloads(adapters.snapshots(spark, folder), _markets(spark, folder)).select(
         "market", F.unix_millis("pulled_at").alias("pulled_ms"), "payload"
     )
 
 
+def _pulls(spark: SparkSession, folder: str) -> DataFrame:
+    return snapshots.with_envelope(adapters.pull_documents(spark, folder), adapters.pull_envelopes(spark, folder))
+
+
+def _pull_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored rows of the pulls, and whether a query would see them."""
+    rows = snapshots.snapshot_rows(_pulls(spark, folder), F.lit(1))
+    good = snapshots.good_snapshots(rows).select("market", "payload_hash", F.lit(True).alias("seen"))
+    return rows.groupBy("market", "payload_hash", "status_code", "err_msg").agg(F.count("*").alias("pulls")).join(
+        good.distinct(), ["market", "payload_hash"], "left"
+    ).withColumn("seen", F.coalesce("seen", F.lit(False)))
+
+
 def _listed(spark: SparkSession, folder: str) -> DataFrame:
-    payloads = snapshots.latest_payloads(adapters.snapshots(spark, folder), EVENT_MARKETS)
+    payloads = snapshots.latest_payloads(adapters.snapshots(spark, folder), _markets(spark, folder))
     return snapshots.listed_symbols(payloads, keep=("market",))

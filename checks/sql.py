@@ -154,6 +154,17 @@ _STORED_DAY = """EXISTS (SELECT 1 FROM stored_days s WHERE s.symbol = f.symbol
 _STORED_MONTH = """EXISTS (SELECT 1 FROM stored_months s WHERE s.symbol = f.symbol
   AND s."interval" = f."interval" AND s.month = substring(f.date, 1, 7))"""
 
+LEDGER = f"""{STORED},
+entries AS (
+  SELECT 'run-' || (CAST(substring(symbol, 4) AS INTEGER) % 7) || '-' || month(day) AS run, symbol, "interval", day
+  FROM (SELECT *, CAST(make_timestamp(open_time * 1000) AS DATE) AS day FROM stored)),
+runs AS (
+  SELECT DISTINCT run FROM entries WHERE substring(run, 5, 1) NOT IN ('1', '4')),
+begun AS (
+  SELECT 'run-' || (event_id % 7) || '-' || (event_id // 7 % 12 + 1) AS run, src_path FROM file_names),
+finished AS (
+  SELECT DISTINCT symbol, "interval", day FROM entries SEMI JOIN runs USING (run))"""
+
 _LINE_HEADER = (
     "open_time,open,high,low,close,volume,close_time,quote_volume,count,"
     "taker_buy_volume,taker_buy_quote_volume,ignore"
@@ -315,6 +326,18 @@ symbols AS (
     coalesce(json_extract_string(e, '$.baseAsset'), '') AS base
   FROM listed)"""
 
+PULLS = f"""{SNAPSHOTS},
+pulls AS (
+  SELECT market, CAST(block AS VARCHAR) AS name, ms AS pulled_ms,
+    CASE WHEN block % 4 = 0 AND (block % 5 = 3 OR block % 2 = 0) THEN 'https://pull/' || market
+      WHEN block % 5 = 3 THEN NULL ELSE 'file:/landed/' || market || '/' || block || '.json' END AS source_url,
+    CAST(CASE WHEN block % 5 = 3 THEN CASE WHEN block % 2 = 0 THEN 503 ELSE 0 END ELSE 200 END AS INTEGER)
+      AS status_code,
+    CASE WHEN block % 5 = 3 OR block % 2 = 0 THEN block % 100 ELSE 0 END AS latency_ms,
+    CASE WHEN block % 5 = 3 THEN '' WHEN block % 7 = 6 THEN substring(payload, 2) ELSE payload END AS payload,
+    CASE WHEN block % 5 = 3 THEN 'timed out' END AS err_msg
+  FROM snapshots)"""
+
 _SYMBOL_COLUMNS = 'market, symbol, "quoteAsset", "onboardDate", "deliveryDate", "underlyingType", status'
 _STABLE = "'BKRW','USDC','USDP','TUSD','BUSD','FDUSD','DAI','EUR','GBP','USBP','SUSD','PAXG','AEUR'"
 
@@ -411,6 +434,15 @@ per_file AS (
         "skip_existing": _with(STORED, f"""
             SELECT src_path, symbol, "interval", date FROM files f
             WHERE date IS NULL OR NOT (CASE WHEN monthly THEN {_STORED_MONTH} ELSE {_STORED_DAY} END)"""),
+        "ledger_days": _with(LEDGER, 'SELECT symbol, "interval", CAST(day AS VARCHAR) AS day FROM finished'),
+        "ledger_open_files": _with(LEDGER, """
+            SELECT src_path FROM begun EXCEPT SELECT src_path FROM begun SEMI JOIN runs USING (run)"""),
+        "ledger_skip": _with(LEDGER, """
+            SELECT src_path, symbol, "interval", date FROM files f
+            WHERE date IS NULL OR NOT EXISTS (
+              SELECT 1 FROM finished s WHERE s.symbol = f.symbol AND s."interval" = f."interval"
+                AND CASE WHEN monthly THEN strftime(s.day, '%Y-%m') = substring(f.date, 1, 7)
+                    ELSE s.day = CAST(f.date AS DATE) END)"""),
         "csv_typed_strict": _with(CSV_LINES, """
             SELECT symbol, open_time, close_time, open_price, high_price, low_price, close_price,
               volume, quote_volume, trades_count, taker_buy_volume, taker_buy_quote_volume,
@@ -500,7 +532,14 @@ per_file AS (
               CAST(strftime(make_timestamp(ms * 1000), '%Y%m') AS INTEGER) AS month,
               make_timestamp(ms * 1000) AS pulled_at FROM snapshots"""),
         "snapshot_valid_json": """
-            SELECT event_id, event_id % 6 NOT IN (3, 4) AS valid FROM events""",
+            SELECT event_id, event_id % 10 NOT IN (3, 4, 6, 7) AS valid FROM events""",
+        "snapshot_pulls": _with(PULLS, """
+            SELECT market, name, pulled_ms, source_url, status_code, latency_ms, payload, err_msg FROM pulls"""),
+        "snapshot_broken_pulls": _with(PULLS, """
+            SELECT market, name FROM pulls WHERE status_code = 200 AND NOT json_valid(payload)"""),
+        "snapshot_rows_of_pulls": _with(PULLS, """
+            SELECT market, sha256(payload) AS payload_hash, status_code, err_msg, count(*) AS pulls,
+              status_code = 200 AS seen FROM pulls GROUP BY ALL"""),
         "symbols_query": _with(SNAPSHOTS, f"""
             SELECT symbol, "quoteAsset", "onboardDate", "deliveryDate", "underlyingType", status FROM symbols
             WHERE market = 'click' AND "quoteAsset" = 'USDT' AND base NOT IN ({_STABLE})"""),

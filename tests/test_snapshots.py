@@ -113,8 +113,40 @@ def test_odd_entries_spoil_no_others(spark):
     assert sorted(r["symbol"] for r in rows) == ["", "", "A", "B"]
 
 
-def test_repeated_keys_are_json(spark):
-    texts = {'{"a": 1, "a": 2}': True, "[1, 2]": True, "5": True, "{broken": False, "": False}
-    frame = spark.createDataFrame([(t,) for t in texts], "payload string")
+def test_json_as_python_reads_it(spark):
+    texts = {
+        '{"a": 1, "a": 2}': True, "[1, 2]": True, "5": True, "{broken": False, "": False, '{"a":1}xyz': False,
+        "{'a':1}": False, "NaN": True, '{"a":NaN}': True, "-Infinity": True, ' \t{"a": "é\\u00e9"}\n': True,
+        '{"a": "tab\t"}': False, '{"a": 01}': False, '{"a": 1,}': False, "\ufeff{}": False, "[" * 200_000: False, "nul": False,
+    }
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "payload string")
     got = {r["payload"]: r["ok"] for r in frame.select("payload", snapshots.is_json(F.col("payload")).alias("ok")).collect()}
-    assert got == texts
+    assert got == texts | {None: False}
+
+
+def test_failed_pulls_are_kept_with_their_envelope(spark, tmp_path):
+    for market in ("um", "cm"):
+        (tmp_path / "landed" / market).mkdir(parents=True)
+    um, cm = tmp_path / "landed" / "um", tmp_path / "landed" / "cm"
+    (um / "1.json").write_text(json.dumps(NEWEST))
+    (um / "1.pull").write_text(json.dumps({"pulled_at": "2024-03-01T12:00:00Z", "latency_ms": 41, "source_url": "https://um"}))
+    (um / "2.pull").write_text(json.dumps({"pulled_at": "2024-03-02T12:00:00Z", "status_code": 503, "err_msg": "busy"}))
+    (um / "3.json").write_text("<html>gone</html>")
+    (um / "3.pull").write_text(json.dumps({"pulled_at": "2024-03-03 00:00:00", "status_code": 404}))
+    (cm / "1.json").write_text('{"symbols": []}')
+    store = MarketStore(spark, str(tmp_path / "store"))
+    report = store.ingest_snapshots(str(tmp_path / "landed"))
+    assert (report.read, report.refused, report.stored) == (2, 2, 4)
+    rows = {(r["market"], r["status_code"]): r for r in snapshot_table(spark, store.snapshots_path).collect()}
+    assert rows["um", 200]["latency_ms"] == 41 and rows["um", 200]["source_url"] == "https://um"
+    assert rows["um", 200]["pulled_at"] == datetime(2024, 3, 1, 12)
+    assert (rows["um", 503]["payload"], rows["um", 503]["err_msg"]) == ("", "busy")
+    assert rows["um", 404]["payload"] == "<html>gone</html>" and rows["cm", 200]["latency_ms"] == 0
+    assert store.get_symbols("um").count() == 5
+    (um / "4.pull").write_text('{"status_code": 200}')
+    with pytest.raises(ValueError, match="1 snapshot document"):
+        store.ingest_snapshots(str(tmp_path / "landed"))
+    (um / "4.pull").write_text("no envelope")
+    with pytest.raises(Exception, match="no JSON object"):
+        store.ingest_snapshots(str(tmp_path / "landed"))
+    assert snapshot_table(spark, store.snapshots_path).count() == 4
