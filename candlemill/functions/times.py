@@ -29,6 +29,18 @@ _ISO = (
 )
 _NO_SECONDS = r"^(.{10}[T ]\d{2}:\d{2})(?=Z|[+-])"
 
+# Other spellings of a time, by the order of their parts; what follows the date is as in ISO text.
+_CLOCK = r"((?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?)$"
+_NUMBERS = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _CLOCK
+_YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})" + _CLOCK
+_NAME_FIRST = r"^([A-Za-z]{3,9})\.?[ -](\d{1,2}),?[ -](\d{4})" + _CLOCK
+_NAME_SECOND = r"^(\d{1,2})[ -]([A-Za-z]{3,9})\.?,?[ -](\d{4})" + _CLOCK
+_MONTHS = (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november",
+    "december",
+)
+ISO, MONTH_FIRST, DAY_FIRST, NAME_FIRST, NAME_SECOND = "iso", "month first", "day first", "name first", "name second"
+
 
 def _instant(value: str | int | datetime) -> int | datetime:
     """The argument as a plain integer (unit still open) or as a UTC datetime."""
@@ -111,6 +123,55 @@ def from_iso_text(text: Column) -> Column:
     return F.coalesce(iso.try_cast("timestamp"), with_seconds.try_cast("timestamp"))
 
 
+def time_form(text: Column) -> Column:
+    """In which order a time text has its parts; NULL where that cannot be told.
+
+    Of two numbers before the year the first is the month, unless it is too large for one.
+    """
+    return (
+        F.when(text.rlike(_YEAR_FIRST), F.lit(ISO))
+        .when(text.rlike(_NUMBERS), F.when(_large_first(text), F.lit(DAY_FIRST)).otherwise(F.lit(MONTH_FIRST)))
+        .when(text.rlike(_NAME_FIRST), F.lit(NAME_FIRST))
+        .when(text.rlike(_NAME_SECOND), F.lit(NAME_SECOND))
+    )
+
+
+def time_in_form(text: Column, form: Column) -> Column:
+    """Time text read in one form, or in its own where the form is NULL; NULL where it is no such time.
+
+    The text is brought into ISO order first, so it is parsed in one place.
+    """
+    day_first = F.coalesce(form == DAY_FIRST, _large_first(text))
+    month_first = F.coalesce(form == MONTH_FIRST, F.lit(True))
+    ordered = (
+        F.when(text.rlike(_YEAR_FIRST), _if_form(form, ISO, F.regexp_replace(text, _YEAR_FIRST, "$1-$3-$4$5")))
+        .when(text.rlike(_NUMBERS), F.when(day_first, F.regexp_replace(text, _NUMBERS, "$3-$2-$1$4")).when(
+            month_first, F.regexp_replace(text, _NUMBERS, "$3-$1-$2$4")))
+        .when(text.rlike(_NAME_FIRST), _if_form(form, NAME_FIRST, _named(text, _NAME_FIRST, 1, "$2$4")))
+        .when(text.rlike(_NAME_SECOND), _if_form(form, NAME_SECOND, _named(text, _NAME_SECOND, 2, "$1$4")))
+    )
+    wide = F.regexp_replace(ordered, r"^(\d{4})-(\d)(?=-)", "$1-0$2")
+    wide = F.regexp_replace(wide, r"^(\d{4}-\d{2})-(\d)(?!\d)", "$1-0$2")
+    return from_iso_text(F.regexp_replace(wide, r"^(.{10})[T ](?=\d:)", "$1 0"))
+
+
+def _large_first(text: Column) -> Column:
+    return F.coalesce(F.regexp_extract(text, _NUMBERS, 1).try_cast("int") > 12, F.lit(False))
+
+
+def _if_form(form: Column, name: str, value: Column) -> Column:
+    return F.when(F.coalesce(form == name, F.lit(True)), value)
+
+
+def _named(text: Column, pattern: str, name: int, rest: str) -> Column:
+    """Year, number of the named month, and what follows; NULL for another name."""
+    pairs = ", ".join(f"'{n}', '{i:02}'" for i, full in enumerate(_MONTHS, 1) for n in {full, full[:3]})
+    number = F.try_element_at(F.expr(f"map({pairs})"), F.lower(F.regexp_extract(text, pattern, name)))
+    return F.concat(
+        F.regexp_extract(text, pattern, 3), F.lit("-"), number, F.lit("-"), F.regexp_replace(text, pattern, rest)
+    )
+
+
 def data_time(column: Column, dtype: T.DataType) -> Column:
     """A data column as a UTC timestamp, NULL where it cannot be read as a time."""
     if isinstance(dtype, T.TimestampType):

@@ -14,8 +14,8 @@ from candlemill.functions.numbers import csv_number, written_number
 from candlemill.functions.times import (
     data_time,
     factor_time_s,
-    from_iso_text,
     month_or_edge,
+    time_in_form,
     to_millisecond,
 )
 from candlemill.operators.keyed import FACTOR_VERSION, latest_factors
@@ -46,9 +46,13 @@ def unpivot_factors(wide: DataFrame, ids: Sequence[str], time: str = "time") ->
     return timed.unpivot([*ids, "datetime"], metrics, "factor_name", "raw_value")
 
 
-def factor_time(text: Column) -> Column:
-    """Time text of a factor file; NULL where it cannot be read."""
-    return from_iso_text(F.trim(text))
+def factor_time(text: Column, form: Column | None = None) -> Column:
+    """Time text of a factor file; NULL where it cannot be read.
+
+    ``form`` is that of the file's first time cell (``times.time_form``); where it is NULL, or not given,
+    the text is read by itself.
+    """
+    return time_in_form(F.trim(text), F.lit(None).cast("string") if form is None else form)
 
 
 def coerce_factors(raw: DataFrame) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Iterable, Iterator
 from datetime import datetime
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.arguments import as_names, one_of, require
-from candlemill.functions.times import floor_div, kline_time_ms, month_or_edge
+from candlemill.functions.times import floor_div, kline_time_ms, month_or_edge, utc_month
 from candlemill.operators.keyed import latest_klines
 from candlemill.schema import INTERVAL_MS
 
@@ -104,18 +105,26 @@ def page_after(
 ) -> DataFrame:
     """The page of rows strictly behind the (symbol, open_time) cursor.
 
-    The keys of the page come first, from narrow columns; versions are resolved for these alone.
-    With one symbol the cursor's month prunes partitions.
+    The keys of the page come first, from narrow columns; versions are resolved for these alone. The page's
+    last key bounds the scan of the wide rows: files, row groups and months behind it are not read.
+    With one symbol the cursor's month prunes partitions, too.
     """
     _check_batch_size(page_size)
     rows = stored_klines(klines, symbols, interval, start, end)
+    single = len(set(as_names(symbols, "symbols"))) == 1
+    has_month = "month" in rows.columns
     if after is not None:
         rows = rows.filter(_behind(*after))
-        if "month" in rows.columns and set(as_names(symbols, "symbols")) == {after[0]}:
+        if has_month and set(as_names(symbols, "symbols")) == {after[0]}:
             rows = rows.filter(F.col("month") >= month_or_edge(after[1]))
     key = ["symbol", "open_time"]
     keys = rows.select(*key).distinct().orderBy(*key).limit(page_size)
-    return returned_columns(latest_klines(rows.join(keys, key))).orderBy(*key)
+    last = keys.agg(F.max("symbol").alias("symbol"), F.max("open_time").alias("open_time"))
+    latest = last.select("open_time").scalar()
+    bounded = rows.filter((F.col("symbol") <= last.select("symbol").scalar()) & (F.col("open_time") <= latest))
+    if has_month and single:
+        bounded = bounded.filter(F.col("month") <= last.select(utc_month(F.col("open_time"))).scalar())
+    return returned_columns(latest_klines(bounded.join(keys, key))).orderBy(*key)
 
 
 def query_batches(
@@ -130,14 +139,18 @@ def query_batches(
 
     A row's position is the number of rows in earlier stretches plus its rank in its own
     stretch, so nothing is numbered in one task: the running total runs over one row per
-    stretch, and over symbols, which the caller lists.
+    stretch, and over symbols, which the caller lists. Stretches are counted by distinct keys, so whole
+    rows are scanned, and their versions resolved, once.
     """
     _check_batch_size(batch_size)
-    rows = returned_columns(select_klines(klines, symbols, interval, start, end))
+    stored = stored_klines(klines, symbols, interval, start, end)
     width = INTERVAL_MS[interval] * STRETCH
-    rows = rows.withColumn("_stretch", floor_div(F.col("open_time"), width))
+    stretch = floor_div(F.col("open_time"), width).alias("_stretch")
+    rows = returned_columns(latest_klines(stored)).select("*", stretch)
 
-    stretches = rows.groupBy("symbol", "_stretch").agg(F.count(F.lit(1)).alias("_rows"))
+    # ``month`` follows from the time, so these keys are those by which versions are resolved.
+    keys = stored.select("symbol", "open_time").distinct().select("symbol", stretch)
+    stretches = keys.groupBy("symbol", "_stretch").agg(F.count(F.lit(1)).alias("_rows"))
     totals = stretches.groupBy("symbol").agg(F.sum("_rows").alias("_total"))
     earlier_symbols = Window.orderBy("symbol").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("symbol").orderBy("_stretch").rowsBetween(
@@ -167,18 +180,34 @@ def stream_batches(
     end: Moment | None = None,
     batch_size: int = DEFAULT_BATCH,
 ) -> Iterator[pd.DataFrame]:
-    """Batches as local frames, one after another; holds one partition at a time."""
+    """Batches as local frames, one after another; holds one partition at a time.
+
+    Rows come as Arrow blocks, of which the frames are cut.
+    """
     _check_batch_size(batch_size)
     rows = returned_columns(select_klines(klines, symbols, interval, start, end))
     ordered = rows.orderBy("symbol", "open_time")
-    pending: list = []
-    for row in ordered.toLocalIterator():
-        pending.append(row)
-        if len(pending) == batch_size:
-            yield pd.DataFrame(pending, columns=ordered.columns)
-            pending = []
-    if pending:
-        yield pd.DataFrame(pending, columns=ordered.columns)
+
+    def packed(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks:
+            held = pa.BufferOutputStream()
+            with pa.ipc.new_stream(held, block.schema) as stream:
+                stream.write_batch(block)
+            yield pa.RecordBatch.from_arrays([pa.array([held.getvalue().to_pybytes()], pa.binary())], ["block"])
+
+    waiting: list[pa.Table] = []
+    size = 0
+    for row in ordered.mapInArrow(packed, "block binary").toLocalIterator():
+        waiting.append(pa.ipc.open_stream(row["block"]).read_all())
+        size += waiting[-1].num_rows
+        if size >= batch_size:
+            table = pa.concat_tables(waiting)
+            whole = size - size % batch_size
+            for start_row in range(0, whole, batch_size):
+                yield table.slice(start_row, batch_size).to_pandas()
+            waiting, size = [table.slice(whole)], size - whole
+    if size:
+        yield pa.concat_tables(waiting).to_pandas()
 
 
 def count_by_symbol(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from candlemill.sources.factor_files import (
     factor_files,
     factor_lines,
     read_truths,
+    records,
     rejected_factor_files,
 )
 
@@ -38,17 +39,19 @@ def ingest_factors(
     use_utc(spark)
     staging = Staging(spark, "factors")
     try:
-        lines = factor_lines(spark, folder, symbols)
-        rejected = staging(rejected_factor_files(lines), "rejected")
-        coerced = staging(coerce_factors(read_truths(factor_cells(lines, rejected))), "cells")
+        # The files are read here, once; everything else reads staged records by column.
+        lines = staging(factor_lines(spark, folder, symbols), "lines")
+        read = staging(records(lines, staging), "records")
+        rejected = staging(rejected_factor_files(read), "rejected")
+        coerced = staging(coerce_factors(read_truths(factor_cells(read, rejected))), "cells")
         counts = drop_stats(coerced, by=()).first()
         if not dry_run and counts["rows_kept"]:
             stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")
             rows = factor_rows(coerced).withColumn("update_time", to_millisecond(stamp))
             write_factors(rows, table, rows_per_file)
         total = factor_files(spark, folder, symbols).count()
-        # A file without any line has no header either.
-        empty = total - lines.select("src_path").distinct().count()
+        # A file without any record has no header either.
+        empty = total - read.select("src_path").distinct().count()
         errors = rejected.count() + empty
         return LandingReport(
             read=total - errors,

@@ -1,22 +1,34 @@
 """Wide factor CSVs, one per symbol, each with its own columns.
 
-The files are read as lines, so a large one is split between tasks. The header of a file
-is the first line of its first block; it travels to the other lines by a join.
+The files are read as lines, so a large one is split between tasks. A quoted cell may hold line breaks, so
+lines are first put together to records. Whether a line begins inside such a cell depends on all lines before
+it, but in one of four ways only: a line leaves that as it is, turns it round, or ends inside or outside
+whatever it was. So each block of a file is summed up in one row, the rows of a file's blocks tell how each
+block begins, and the lines of a block follow from there.
+
+The header of a file is its first record; it travels to the others by a join. So does the form in which the
+file writes times: that of its first time cell.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlemill.functions.names import stem
+from candlemill.functions.times import time_form
 from candlemill.operators.factors import factor_time
 from candlemill.schema import MISSING_TEXT
 from candlemill.sources.paths import require_folder
 
 TIME = "time"
-# A comma outside double quotes.
-_COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# Behind a comma, or behind another such piece: a piece in quotes. A doubled quote makes two pieces.
+_QUOTED = r'(?:(?<=,)|\G(?!^))"[^"]*+"'
+# A cell behind a comma: in quotes, with what follows them, or plain.
+_CELL = r',((?:"[^"]*+(?:""[^"]*+)*+"[^,]*+)|[^,]*+)'
+UNCLOSED = "a quote is never closed"
 
 
 def factor_files(spark: SparkSession, folder: str, symbols: list[str] | None = None) -> DataFrame:
@@ -56,62 +68,150 @@ def factor_lines(spark: SparkSession, folder: str, symbols: list[str] | None = N
     return _wanted(lines, symbols).select(
         "src_path", "block", F.monotonically_increasing_id().alias("line_no"),
         F.regexp_replace("value", "^\ufeff|\r$", "").alias("line"), "symbol",
-    ).filter(F.col("line").rlike(r"\S"))
+    )
+
+
+def records(lines: DataFrame, materialise: Callable[[DataFrame, str], DataFrame] = lambda df, _: df) -> DataFrame:
+    """Records of the files: (src_path, symbol, block, line_no, cells, unclosed), blank ones left out.
+
+    A record has the position of its first line. Only files in which some line's quotes stay open take the way
+    over the state of their lines; in one whose last quote is never closed, records count for nothing
+    and are marked. ``materialise(df, name)`` may store what is read more than once.
+    """
+    known = lines.select("src_path", "symbol", "block", "line_no", "line").withColumn(
+        "from_out", F.when(F.col("line").contains('"'), _stays_open(F.concat(F.lit(","), "line"))).otherwise(F.lit(False))
+    ).withColumn(
+        "from_in", F.when(F.col("line").contains('"'), _stays_open(F.concat(F.lit(',"'), "line"))).otherwise(F.lit(True))
+    )
+    torn = materialise(known.filter("from_out OR NOT from_in").select("src_path").distinct(), "torn")
+    whole = known.join(torn, "src_path", "left_anti").select(
+        "src_path", "symbol", "block", "line_no", F.col("line").alias("text"), F.lit(False).alias("unclosed")
+    )
+    both = whole.unionByName(_joined_lines(known.join(torn, "src_path", "left_semi")))
+    return both.filter(F.col("text").rlike(r"\S")).withColumn("cells", _cells(F.col("text"))).drop("text")
+
 
+def _stays_open(text: Column) -> Column:
+    """Does a quote that opens a cell have no end in the text; cells stand behind commas."""
+    return F.regexp_replace(text, _QUOTED, "").contains(',"')
 
-def headers(lines: DataFrame) -> DataFrame:
-    """Header cells of each file, with the position of the header line."""
+
+def _joined_lines(lines: DataFrame) -> DataFrame:
+    """Records of files whose lines may begin inside quotes."""
+    fixed = F.col("from_out") == F.col("from_in")
+    turned = F.when(F.col("from_out") & ~F.col("from_in"), 1).otherwise(0)
+    in_block = Window.partitionBy("src_path", "block").orderBy("line_no")
+    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # After each line of a block: turns so far, and the last line that settled the state, with the turns by then.
+    walked = lines.withColumn("_turns", F.sum(turned).over(upto)).withColumn(
+        "_fix", F.last(F.when(fixed, F.struct(F.col("from_out").alias("state"), F.col("_turns").alias("turns"))), True)
+        .over(upto),
+    )
+    blocks = walked.groupBy("src_path", "block").agg(
+        F.max_by(F.struct("_turns", "_fix"), "line_no").alias("_end")
+    )
+    in_file = Window.partitionBy("src_path").orderBy("block")
+    done = in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turns = F.sum("_end._turns").over(done)
+    # The same walk over the rows of a file's blocks.
+    ends = blocks.withColumn("_all", turns).withColumn("_file_fix", F.last(F.when(
+        F.col("_end._fix").isNotNull(),
+        F.struct(
+            F.col("_end._fix.state").alias("state"),
+            (F.col("_all") - F.col("_end._turns") + F.col("_end._fix.turns")).alias("turns"),
+        ),
+    ), True).over(done)).withColumn("_after", _state("_file_fix", "_all"))
+    begins = ends.select(
+        "src_path", "block", F.coalesce(F.lag("_after").over(in_file), F.lit(False)).alias("_begins_in"),
+        F.last("_after").over(
+            in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ).alias("unclosed"),
+    )
+    # What a line begins in is what the one before ended in.
+    before = F.lag(F.struct("_turns", "_fix")).over(in_block)
+    placed = walked.join(begins, ["src_path", "block"]).withColumn("_before", before)
+    inside = F.when(F.col("_before").isNull(), F.col("_begins_in")).when(
+        F.col("_before._fix").isNull(), F.col("_begins_in") != (F.col("_before._turns") % 2 == 1)
+    ).otherwise(_state("_before._fix", "_before._turns"))
+    marked = placed.withColumn("_inside", inside).withColumn("_start", F.when(
+        F.col("unclosed") | ~F.col("_inside"), F.struct("block", "line_no")
+    ))
+    last_start = F.last("_start", True)
+    starts = marked.groupBy("src_path", "block").agg(F.max("_start").alias("_last")).withColumn(
+        "_carried", F.last("_last", True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    ).select("src_path", "block", "_carried")
     return (
-        lines.filter(F.col("block") == 0)
-        .groupBy("src_path")
-        .agg(F.min("line_no").alias("header_no"), F.min_by("line", "line_no").alias("_header"))
-        .withColumn("_names", _cells(F.col("_header")))
-        .withColumn("_names", F.transform("_names", _column_name))
-        .select("src_path", "header_no", F.transform("_names", _numbered).alias("names"))
+        marked.join(starts, ["src_path", "block"])
+        .withColumn("_record", F.coalesce(last_start.over(upto), "_carried"))
+        .groupBy("src_path", "symbol", "unclosed", "_record")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "line_no", "line"))).alias("_lines"))
+        .select(
+            "src_path", "symbol", "_record.block", "_record.line_no",
+            F.array_join(F.transform("_lines", lambda x: x["line"]), "\n").alias("text"), "unclosed",
+        )
+    )
+
+
+def _state(fix: str, turns: str) -> Column:
+    """Inside quotes after a walk: the last settled state, turned round as often as since then."""
+    return F.when(F.col(fix).isNull(), F.col(turns) % 2 == 1).otherwise(
+        F.col(f"{fix}.state") != ((F.col(turns) - F.col(f"{fix}.turns")) % 2 == 1)
     )
 
 
-def rejected_factor_files(lines: DataFrame) -> DataFrame:
-    """Files without a time column, or with a line that has more cells than the header."""
-    heads = headers(lines)
-    no_time = heads.filter(~F.array_contains("names", TIME)).select(
-        "src_path", F.lit("missing required 'time' column").alias("reason")
+def _as_records(rows: DataFrame) -> DataFrame:
+    return rows if "cells" in rows.columns else records(rows)
+
+
+def headers(rows: DataFrame) -> DataFrame:
+    """Per file, of its lines or records: names of the columns, position of the header, most cells of a record."""
+    place = F.struct("block", "line_no")
+    return (
+        _as_records(rows).groupBy("src_path")
+        .agg(
+            F.min(place).alias("header_at"), F.min_by("cells", place).alias("_names"),
+            F.max(F.size("cells")).alias("most"), F.max("unclosed").alias("unclosed"),
+        )
+        .withColumn("_names", F.transform("_names", _column_name))
+        .select("src_path", "header_at", "most", "unclosed", F.transform("_names", _numbered).alias("names"))
     )
-    longer = (
-        lines.select("src_path", F.size(_cells(F.col("line"))).alias("_cells"))
-        .groupBy("src_path")
-        .agg(F.max("_cells").alias("_most"))
-        .join(heads, "src_path")
-        .filter(F.array_contains("names", TIME) & (F.col("_most") > F.size("names")))
-        .select("src_path", F.lit("a line has more cells than the header").alias("reason"))
+
+
+def rejected_factor_files(rows: DataFrame) -> DataFrame:
+    """Files without a time column, with a record that has more cells than the header, or with an open quote.
+
+    ``rows`` are lines or records.
+    """
+    reason = (
+        F.when(F.col("unclosed"), F.lit(UNCLOSED))
+        .when(~F.array_contains("names", TIME), F.lit("missing required 'time' column"))
+        .when(F.col("most") > F.size("names"), F.lit("a line has more cells than the header"))
     )
-    return no_time.unionByName(longer)
+    return headers(rows).select("src_path", reason.alias("reason")).filter("reason IS NOT NULL")
 
 
-def factor_cells(lines: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+def factor_cells(rows: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
     """One row per cell outside the time column: (src_path, symbol, datetime, factor_name, raw_value).
 
-    Times are read once per line, NULL where unreadable. A file is left out as a whole
-    when it is in ``rejected``.
+    ``rows`` are lines or records. Times are read once per record, in the form of the file's first time cell,
+    NULL where unreadable; where that cell has no form, each is read by itself. A file is left out as a
+    whole when it is in ``rejected``.
     """
-    heads = headers(lines)
+    read = _as_records(rows)
+    heads = headers(read)
     if rejected is not None:
         heads = heads.join(rejected.select("src_path"), "src_path", "left_anti")
-    names, values = F.col("names"), F.col("_values")
-    place = (F.array_position(names, TIME) - 1).cast("int")
-    cells = (
-        lines.join(heads, "src_path")
-        .filter((F.col("block") != 0) | (F.col("line_no") != F.col("header_no")))
-        .withColumn("_values", _cells(F.col("line")))
-        .withColumn("datetime", factor_time(F.get(values, place)))
-        .select(
-            "src_path", "symbol", "datetime", "_values",
-            F.posexplode(names).alias("_pos", "factor_name"),
-        )
+    body = read.drop("unclosed").join(heads.drop("most", "unclosed"), "src_path").filter(
+        F.struct("block", "line_no") != F.col("header_at")
+    ).withColumn("_time", F.get("cells", (F.array_position("names", TIME) - 1).cast("int")))
+    told = F.when(~F.col("_time").isin(*MISSING_TEXT), F.struct("block", "line_no"))
+    forms = body.groupBy("src_path").agg(F.min_by(time_form(F.trim("_time")), told).alias("_form"))
+    cells = body.join(forms, "src_path").select(
+        "src_path", "symbol", factor_time(F.col("_time"), F.col("_form")).alias("datetime"), "cells",
+        F.posexplode("names").alias("_pos", "factor_name"),
     )
     return cells.filter(F.col("factor_name") != TIME).select(
-        "src_path", "symbol", "datetime", "factor_name",
-        F.get(values, F.col("_pos")).alias("raw_value"),
+        "src_path", "symbol", "datetime", "factor_name", F.get("cells", F.col("_pos")).alias("raw_value"),
     )
 
 
@@ -143,12 +243,13 @@ def read_truths(cells: DataFrame) -> DataFrame:
     ).select(cells.columns)
 
 
-def _cells(line: Column) -> Column:
-    parts = F.when(line.contains('"'), F.split(line, _COMMA)).otherwise(F.split(line, ","))
-    return F.when(
-        line.contains('"'),
-        F.transform(parts, lambda c: F.regexp_replace(F.regexp_replace(c, '^"(.*)"$', "$1"), '""', '"')),
-    ).otherwise(parts)
+def _cells(text: Column) -> Column:
+    """The cells of a record, without the quotes around them."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(_CELL), 1)
+    unquoted = F.transform(found, lambda c: F.when(
+        c.startswith('"'), F.regexp_replace(F.regexp_replace(c, r'(?s)^"(.*?)"(?!")([^"]*)$', "$1$2"), '""', '"')
+    ).otherwise(c))
+    return F.when(text.contains('"'), unquoted).otherwise(F.split(text, ","))
 
 
 def _wanted(files: DataFrame, symbols: list[str] | None) -> DataFrame:

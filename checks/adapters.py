@@ -318,9 +318,43 @@ def factor_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     odd_heads = odd.selectExpr("symbol", "0L as line_no", "if(kind = 0, 'when,A', 'time,A') as line")
     odd_rows = odd.selectExpr("symbol", "1L as line_no", "if(kind = 0, '2024-01-01,1', '2024-01-01,1,2') as line")
-    return rows.unionByName(heads).unionByName(odd_heads).unionByName(odd_rows).selectExpr(
+    placed = rows.unionByName(heads).unionByName(odd_heads).unionByName(odd_rows).selectExpr(
         "concat('csv/', symbol, '.csv') as src_path", "0L as block", "line_no", "line", "symbol"
     )
+    return placed.unionByName(_torn_lines(spark, folder))
+
+
+def _torn_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Files in blocks of 500 records with line breaks in quotes; one of each kind of time text per status."""
+    records = table(spark, folder, "orders").selectExpr(
+        "o_orderstatus", "o_orderkey", "explode(array('us', 'eu', 'name')) as kind",
+    ).selectExpr(
+        "concat(kind, '_', o_orderstatus) as symbol", "o_orderkey",
+        # The first record of a file shows the order of day and month.
+        "max(struct(-o_orderkey)) over (partition by kind, o_orderstatus).col1 = -o_orderkey as first", "kind",
+    ).join(
+        table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice"), "o_orderkey"
+    ).selectExpr(
+        "symbol", "o_orderkey",
+        """concat_ws(',',
+             case kind when 'us' then date_format(o_orderdate, 'MM/dd/yyyy')
+               when 'eu' then if(first, '31/12/1999', date_format(o_orderdate, 'dd/MM/yyyy'))
+               else date_format(o_orderdate, 'MMM d yyyy HH:mm') end,
+             if(o_orderkey % 3 = 0, concat('"first, line\n\nof ""three"" ', o_custkey, '\n"'), cast(o_custkey as string)),
+             if(o_orderkey % 5 = 0, concat('"', o_custkey, '\n"'), cast(o_custkey as string)),
+             concat('5" disk'))  as record""",
+    )
+    lines = records.selectExpr(
+        "symbol", "o_orderkey div 500 as block", "o_orderkey",
+        "posexplode(split(record, '\n')) as (place, line)",
+    ).selectExpr("symbol", "block", "(o_orderkey + 1) * 10 + place as line_no", "line")
+    heads = records.select("symbol").distinct().selectExpr(
+        "symbol", "0L as block", "explode(array(struct(0L as line_no, 'time,\"A' as line), struct(1L as line_no,"
+        " 'long name\",B,Disk' as line))) as head",
+    ).selectExpr("symbol", "block", "head.line_no", "head.line")
+    return lines.unionByName(heads).selectExpr(
+        "concat('csv/', symbol, '.csv') as src_path", "block", "line_no", "line", "symbol"
+    )
 
 
 def zipped_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -508,7 +508,16 @@ per_file AS (
             UNION ALL SELECT symbol, datetime, 'Note', CAST(o_custkey AS DOUBLE), 'coinmetrics' FROM rows
               WHERE o_orderkey % 5 <> 0
             UNION ALL SELECT symbol, datetime, 'Flag', CASE WHEN o_orderkey % 3 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE,
-              'coinmetrics' FROM rows WHERE o_orderkey % 3 < 2""",
+              'coinmetrics' FROM rows WHERE o_orderkey % 3 < 2
+            UNION ALL SELECT symbol, datetime, f.name, CAST(o_custkey AS DOUBLE), 'coinmetrics'
+            FROM (
+              SELECT k.kind || '_' || o_orderstatus AS symbol, o_orderkey, o_custkey,
+                CASE k.kind WHEN 'name' THEN date_trunc('minute', o_orderdate)
+                  WHEN 'eu' THEN CASE WHEN o_orderkey = min(o_orderkey) OVER (PARTITION BY o_orderstatus)
+                    THEN TIMESTAMP '1999-12-31' ELSE date_trunc('day', o_orderdate) END
+                  ELSE date_trunc('day', o_orderdate) END AS datetime
+              FROM orders, (VALUES ('us'), ('eu'), ('name')) k(kind)) t, (VALUES ('A\nlong name'), ('B')) f(name)
+            WHERE f.name = 'B' OR o_orderkey % 3 <> 0""",
         "factor_rejects": """
             SELECT 'csv/bad' || n_nationkey || '.csv' AS src_path,
               CASE WHEN n_nationkey % 2 = 0 THEN 'missing required ''time'' column'

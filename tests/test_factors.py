@@ -1,3 +1,6 @@
+import csv
+import io
+import random
 from datetime import datetime, timezone
 
 import pandas as pd
@@ -6,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlemill import MarketStore
 from candlemill.operators import factors
+from candlemill.plans import factor_ingest
 from candlemill.plans.factor_ingest import ingest_factors
 from candlemill.sources import factor_files
 from candlemill.sources.tables import factor_table
@@ -272,3 +276,88 @@ def test_empty_files_count_and_unwanted_ones_stay_unopened(spark, tree, tmp_path
     assert (done.read, done.refused) == (2, 1)
     plan = factor_files.factor_lines(spark, folder, ["btc"])._jdf.queryExecution().executedPlan().toString()
     assert "file_path" in plan.split("DataFilters: [")[1].split("], Format")[0]
+
+
+def quoted_file(source):
+    """Random cells with commas, quotes and line breaks, some quotes in the middle of a cell."""
+    pieces = ["a", "7", ",", "\n", '"', "", " ", "é", ",\n"]
+    rows = []
+    for _ in range(source.randint(1, 12)):
+        cells = []
+        for _ in range(3):
+            text = "".join(source.choice(pieces) for _ in range(source.randint(0, 4)))
+            if source.random() < 0.6:
+                cells.append('"' + text.replace('"', '""') + '"')
+            else:
+                plain = text.replace(",", ";").replace("\n", "_")
+                cells.append(plain if not plain.startswith('"') else "x" + plain)
+        rows.append(",".join(cells))
+    return "h1,h2,h3\n" + "\n".join(rows) + "\n"
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 1000])
+def test_records_are_those_of_a_csv_reader(spark, size):
+    """Lines dealt over blocks of any size; held against the library's own reader."""
+    source = random.Random(size)
+    texts = {f"f{i}": quoted_file(source) for i in range(40)} | {
+        "open": 'h1,h2,h3\n1,"2,3\n4,5,6\n', "plain": "h1,h2,h3\n1,2,3\n", "late": 'h1,h2,h3\n1,5" disk,3\n"4\n",5,6\n',
+    }
+    lines = [
+        (path, path, i // size, i, line) for path, text in texts.items() for i, line in enumerate(text.split("\n"))
+    ]
+    frame = spark.createDataFrame(lines, "src_path string, symbol string, block long, line_no long, line string")
+    read = factor_files.records(frame.repartition(5))
+    found = {}
+    for r in read.collect():
+        found.setdefault(r["src_path"], []).append((r["block"], r["line_no"], r["cells"], r["unclosed"]))
+    assert {p for p, rows in found.items() if any(r[3] for r in rows)} == {"open"}
+    for path, text in texts.items():
+        if path != "open":
+            wanted = [row for row in csv.reader(io.StringIO(text, newline="")) if "".join(row).strip() or len(row) > 1]
+            assert [r[2] for r in sorted(found[path])] == wanted, text
+    assert [tuple(r) for r in factor_files.rejected_factor_files(frame.filter("src_path = 'open'")).collect()] == [
+        ("open", factor_files.UNCLOSED)]
+
+
+TIMES = {
+    "iso": (["2024-01-03", "2024-1-3", "2024/01/03 10:30", "01/03/2024"], [3, 3, 3, None]),
+    "month first": (["01/03/2024", "1/3/2024 9:05", "13/01/2024", "2024-01-03"], ["1-3", "1-3", None, None]),
+    "day first": (["13/01/2024", "01/03/2024", "31-12-2023"], ["1-13", "3-1", "12-31"]),
+    "names": (["Jan 3 2024", "February 29, 2024 10:00:00", "Feb 30 2024", "Foo 1 2024"], ["1-3", "2-29", None, None]),
+    "day and name": (["3 Jan 2024", "03-Mar-2024", "1 Sept 2024"], ["1-3", "3-3", None]),
+    "none": (["never", "2024-01-03", "01/03/2024", "3 Jan 2024"], [None, "1-3", "1-3", "1-3"]),
+}
+
+
+def test_a_file_has_one_form_of_time(spark, tree):
+    """The first time cell that is not missing settles how all are read."""
+    named = {kind.replace(" ", "_"): texts for kind, (texts, _) in TIMES.items()}
+    folder = tree(**{
+        name: "v,time\n0,NA\n" + "".join(f'{i},"{text}"\n' for i, text in enumerate(texts)) for name, texts in named.items()
+    })
+    cells = factor_files.factor_cells(factor_files.factor_lines(spark, folder)).collect()
+    for kind, (texts, wanted) in TIMES.items():
+        own = [r for r in cells if r["symbol"] == kind.replace(" ", "_")]
+        got = {int(r["raw_value"]): r["datetime"] for r in sorted(own, key=lambda r: r["datetime"] is not None)}
+        for i, (text, day) in enumerate(zip(texts, wanted, strict=True)):
+            shown = got[i] and (got[i].day if isinstance(day, int) else f"{got[i].month}-{got[i].day}")
+            assert shown == day, (kind, text)
+
+
+def test_a_run_reads_its_files_once_and_whole_records(spark, tree, tmp_path, monkeypatch):
+    folder = tree(btc='time,A,"no\nte"\n2024-01-01,1,"x\ny"\n2024-01-02,2,"5"\n', eth="time,A\nJan 3 2024,7\n")
+    scans = []
+    kept = factor_ingest.factor_lines
+
+    def counted(*arguments):
+        frame = kept(*arguments)
+        scans.append(frame)
+        return frame
+
+    monkeypatch.setattr(factor_ingest, "factor_lines", counted)
+    done = ingest_factors(spark, folder, str(tmp_path / "f"))
+    assert (done.read, done.refused, done.stored, done.left_out) == (2, 0, 4, 1)
+    rows = {(r["symbol"], r["factor_name"], r["datetime"].day): r["factor_value"]
+            for r in factor_table(spark, str(tmp_path / "f")).collect()}
+    assert rows == {("btc", "A", 1): 1.0, ("btc", "A", 2): 2.0, ("btc", "no\nte", 2): 5.0, ("eth", "A", 3): 7.0}
+    assert len(scans) == 1 and scans[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1

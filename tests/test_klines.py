@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -180,3 +181,58 @@ def test_compaction_keeps_rows_appended_meanwhile(spark, tmp_path, monkeypatch):
     tables.compact_klines(spark, path)
     rows = kline_table(spark, path).orderBy("open_time").collect()
     assert [(r["open_time"], r["close_price"]) for r in rows] == [(0, 2.0), (3_600_000, 50_050.0)]
+
+
+def stored_days_of(spark, path, days):
+    """A stored table, one file per write: candles of two symbols on each day, each day written twice."""
+    for day in days:
+        rows = [
+            {"symbol": s, "open_time": (day * 1440 + m) * 60_000, "line_no": m} for s in ("A", "B") for m in range(0, 1440, 60)
+        ]
+        for _ in range(2):
+            write_klines(kline_rows(spark, rows), path)
+    return kline_table(spark, path)
+
+
+def test_a_page_is_bounded_on_both_sides(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    stored = stored_days_of(spark, str(tmp_path / "k"), (19_700, 19_740, 19_780))
+    page = klines.page_after(stored, "A", after=("A", 19_700 * 86_400_000 + 20 * 3_600_000), page_size=5)
+    assert [r["open_time"] // 3_600_000 for r in page.collect()] == [
+        19_700 * 24 + h for h in (21, 22, 23)] + [19_740 * 24, 19_740 * 24 + 1]
+    plan = page._jdf.queryExecution().sparkPlan().toString()
+    scans = [scan.split("\n")[0] for scan in plan.split("FileScan")[1:]]
+    wide = [scan for scan in scans if "open_price#" in scan.split("] Batched")[0]]
+    narrow = [scan for scan in scans if scan not in wide]
+    assert len(wide) == 1 and narrow
+    assert all("GreaterThan(open_time" in scan or "open_time#" in scan for scan in scans)
+    assert all(re.search(r"month#\d+ >= ", scan) for scan in scans)
+    # The page's last key reaches the wide scan, as an upper bound and as the last month.
+    filters = wide[0].split("DataFilters")[1]
+    assert re.search(r"open_time#\d+L <= .*[Ss]ubquery", filters) and re.search(r"month#\d+ <= .*[Ss]ubquery", wide[0])
+    both = klines.page_after(stored, ["A", "B"], after=("A", 19_780 * 86_400_000 + 22 * 3_600_000), page_size=3)
+    assert [(r["symbol"], r["open_time"] // 3_600_000 % 24) for r in both.collect()] == [("A", 23), ("B", 0), ("B", 1)]
+    assert klines.page_after(stored, "A", after=("A", 19_781 * 86_400_000), page_size=5).collect() == []
+
+
+def test_batches_scan_whole_rows_once(spark, tmp_path):
+    stored = stored_days_of(spark, str(tmp_path / "k"), (19_700, 19_740))
+    batches = klines.query_batches(stored, ["A", "B"], batch_size=10)
+    rows = batches.orderBy("batch_id", "symbol", "open_time").collect()
+    assert [r["batch_id"] for r in rows] == [i // 10 for i in range(96)]
+    plan = batches._jdf.queryExecution().sparkPlan().toString()
+    schemas = [s.split("ReadSchema")[-1] for s in plan.split("FileScan")[1:]]
+    assert sum("open_price" in s for s in schemas) == 1
+
+
+def test_stream_cuts_frames_out_of_arrow_blocks(spark, tmp_path):
+    stored = stored_days_of(spark, str(tmp_path / "k"), (19_700, 19_740))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        frames = list(klines.stream_batches(stored, ["A", "B"], batch_size=20))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [len(f) for f in frames] == [20] * 4 + [16]
+    together = [(s, t) for f in frames for s, t in zip(f["symbol"], f["open_time"], strict=True)]
+    assert together == sorted(together) and len(set(together)) == 96
+    assert list(frames[0].columns) == COLUMNS
