@@ -12,6 +12,7 @@ from candlemill.llm import (
     warc,
 )
 from candlemill.llm.shared import table, tokenizer_file
+from candlemill.llm.sql import SPELLING, TRIE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,7 +98,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op2_warc": ROUND_TRIP, "op10_perspectives": PERSPECTIVES}
+    sql = {
+        "op2_warc": ROUND_TRIP, "op10_perspectives": PERSPECTIVES, "op12_spelling": SPELLING,
+        "op13_prefix_trie": TRIE,
+    }
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
