@@ -141,6 +141,15 @@ def time_in_form(text: Column, form: Column) -> Column:
 
     The text is brought into ISO order first, so it is parsed in one place.
     """
+    return bound(text, lambda one: bound(_in_iso_order(one, form), from_iso_text))
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once however often it stands in there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _in_iso_order(text: Column, form: Column) -> Column:
     day_first = F.coalesce(form == DAY_FIRST, _large_first(text))
     month_first = F.coalesce(form == MONTH_FIRST, F.lit(True))
     ordered = (
@@ -152,7 +161,7 @@ def time_in_form(text: Column, form: Column) -> Column:
     )
     wide = F.regexp_replace(ordered, r"^(\d{4})-(\d)(?=-)", "$1-0$2")
     wide = F.regexp_replace(wide, r"^(\d{4}-\d{2})-(\d)(?!\d)", "$1-0$2")
-    return from_iso_text(F.regexp_replace(wide, r"^(.{10})[T ](?=\d:)", "$1 0"))
+    return F.regexp_replace(wide, r"^(.{10})[T ](?=\d:)", "$1 0")
 
 
 def _large_first(text: Column) -> Column:

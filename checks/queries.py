@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from candlemill.functions.times import utc_month
 from candlemill.operators import clean, existing, factors, keyed, klines, reports, snapshots
 from candlemill.schema import KLINE, interval_ms
+from candlemill.session import Staging
 from candlemill.sinks import tables
-from candlemill.sources.factor_files import factor_cells, read_truths, rejected_factor_files
+from candlemill.sources.factor_files import factor_cells, read_truths, records, rejected_factor_files
 from candlemill.sources.kline_files import good_rows, rejected_files, typed_lines, unzip_lines
 from checks import adapters
 
@@ -207,8 +208,11 @@ def _marker_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _file_cells(spark: SparkSession, folder: str) -> DataFrame:
-    lines = adapters.factor_lines(spark, folder)
-    cells = read_truths(factor_cells(lines, rejected_factor_files(lines)))
+    # As in a run: what is read more than once is stored once.
+    staging = Staging(spark, "factor-cells")
+    read = staging(records(staging(adapters.factor_lines(spark, folder), "lines"), staging), "records")
+    rejected = staging(rejected_factor_files(read), "rejected")
+    cells = read_truths(staging(factor_cells(read, rejected), "cells"))
     return _plain(factors.factor_rows(factors.coerce_factors(cells)))
 
 
