@@ -257,5 +257,9 @@ def _kept(columns: dict, chain: Chain | None, least: float) -> Iterator[tuple]:
 
 
 def keep_good(docs: DataFrame, chain: Chain | None, least: float = CONTENT_SHARE) -> DataFrame:
-    """The rows of documents that pass, with all their columns; texts aren't shuffled."""
+    """The rows of documents that pass, with all their columns; texts aren't shuffled.
+
+    Null and empty texts have no words and go. Rows that repeat or have no doc_id are judged each by its
+    text; an empty table gives none; other columns, whatever their names, pass through.
+    """
     return map_rows(docs, _kept, docs.schema, chain, least)
