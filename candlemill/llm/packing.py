@@ -14,6 +14,7 @@ import bisect
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -110,6 +111,36 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int) -> DataFrame:
     return map_rows(text_rows(docs), _cut, PIECES, tokenizer, limit)
 
 
+@dataclass
+class Pairs:
+    """Pairs of pieces by their joint length, with where pieces are and how full sequences are by now."""
+
+    total: np.ndarray
+    where: np.ndarray
+    one: np.ndarray
+    other: np.ndarray
+    home: np.ndarray
+    fill: np.ndarray
+
+    def best(self, b: int, filled: int, base: int, gap: int, least: int) -> tuple[int, list[int]] | None:
+        """The longest pair of another sequence, emptier than ``b`` will be, that gives more than ``least``."""
+        low, high = np.searchsorted(self.total, (base + least + 1, base + gap + 1))
+        if low >= high:
+            return None
+        where, one, other = self.where[low:high], self.one[low:high], self.other[low:high]
+        gain = self.total[low:high] - base
+        fits = (where != b) & (self.home[one] == where) & (self.home[other] == where) & (self.fill[where] < filled + gain)
+        at = np.flatnonzero(fits)
+        if not len(at):
+            return None
+        last = at[-1]
+        return int(gain[last]), [int(one[last]), int(other[last])]
+
+    def moved(self, pieces: list[int], b: int, filled: int) -> None:
+        self.home[pieces] = b
+        self.fill[b] = filled
+
+
 class Bins:
     """Sequences of one block, as lists of piece numbers, with the search on them."""
 
@@ -187,18 +218,21 @@ class Bins:
                 self._forget(i)
         return better
 
-    def _all_pairs(self, open_bins: list[int]) -> dict[int, list[tuple[int, int, int]]]:
-        """All pairs of lengths that a sequence holds, by their sum: (sequence, piece, piece)."""
-        pairs: dict[int, list[tuple[int, int, int]]] = {}
+    def _all_pairs(self, open_bins: list[int]) -> Pairs:
+        """All pairs of lengths that a sequence holds; in arrays, as they may be a million."""
+        rows: list[np.ndarray] = []
         for b in open_bins:
-            items = self._two_of_each_length(b)
-            for x, i in enumerate(items):
-                for j in items[x + 1 :]:
-                    total = self.lengths[i] + self.lengths[j]
-                    if total not in pairs:
-                        pairs[total] = []
-                    pairs[total].append((b, i, j))
-        return pairs
+            items = np.array(self._two_of_each_length(b), np.int32)
+            one, other = np.triu_indices(len(items), 1)
+            rows.append(np.stack([np.full(len(one), b, np.int32), items[one], items[other]]))
+        where, one, other = np.concatenate(rows, axis=1) if rows else np.empty((3, 0), np.int32)
+        lengths = np.array(self.lengths, np.int32)
+        total = lengths[one] + lengths[other]
+        order = np.argsort(total, kind="stable")
+        home = np.full(len(self.lengths), -1, np.int32)
+        for i, b in self.home.items():
+            home[i] = b
+        return Pairs(total[order], where[order], one[order], other[order], home, np.array(self.fill, np.int32))
 
     def _two_of_each_length(self, b: int) -> list[int]:
         kept: dict[int, list[int]] = {}
@@ -262,6 +296,9 @@ class Bins:
             self.home[i] = donor
         self.fill[b] += gain
         self.fill[donor] -= gain
+        if self._pairs is not None:
+            self._pairs.moved(came, b, self.fill[b])
+            self._pairs.moved(gone, donor, self.fill[donor])
         return True
 
     def _one_of_each_length(self, b: int) -> list[int]:
@@ -299,15 +336,7 @@ class Bins:
 
     def _listed_pair(self, b: int, base: int, gap: int, least: int) -> tuple[int, list[int]] | None:
         """The same over all sequences; a pair that has been parted since it was listed is passed over."""
-        for total in range(base + gap, base + least, -1):
-            for other, i, j in self._pairs.get(total, ()):
-                gain = total - base
-                if (
-                    other != b and self.home.get(i) == other and self.home.get(j) == other
-                    and self.fill[other] < self.fill[b] + gain
-                ):
-                    return gain, [i, j]
-        return None
+        return self._pairs.best(b, self.fill[b], base, gap, least)
 
     def _two_out(self, b: int, gap: int, sizes: list[int]):
         """Two pieces of ``b``, of any two lengths that it holds, against one longer one."""
