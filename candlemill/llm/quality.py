@@ -4,6 +4,10 @@ Every line with a word gets features (length, symbols, case, sentence end, repet
 random field over the lines of a document, with two labels and weights for label pairs, is decoded by
 Viterbi into content and boilerplate; a document whose content lines hold too small a share of its
 characters goes.
+
+Labels are of documents, not of lines. The lines of a good document are content; which lines of a poor
+document are content is hidden, and its label only bounds their share. The weights are fitted by turns:
+the likeliest distribution over hidden labels within that bound, then the weights that explain it.
 """
 
 from __future__ import annotations
@@ -28,12 +32,16 @@ CHAIN = 16
 """Lines of one training chain; longer documents make several."""
 CHAINS = 8 * SAMPLE
 """Training chains of either kind, at most."""
+POOR_SHARE = 0.2
+"""Share of a poor document's characters, at most, that training takes for content."""
+RENEWED = 10
+"""Gradient steps between two looks at the hidden labels."""
 
 JUDGED = fields(
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, base_failed boolean, content_share double"
 )
-LINES = fields("quality int, doc_id long, place int, features doubles")
+LINES = fields("quality int, doc_id long, place int, features doubles, sizes doubles")
 
 FEATURES = 13
 
@@ -97,37 +105,68 @@ class Chain:
         return labels[::-1]
 
 
-def fit_chain(documents: list[tuple[int, np.ndarray]], rounds: int = 250, ridge: float = 1e-4) -> Chain:
-    """Maximum conditional likelihood on labelled lines, by accelerated gradient steps.
+def fit_chain(chains: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 250, ridge: float = 1e-4) -> Chain:
+    """Maximum conditional likelihood by accelerated gradient steps; labels of poor lines are hidden.
 
-    ``documents``: (label, features of the lines); the lines bear their document's label.
+    ``chains``: (label of the document, features of up to ``CHAIN`` lines, their characters).
     """
-    parts = [
-        (label, f[at : at + CHAIN]) for label, f in documents for at in range(0, len(f), CHAIN)
-    ]
-    m = len(parts)
+    m = len(chains)
     x = np.zeros((m, CHAIN, FEATURES))
     mask = np.zeros((m, CHAIN), bool)
-    y = np.zeros(m, int)
-    for i, (label, f) in enumerate(parts):
-        x[i, : len(f)], mask[i, : len(f)], y[i] = f, True, label
+    shares = np.zeros((m, CHAIN))
+    good = np.zeros(m, bool)
+    for i, (label, f, sizes) in enumerate(chains):
+        x[i, : len(f)], mask[i, : len(f)], good[i] = f, True, label == 1
+        shares[i, : len(f)] = sizes / sizes.sum()
     emit, step = np.zeros((2, FEATURES)), np.zeros((2, 2))
     speed_e, speed_s = np.zeros_like(emit), np.zeros_like(step)
     lines = mask.sum()
     # Content lines weigh thrice: to lose a clean document costs more than to keep a poor one.
-    share = np.bincount(y, weights=mask.sum(1), minlength=2)
-    weight = (lines * np.array([0.25, 0.75]) / np.maximum(share, 1))[y]
-    for _ in range(rounds):
-        grad_e, grad_s = _gradient(x, mask, y, weight, emit, step)
+    of = np.bincount(good, weights=mask.sum(1), minlength=2)
+    weight = (lines * np.array([0.25, 0.75]) / np.maximum(of, 1))[good.astype(int)][:, None] * mask
+    for n in range(rounds):
+        scores = x @ emit.T
+        if n % RENEWED == 0:
+            believed = _believed(scores, mask, shares, good, step)
+        node, pair = _marginals(scores, mask, step)
+        grad_e = np.einsum("mnl,mnf->lf", (believed[0] - node) * weight[:, :, None], x)
+        grad_s = np.einsum("mnij,mn->ij", believed[1] - pair, weight[:, 1:])
         speed_e = 0.9 * speed_e + grad_e / lines - ridge * emit
         speed_s = 0.9 * speed_s + grad_s / lines - ridge * step
         emit, step = emit + 0.5 * speed_e, step + 0.5 * speed_s
     return Chain(tuple(map(tuple, emit.tolist())), tuple(map(tuple, step.tolist())))
 
 
-def _gradient(x, mask, y, weight, emit, step):
-    """Observed minus expected counts, by forward and backward sums in logarithms."""
-    scores = x @ emit.T
+def _believed(scores, mask, shares, good, step) -> tuple[np.ndarray, np.ndarray]:
+    """Distributions over labels and label pairs that the documents' labels allow.
+
+    Good lines are content. For a poor chain it is the distribution nearest to the field's own with an
+    expected content share of at most ``POOR_SHARE``: each line's content score is lowered by its share
+    of the characters times one factor per chain, found by halving.
+    """
+    m, n, _ = scores.shape
+    node, pair = np.zeros((m, n, 2)), np.zeros((m, n - 1, 2, 2))
+    node[good, :, 1], pair[good, :, 1, 1] = mask[good], mask[good, 1:]
+    poor = ~good
+    own, inside, share = scores[poor], mask[poor], shares[poor]
+
+    def lowered(factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        tilted = own.copy()
+        tilted[:, :, 1] -= factor[:, None] * share
+        return _marginals(tilted, inside, step)
+
+    low, high = np.zeros(len(own)), np.full(len(own), float(1 << 12))
+    above = (lowered(low)[0][:, :, 1] * share).sum(1) > POOR_SHARE
+    for _ in range(18):
+        middle = (low + high) / 2
+        over = (lowered(middle)[0][:, :, 1] * share).sum(1) > POOR_SHARE
+        low, high = np.where(over, middle, low), np.where(over, high, middle)
+    node[poor], pair[poor] = lowered(np.where(above, high, 0.0))
+    return node, pair
+
+
+def _marginals(scores, mask, step) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of labels and of label pairs, by forward and backward sums in logarithms."""
     m, n, _ = scores.shape
     forward = np.zeros((m, n, 2))
     backward = np.zeros((m, n, 2))
@@ -139,20 +178,12 @@ def _gradient(x, mask, y, weight, emit, step):
         new = np.logaddexp.reduce(step + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
         backward[:, t] = np.where(mask[:, t + 1, None], new, 0.0)
     total = np.logaddexp.reduce(forward[:, -1], axis=1)
-    node = np.exp(forward + backward - total[:, None, None]) * mask[:, :, None] * weight[:, None, None]
-    true = np.zeros((m, n, 2))
-    true[np.arange(m), :, y] = mask * weight[:, None]
-    grad_e = np.einsum("mnl,mnf->lf", true - node, x)
-    inner = mask[:, 1:] * weight[:, None]
+    node = np.exp(forward + backward - total[:, None, None]) * mask[:, :, None]
     pair = (
         forward[:, :-1, :, None] + step + (scores[:, 1:] + backward[:, 1:])[:, :, None, :]
         - total[:, None, None, None]
     )
-    expected = np.einsum("mnij,mn->ij", np.exp(np.minimum(pair, 0.0)), inner)
-    seen = np.zeros((2, 2))
-    for label in (0, 1):
-        seen[label, label] = inner[y == label].sum()
-    return grad_e, seen - expected
+    return node, np.exp(np.minimum(pair, 0.0)) * mask[:, 1:, None, None]
 
 
 def _featured(columns: dict) -> Iterator[tuple]:
@@ -161,7 +192,8 @@ def _featured(columns: dict) -> Iterator[tuple]:
         if lines and not base_failed(text)[1]:
             features = all_features(lines)
             for at in range(0, len(lines), CHAIN):
-                yield quality, doc_id, at, features[at : at + CHAIN].ravel().tolist()
+                cut = slice(at, at + CHAIN)
+                yield quality, doc_id, at, features[cut].ravel().tolist(), [float(len(x)) for x in lines[cut]]
 
 
 def _by_hash(df: DataFrame, most: int, *key: str) -> DataFrame:
@@ -173,7 +205,7 @@ def _by_hash(df: DataFrame, most: int, *key: str) -> DataFrame:
 
 
 def training_chains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = CHAINS) -> DataFrame:
-    """Per chosen chain: quality, doc_id, place and features of up to ``CHAIN`` lines.
+    """Per chosen chain: quality, doc_id, place, features and sizes of up to ``CHAIN`` lines.
 
     Of rows that share a doc_id, one text teaches (the least by hash).
     """
@@ -196,10 +228,10 @@ def learn_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Cha
     no field (None).
     """
     got = [
-        (r.quality, np.array(r.features).reshape(-1, FEATURES))
+        (r.quality, np.array(r.features).reshape(-1, FEATURES), np.array(r.sizes))
         for r in training_chains(docs, labels, sample).collect()
     ]
-    if {q for q, _ in got} != {0, 1}:
+    if {q for q, *_ in got} != {0, 1}:
         return None
     return fit_chain(sorted(got, key=lambda g: (g[0], len(g[1]), float(g[1].sum()))))
 

@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 from candlemill.llm import quality, rules, textstats
@@ -56,6 +57,44 @@ def test_field_keeps_good_and_drops_poor_documents(spark):
     assert sum(poor) <= 0.05 * len(poor)
 
 
+def test_lines_of_mixed_documents_are_told_apart(spark):
+    """Held-out good and poor lines spliced: at least 0.9 of the lines get their own label."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    chain = quality.learn_chain(docs, labels.where("doc_id % 2 = 0"))
+    rows = docs.join(labels, "doc_id").where("text IS NOT NULL").orderBy("doc_id").collect()
+    lines = {0: [], 1: []}
+    for r in rows:
+        if r.doc_id % 2 and not quality.base_failed(r.text)[1]:
+            lines[r.quality] += [x for x in textstats.lines_of(r.text) if len(x) > (60 if r.quality else 200)]
+    source = random.Random(1)
+    right = told = parted = 0
+    for _ in range(200):
+        kinds = [k for kind in source.choice([(1, 0, 1), (0, 1, 0), (1, 0), (0, 1)])
+                 for k in [kind] * source.randint(1, 4)]
+        got = chain.decode(quality.all_features([source.choice(lines[k]) for k in kinds]))
+        right += sum(a == b for a, b in zip(got, kinds, strict=True))
+        told += len(kinds)
+        parted += got == kinds
+    assert right >= 0.9 * told and parted >= 120
+    # The documents of the table itself come out with lines of both kinds, too.
+    mixed = quality.judge(docs, chain).where("content_share > 0 AND content_share < 1").count()
+    assert mixed >= 10
+
+
+def test_hidden_labels_keep_to_their_bound():
+    """One poor chain of two lines, the field for content: only the share's bound holds it down."""
+    import numpy as np
+
+    scores = np.zeros((2, 2, 2))
+    scores[:, :, 1] = 3.0
+    mask = np.ones((2, 2), bool)
+    shares = np.full((2, 2), 0.5)
+    node, pair = quality._believed(scores, mask, shares, np.array([True, False]), np.zeros((2, 2)))
+    assert node[0, :, 1].tolist() == [1.0, 1.0] and pair[0, 0, 1, 1] == 1.0
+    assert abs(node[1, :, 1].mean() - quality.POOR_SHARE) < 1e-3
+    assert abs(node[1].sum() - 2) < 1e-9 and abs(pair[1].sum() - 1) < 1e-9
+
+
 def test_training_chains_are_bounded_by_documents_and_lines(spark, documents):
     """A doc_id of many rows teaches once; a long text gives no more chains than are asked for."""
     def text(n):
