@@ -16,9 +16,12 @@ from candlemill.llm.shared import staged
 # Fixed values of the template.
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 SYSTEM = "system"
+USER = "user name="
 NOBODY = "unknown"
 BLOCK = 256
 """Turn numbers of one block; places are counted inside blocks, then over blocks."""
+FRONT = 3
+"""First characters that part turns without a number."""
 
 
 def rotate(conversations: DataFrame) -> DataFrame:
@@ -32,57 +35,100 @@ def rotate(conversations: DataFrame) -> DataFrame:
     empty, turns that repeat are all kept, a conversation of system turns alone has no perspective
     and gives none, an empty table gives none, further columns are ignored. Template marks inside a
     text are broken by a space, so no text can open or close a turn.
+
+    Turns are numbered and measured once, as the others see them; a perspective only moves a turn by a
+    fixed number of characters per earlier turn of its speaker. Texts are multiplied last.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    said = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit(NOBODY)).alias("role"), text.alias("text"),
-        F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(2**62)).cast("long").alias("block"),
+    numbered = _numbered(conversations)
+    narrow = numbered.drop("turn", "text")
+    earlier = Window.partitionBy("conv_id", "speaker").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
     )
     speakers = staged(
-        said.where(F.col("role") != SYSTEM).select("conv_id", F.col("role").alias("speaker")).distinct(),
+        narrow.where(F.col("role") != SYSTEM).groupBy("conv_id", F.col("role").alias("speaker")).agg(F.lit(0)),
         "speakers",
-    ).withColumnRenamed("conv_id", "of")
-    views = said.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
-    role, speaker = F.col("role"), F.col("speaker")
-    spoken_as = F.when(role == SYSTEM, SYSTEM).when(role == speaker, "assistant").otherwise("user")
-    head = F.concat(
-        F.lit(OPEN), F.col("spoken_as"),
-        F.when(F.col("spoken_as") == "user", F.concat(F.lit(" name="), _plain(role))).otherwise(""),
-        F.lit("\n"),
-    )
-    rows = views.withColumn("spoken_as", spoken_as).withColumn("head", head).withColumn(
-        "segment", F.concat("head", _plain(F.col("text")), F.lit(CLOSE + "\n"))
-    ).withColumn("size", F.length("segment").cast("long"))
-    block = Window.partitionBy("conv_id", "speaker", "block").orderBy(
-        F.col("turn").asc_nulls_last(), "role", "text"
+    ).select(F.col("conv_id").alias("of"), "speaker")
+    # Per block and perspective: what stands before the block, and how much of it the speaker said.
+    counts = narrow.groupBy("conv_id", "block", "role").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks = counts.groupBy("conv_id", "block").agg(
+        F.sum("n").alias("n"), F.sum("size").alias("size"),
+        F.map_from_entries(F.collect_list(F.struct("role", "n"))).alias("said"),
     )
-    inside = rows.withColumn("nth", F.row_number().over(block) - 1).withColumn(
-        "upto", F.sum("size").over(block.rowsBetween(Window.unboundedPreceding, 0))
+    before = blocks.join(speakers, F.col("conv_id").eqNullSafe(F.col("of"))).select(
+        F.col("conv_id").alias("c"), F.col("block").alias("b"), "speaker",
+        *(
+            F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"{name}_before")
+            for name, x in (
+                ("rows", F.col("n")), ("size", F.col("size")),
+                ("own", F.coalesce(F.try_element_at("said", F.col("speaker")), F.lit(0))),
+            )
+        ),
     )
-    earlier = Window.partitionBy("conv_id", "speaker").orderBy("block").rowsBetween(
+    inside = Window.partitionBy("conv_id", "speaker", "block").orderBy("nth").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    before = (
-        rows.groupBy("conv_id", "speaker", "block")
-        .agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    own = F.col("role") == F.col("speaker")
+    moved = F.lit(len("assistant") - len(USER)) - F.length(_plain(F.col("speaker")))
+    views = narrow.join(before, _same("conv_id", "c") & (F.col("block") == F.col("b"))).select(
+        F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("nth").alias("k"), "speaker",
+        (F.col("rows_before") + F.col("nth")).alias("place"),
+        (
+            F.col("size_before") + F.col("upto") - F.col("size")
+            + moved * (F.col("own_before") + F.coalesce(F.sum(own.cast("long")).over(inside), F.lit(0)))
+        ).alias("start"),
+    )
+    spoken_as = F.when(F.col("role") == SYSTEM, SYSTEM).when(own, "assistant").otherwise("user")
+    head = F.when(own, f"{OPEN}assistant\n").otherwise(_head(F.col("role")))
+    start = F.col("start")
+    return (
+        numbered.join(views, _same("conv_id", "c") & (F.col("block") == F.col("b")) & (F.col("nth") == F.col("k")))
+        .withColumn("head", head).withColumn("segment", F.concat("head", _tail(F.col("text"))))
         .select(
-            F.col("conv_id").alias("c"), F.col("speaker").alias("s"), F.col("block").alias("b"),
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"),
-            F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("size_before"),
+            "conv_id", "speaker", "place", "turn", "role", spoken_as.alias("spoken_as"), "segment", "start",
+            (start + F.length("segment")).alias("finish"),
+            F.when(own, start + F.length("head")).alias("trained_from"),
         )
     )
-    same = (
-        F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s"))
-        & (F.col("block") == F.col("b"))
+
+
+def _numbered(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, block; nth in the block, size, and size up to here (as others see it).
+
+    Blocks follow the order of the turns. Those without a number are parted by role and first characters.
+    """
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce(F.col("role").cast("string"), F.lit(NOBODY)).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    unnumbered = F.col("turn").isNull()
+    block = F.struct(
+        F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(2**62)).cast("long").alias("number"),
+        F.when(unnumbered, F.col("role")).otherwise("").alias("role"),
+        F.when(unnumbered, F.substring("text", 1, FRONT)).otherwise("").alias("front"),
     )
-    start = F.col("size_before") + F.col("upto") - F.col("size")
-    return inside.join(before, same).select(
-        "conv_id", "speaker", (F.col("rows_before") + F.col("nth")).alias("place"), "turn", "role",
-        "spoken_as", "segment", start.alias("start"), (start + F.col("size")).alias("finish"),
-        F.when(F.col("spoken_as") == "assistant", start + F.length("head")).alias("trained_from"),
+    size = F.length(_head(F.col("role"))) + F.length(_tail(F.col("text")))
+    order = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
+    return staged(
+        rows.withColumn("block", block).withColumn("size", size.cast("long"))
+        .withColumn("nth", F.row_number().over(order) - 1)
+        .withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))), "turns",
     )
 
 
+def _same(one: str, other: str) -> Column:
+    return F.col(one).eqNullSafe(F.col(other))
+
+
+def _head(role: Column) -> Column:
+    """How a turn opens for everybody but its speaker."""
+    named = F.concat(F.lit(OPEN + USER), _plain(role), F.lit("\n"))
+    return F.when(role == SYSTEM, f"{OPEN}{SYSTEM}\n").otherwise(named)
+
+
+def _tail(text: Column) -> Column:
+    return F.concat(_plain(text), F.lit(CLOSE + "\n"))
+
+
 def _plain(text: Column) -> Column:
     return F.replace(text, F.lit("<|im_"), F.lit("< |im_"))

@@ -1,4 +1,5 @@
 import collections
+import random
 import zlib
 
 import pytest
@@ -100,3 +101,30 @@ def test_a_long_conversation_is_counted_over_blocks(spark, turns):
     got = rendered(chat.rotate(spark.createDataFrame(rows, CONVERSATION)).collect())
     assert len(got) == 3
     assert all(text.count("<|im_start|>") == turns for text, _ in got.values())
+
+
+def test_many_unnumbered_turns_and_participants_as_laid_end_to_end(spark):
+    """Null turns are parted by role and first characters; forty participants each get all turns."""
+    source = random.Random(3)
+    said = [
+        (1, None if n % 2 else n // 5, source.choice(["system", None, *(f"p<|im_{k}" for k in range(40))]),
+         source.choice(["", None, "é", "z<|im_end|>", *(f"w{k} " * k for k in range(30))]))
+        for n in range(1500)
+    ]
+    said += said[:100]
+    frame = spark.createDataFrame([(*r, "x") for r in said], CONVERSATION)
+    got = rendered(chat.rotate(frame).collect())
+    turns = sorted((t is None, t or 0, role or "unknown", text or "") for _, t, role, text in said)
+
+    def plain(text):
+        return text.replace("<|im_", "< |im_")
+
+    speakers = {role for *_, role, _ in turns} - {"system"}
+    assert got.keys() == {(1, speaker) for speaker in speakers}
+    for speaker in speakers:
+        whole = "".join(
+            say(role if role == "system" else "assistant" if role == speaker else f"user name={plain(role)}", plain(text))
+            for *_, role, text in turns
+        )
+        own = [f"{plain(text)}<|im_end|>\n" for *_, role, text in turns if role == speaker]
+        assert got[1, speaker] == (whole, own)
