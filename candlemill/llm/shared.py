@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -76,11 +77,21 @@ def map_rows(
                         out = []
                 if out:
                     yield _to_batch(out, arrow)
+        _give_back()
 
     _ship(df.sparkSession)
     return df.mapInArrow(batches, schema)
 
 
+def _give_back() -> None:
+    """What the allocators of a worker keep beyond its task goes back to the machine; workers are used again."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # Not the C library that has it.
+
+
 def _pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
     step = max(1, min(batch.num_rows, int(batch.num_rows * most / max(batch.nbytes, 1))))
     for start in range(0, batch.num_rows, step):
@@ -149,6 +160,7 @@ def map_parts(
                 out = []
         if out:
             yield _to_batch(out, arrow)
+        _give_back()
 
     _ship(df.sparkSession)
     return df.mapInArrow(batches, schema)
