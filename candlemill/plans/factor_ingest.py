@@ -43,7 +43,7 @@ def ingest_factors(
         lines = staging(factor_lines(spark, folder, symbols), "lines")
         read = staging(records(lines, staging), "records")
         rejected = staging(rejected_factor_files(read), "rejected")
-        coerced = staging(coerce_factors(read_truths(factor_cells(read, rejected))), "cells")
+        coerced = staging(coerce_factors(read_truths(factor_cells(read, rejected, staging))), "cells")
         counts = drop_stats(coerced, by=()).first()
         if not dry_run and counts["rows_kept"]:
             stamp = F.lit(datetime.now(timezone.utc)).cast("timestamp")

@@ -326,14 +326,17 @@ def factor_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _torn_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Files in blocks of 500 records with line breaks in quotes; one of each kind of time text per status."""
-    records = table(spark, folder, "orders").selectExpr(
-        "o_orderstatus", "o_orderkey", "explode(array('us', 'eu', 'name')) as kind",
-    ).selectExpr(
-        "concat(kind, '_', o_orderstatus) as symbol", "o_orderkey",
-        # The first record of a file shows the order of day and month.
-        "max(struct(-o_orderkey)) over (partition by kind, o_orderstatus).col1 = -o_orderkey as first", "kind",
+    orders = table(spark, folder, "orders")
+    # The first record of a file shows the order of day and month.
+    firsts = orders.groupBy(F.col("o_orderstatus").alias("status")).agg(F.min("o_orderkey").alias("first_key"))
+    kinds = "explode(array('us', 'eu', 'name')) as kind"
+    symbol = "concat(kind, '_', o_orderstatus) as symbol"
+    records = orders.select("o_orderkey", "o_orderstatus").join(
+        F.broadcast(firsts), F.col("o_orderstatus").eqNullSafe(F.col("status"))
     ).join(
-        table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_custkey", "o_totalprice"), "o_orderkey"
+        orders.select("o_orderkey", "o_orderdate", "o_custkey"), "o_orderkey"
+    ).selectExpr("*", kinds).selectExpr(
+        symbol, "o_orderkey", "o_orderkey = first_key as first", "kind", "o_orderdate", "o_custkey"
     ).selectExpr(
         "symbol", "o_orderkey",
         """concat_ws(',',
@@ -348,7 +351,8 @@ def _torn_lines(spark: SparkSession, folder: str) -> DataFrame:
         "symbol", "o_orderkey div 500 as block", "o_orderkey",
         "posexplode(split(record, '\n')) as (place, line)",
     ).selectExpr("symbol", "block", "(o_orderkey + 1) * 10 + place as line_no", "line")
-    heads = records.select("symbol").distinct().selectExpr(
+    named = orders.filter("o_orderkey is not null").select("o_orderstatus").distinct()
+    heads = named.selectExpr("*", kinds).selectExpr(symbol).distinct().selectExpr(
         "symbol", "0L as block", "explode(array(struct(0L as line_no, 'time,\"A' as line), struct(1L as line_no,"
         " 'long name\",B,Disk' as line))) as head",
     ).selectExpr("symbol", "block", "head.line_no", "head.line")

@@ -207,12 +207,16 @@ def _marker_files(spark: SparkSession, folder: str) -> DataFrame:
     return announced.select("src_path", "interval", "date")
 
 
-def _file_cells(spark: SparkSession, folder: str) -> DataFrame:
+def _records(spark: SparkSession, folder: str, staging: Staging) -> DataFrame:
     # As in a run: what is read more than once is stored once.
+    return staging(records(staging(adapters.factor_lines(spark, folder), "lines"), staging), "records")
+
+
+def _file_cells(spark: SparkSession, folder: str) -> DataFrame:
     staging = Staging(spark, "factor-cells")
-    read = staging(records(staging(adapters.factor_lines(spark, folder), "lines"), staging), "records")
+    read = _records(spark, folder, staging)
     rejected = staging(rejected_factor_files(read), "rejected")
-    cells = read_truths(staging(factor_cells(read, rejected), "cells"))
+    cells = read_truths(factor_cells(read, rejected, staging))
     return _plain(factors.factor_rows(factors.coerce_factors(cells)))
 
 

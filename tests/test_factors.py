@@ -361,3 +361,70 @@ def test_a_run_reads_its_files_once_and_whole_records(spark, tree, tmp_path, mon
             for r in factor_table(spark, str(tmp_path / "f")).collect()}
     assert rows == {("btc", "A", 1): 1.0, ("btc", "A", 2): 2.0, ("btc", "no\nte", 2): 5.0, ("eth", "A", 3): 7.0}
     assert len(scans) == 1 and scans[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_only_files_with_an_open_line_are_walked(spark):
+    """Quotes that close within their line need no state of lines; records stored on the way are the same."""
+    texts = {
+        "closed": 'time,A\n2024-01-01,"1,5"\n2024-01-02,"x, y"\n', "plain": 'time,A\n2024-01-01,5" disk\n',
+        "open": 'time,A\n2024-01-01,"x\ny"\n2024-01-02,3\n2024-01-03,"z\n\n"\n2024-01-04,4\n',
+    }
+    lines = [(p, p, i // 2, i, line) for p, text in texts.items() for i, line in enumerate(text.split("\n"))]
+    frame = spark.createDataFrame(lines, "src_path string, symbol string, block long, line_no long, line string")
+    stored = {}
+    read = factor_files.records(frame, lambda df, name: stored.setdefault(name, df.localCheckpoint()))
+    assert [r["src_path"] for r in stored["torn"].collect()] == ["open"]
+    assert {r["src_path"] for r in stored["pieces"].collect()} == {"open"}
+    got = {p: [r["cells"] for r in sorted(read.filter(F.col("src_path") == p).collect(), key=lambda r: r["line_no"])]
+           for p in texts}
+    assert got == {p: list(csv.reader(io.StringIO(text, newline=""))) for p, text in texts.items()}
+
+
+def test_records_and_cells_are_not_dealt_out_by_file(spark):
+    """What is known of a file travels to its records; a large file would else be one key of a join."""
+    rows = [("f", "f", 0, i, ["2024-01-01", "True", str(i)], False) for i in range(1, 4)]
+    read = spark.createDataFrame(
+        [("f", "f", 0, 0, ["time", "A", "B"], False), *rows],
+        "src_path string, symbol string, block long, line_no long, cells array<string>, unclosed boolean",
+    )
+    stored = {}
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cells = factor_files.read_truths(factor_files.factor_cells(read))
+        assert "SortMergeJoin" not in cells._jdf.queryExecution().executedPlan().toString()
+        # Times are read and stored per record, not behind the explode.
+        factor_files.factor_cells(read, materialise=lambda df, name: stored.setdefault(name, df.localCheckpoint()))
+        assert stored["timed"].count() == 3 and "datetime" in stored["timed"].columns
+        assert {(r["factor_name"], r["raw_value"]) for r in cells.collect()} == {
+            ("A", "1"), ("B", "1"), ("B", "2"), ("B", "3")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+@pytest.fixture
+def orders_folder(spark, tmp_path):
+    from datetime import timedelta
+
+    rows = [
+        (key, key % 7, "FOP"[key % 3], key * 1.5, datetime(1995, 1, 1) + timedelta(days=key), "1-URGENT")
+        for key in range(5, 1205)
+    ]
+    spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(4).selectExpr("int(id) as n_nationkey").write.parquet(str(tmp_path / "nation.parquet"))
+    return str(tmp_path)
+
+
+def test_lines_of_the_check_are_built_without_a_window_per_file(spark, orders_folder):
+    from checks import adapters
+
+    lines = adapters.factor_lines(spark, orders_folder)
+    assert "Window" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    eu = lines.filter("symbol = 'eu_F' and line like '31/12/1999%'").collect()
+    assert [r["line_no"] for r in eu] == [(6 + 1) * 10]
+    heads = lines.filter("line_no = 0").select("symbol").collect()
+    assert sorted(r["symbol"] for r in heads) == sorted(
+        [*"FOP", *(f"bad{i}" for i in range(4)), *(f"{kind}_{status}" for kind in ("us", "eu", "name") for status in "FOP")])
