@@ -112,7 +112,7 @@ def queries() -> dict[str, Query]:
             snapshots.payload_hash(F.col("payload")).alias("payload_hash"),
         ),
         "factor_file_cells": _file_cells,
-        "factor_rejects": lambda s, d: rejected_factor_files(adapters.factor_lines(s, d)),
+        "factor_rejects": _rejects,
         "archive_rows": _archive_rows,
         "kline_table_rows": lambda s, d: tables.kline_table_rows(adapters.klines(s, d)).select(
             "interval", "month", "symbol", "open_time", "close_time", "close_price", "trades_count", "line_no"
@@ -212,6 +212,10 @@ def _records(spark: SparkSession, folder: str, staging: Staging) -> DataFrame:
     return staging(records(staging(adapters.factor_lines(spark, folder), "lines"), staging), "records")
 
 
+def _rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return rejected_factor_files(_records(spark, folder, Staging(spark, "factor-rejects")))
+
+
 def _file_cells(spark: SparkSession, folder: str) -> DataFrame:
     staging = Staging(spark, "factor-cells")
     read = _records(spark, folder, staging)

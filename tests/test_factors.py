@@ -428,3 +428,15 @@ def test_lines_of_the_check_are_built_without_a_window_per_file(spark, orders_fo
     heads = lines.filter("line_no = 0").select("symbol").collect()
     assert sorted(r["symbol"] for r in heads) == sorted(
         [*"FOP", *(f"bad{i}" for i in range(4)), *(f"{kind}_{status}" for kind in ("us", "eu", "name") for status in "FOP")])
+
+
+def test_rejects_read_stored_records(spark, orders_folder):
+    from checks.queries import queries
+
+    found = queries()["factor_rejects"](spark, orders_folder)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Window" not in plan and "Join" not in plan
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (f"csv/bad{i}.csv", "a line has more cells than the header" if i % 2 else "missing required 'time' column")
+        for i in range(4)
+    ]
