@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlemill.llm.bytelevel import AGREED, Memo, byte_alphabet
-from candlemill.llm.shared import fields, map_rows, staged, text_rows
+from candlemill.llm.shared import fields, give_back, map_rows, staged, text_rows
 
 BLOCK = 16_384
 """Pieces packed together in one task."""
 ROUNDS = 2
 """How often underfull sequences meet those of other blocks."""
 MEMO = 400_000
-"""Words remembered in a worker, about 60 MB."""
+"""Words remembered in a worker, and as many pre-tokens, older ones included; about 110 MB together."""
 # Fixed value: the pre-token pattern of the word tokenizer.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 # Control characters that Python takes for white space and the library doesn't.
@@ -60,8 +60,8 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.alphabet = byte_alphabet()
-        self.words = Memo(MEMO, self._cut)
-        self.parts = Memo(MEMO, self._part)
+        self.words = Memo(MEMO // 2, self._cut)
+        self.parts = Memo(MEMO // 2, self._part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -81,11 +81,16 @@ class WordIds:
         return self._whole(word) if "<|" in word or AGREED.search(word) else self.words[word]
 
     def _cut(self, word: str) -> bytes:
-        """For agreed characters the library's normal form is just lower case."""
-        return b"".join(map(self.parts.__getitem__, PRE_TOKEN.findall(word.lower())))
+        """For agreed characters the library's normal form is just lower case; letters alone are one pre-token."""
+        word = word.lower()
+        if word.isascii() and word.isalpha():
+            return self.parts[word]
+        return b"".join(map(self.parts.__getitem__, PRE_TOKEN.findall(word)))
 
     def _part(self, part: str) -> bytes:
-        mapped = "".join([self.alphabet[b] for b in part.encode()])
+        # Printable ASCII stands for itself.
+        plain = part.isascii() and part.isprintable()
+        mapped = part if plain else "".join([self.alphabet[b] for b in part.encode()])
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
 
@@ -94,6 +99,13 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _forget_words() -> None:
+    """Workers are used again: memos and tokenizer make room once all pieces are cut."""
+    if _word_ids.cache_info().currsize:
+        _word_ids.cache_clear()
+        give_back()
+
+
 def _cut(columns: dict, path: str, limit: int) -> Iterator[tuple]:
     texts = [t or "" for t in columns["text"]]
     row = 0
@@ -367,6 +379,7 @@ class Bins:
 
 def _pack(block: pd.DataFrame, limit: int, base: int) -> pd.DataFrame:
     """Pack one block; rows that already have a sequence start from it."""
+    _forget_words()
     block = block.sort_values(["salt", "doc_id", "piece"], kind="stable").reset_index(drop=True)
     lengths = block["length"].astype(int).tolist()
     bins = Bins(lengths, limit)

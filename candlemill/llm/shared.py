@@ -77,13 +77,13 @@ def map_rows(
                         out = []
                 if out:
                     yield _to_batch(out, arrow)
-        _give_back()
+        give_back()
 
     _ship(df.sparkSession)
     return df.mapInArrow(batches, schema)
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """What the allocators of a worker keep beyond its task goes back to the machine; workers are used again."""
     pa.default_memory_pool().release_unused()
     try:
@@ -160,7 +160,7 @@ def map_parts(
                 out = []
         if out:
             yield _to_batch(out, arrow)
-        _give_back()
+        give_back()
 
     _ship(df.sparkSession)
     return df.mapInArrow(batches, schema)

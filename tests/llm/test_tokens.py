@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from tokenizers import Tokenizer
 
@@ -54,6 +55,32 @@ def test_a_memo_forgets_but_stays_right(monkeypatch):
     assert len(ids.words) <= 3
 
 
+def test_a_memo_keeps_no_more_than_it_says_older_words_included(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 8)
+    ids = packing.WordIds(WORDS)
+    text = " ".join(f"word{i}x" for i in range(100))
+    assert ids.encode([text]) == [ids._whole(text)]
+    for memo in (ids.words, ids.parts):
+        assert 0 < len(memo) + len(memo.old) <= 8
+
+
+def test_memos_are_let_go_before_the_search(monkeypatch):
+    packing._word_ids(WORDS).encode(["some words"])
+    block = pd.DataFrame({
+        "doc_id": [1, 2], "piece": 0, "start": 0, "length": [3, 4], "ids_crc32": 0, "salt": [1, 2], "block": 0,
+    })
+    kept = []
+    monkeypatch.setattr(packing.Bins, "search", lambda bins: kept.append(packing._word_ids.cache_info().currsize))
+    assert len(packing._pack(block, 8, 0)) == 2
+    assert kept == [0]
+
+
+def test_letters_alone_are_one_pre_token():
+    ids = packing.WordIds(WORDS)
+    for word in ["Word", "s", "IT", "ll", "é", "éa", "don't", "a1", "\x7f", "~", "K"]:
+        assert ids._cut(word) == b"".join(map(ids._part, packing.PRE_TOKEN.findall(word.lower())))
+
+
 def test_proven_strings_are_single_tokens():
     library = Tokenizer.from_file(BYTES)
     proven = token_count.proven_tokens(BYTES)
