@@ -19,6 +19,8 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +49,10 @@ PLACED = fields(
 
 
 class WordIds:
-    """Ids of white-space separated text, each distinct word encoded once per memo.
+    """Ids of white-space separated text; each distinct word of a call is looked up once.
 
-    Two memos: of words as they stand in the text, and of the pre-tokens they are cut into, which
-    recur far more often. Words with special strings or with characters outside the agreed classes
+    Two memos: of the pre-tokens that words are cut into, and of the words that are not one pre-token
+    themselves. Words with special strings or with characters outside the agreed classes
     go to the library whole, and so do texts with odd control characters.
     """
 
@@ -65,20 +67,33 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out = []
-        for text in texts:
-            if ODD.search(text):
-                out.append(self._whole(text))
-                continue
-            of = self._odd_word if "<|" in text or AGREED.search(text) else self.words.__getitem__
-            out.append(b"".join(map(of, text.split())))
-        return out
+        odd = {i: self._odd(t) for i, t in enumerate(texts) if "<|" in t or AGREED.search(t)}
+        plain = iter(self._plain([t for i, t in enumerate(texts) if i not in odd]))
+        return [odd[i] if i in odd else next(plain) for i in range(len(texts))]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Texts of agreed characters: their words are numbered, and ids put in for the numbers."""
+        # The one agreed white space beyond ASCII; lower case of agreed characters depends on no neighbour.
+        texts = [t.replace("\xa0", " ").lower() for t in texts]
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(map(self._word, distinct), pa.large_binary())
+        parts = pa.ListArray.from_arrays(split.offsets, ids.take(words.indices))
+        return pc.binary_join(parts, pa.scalar(b"", pa.large_binary())).to_pylist()
+
+    def _word(self, word: str) -> bytes:
+        """Letters alone are one pre-token; the word is in lower case and of agreed characters."""
+        return self.parts[word] if word.isalpha() else self.words[word]
+
+    def _odd(self, text: str) -> bytes:
+        return self._whole(text) if ODD.search(text) else b"".join(map(self._odd_word, text.split()))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _odd_word(self, word: str) -> bytes:
-        return self._whole(word) if "<|" in word or AGREED.search(word) else self.words[word]
+        return self._whole(word) if "<|" in word or AGREED.search(word) else self._word(word.lower())
 
     def _cut(self, word: str) -> bytes:
         """For agreed characters the library's normal form is just lower case; letters alone are one pre-token."""

@@ -36,6 +36,34 @@ def test_word_ids_are_the_librarys_on_odd_strings():
         assert own == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_ids_of_many_texts_at_once_are_the_librarys():
+    ids, library = packing.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    texts = ["", " \t", *strings(3000, 3), "ÀÉ\xa0éa ﬁ", "ÀÉ\xa0éa,", "İstanbul DON'T"]
+    own = [np.frombuffer(b, "<u4").tolist() for b in ids.encode(texts)]
+    assert own == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert ids.encode([]) == [] and ids.encode([""]) == [b""]
+
+
+class Asked(dict):
+    """Keeps nothing and lists what it is asked for."""
+
+    def __init__(self, make, seen):
+        super().__init__()
+        self.make, self.seen = make, seen
+
+    def __getitem__(self, key):
+        self.seen.append(key)
+        return self.make(key)
+
+
+def test_a_word_that_comes_again_is_looked_up_once():
+    ids, seen = packing.WordIds(WORDS), []
+    ids.words, ids.parts = Asked(ids._cut, seen), Asked(ids._part, seen)
+    text = "The cat, the dog\xa0and éa AND THE cat, a2"
+    assert ids.encode([text, text]) == [ids._whole(text)] * 2
+    assert sorted(seen) == sorted(["the", "cat,", "cat", ",", "dog", "and", "éa", "a2", "a", "2"])
+
+
 def test_agreed_characters_fall_into_the_same_classes():
     pre, words = Tokenizer.from_file(BYTES).pre_tokenizer, packing.WordIds(WORDS)
     for code in [*range(0x250), *range(0x2000, 0x2070)]:
